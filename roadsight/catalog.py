@@ -74,3 +74,355 @@ def q_passes_with_limit(spark, d):
           + ") WHERE real_speed > limit_speed * 1.2e0")
 def q_speeding_20pct(spark, d):
     return speed.speeding(speed.with_limit(tb.passes(spark, d), tb.limits(spark, d)), 1.2)
+
+# ------------------------------------------------------------ scans / parsers
+
+_TRAFFIC7 = "action_time, monitor_id, camera_id, car, speed, road_id, area_id"
+
+
+@register("parse_traffic", W("passes") + f"SELECT {_TRAFFIC7} FROM passes")
+def q_parse_traffic(spark, d):
+    from roadsight.sources.text import parse_traffic
+    return parse_traffic(tb.traffic_lines(spark, d), "value", "strict")
+
+
+@register("scan_traffic", W("passes") + f"SELECT {_TRAFFIC7} FROM passes")
+def q_scan_traffic(spark, d):
+    from roadsight.session import scratch_dir
+    from roadsight.sources.text import read_traffic
+    path = scratch_dir(spark, "traffic-text")
+    tb.traffic_lines(spark, d).write.mode("overwrite").text(path)
+    return read_traffic(spark, path, "strict")
+
+# ------------------------------------------------------- watch list / tracks
+
+_TRACK = "car, action_time, monitor_id, road_id, area_id, speed"
+_ROW_KEY_SQL = "car || '_' || cast(9223372036854775807 - action_time as varchar)"
+
+
+@register("car_track", W("passes", "watch_list") + f"""
+SELECT row_key, {_TRACK} FROM (
+  SELECT {_ROW_KEY_SQL} AS row_key, {_TRACK},
+         row_number() OVER (PARTITION BY {_ROW_KEY_SQL} ORDER BY seq DESC) AS rn
+  FROM passes WHERE car IN (SELECT car FROM watch_list)) WHERE rn = 1""")
+def q_car_track(spark, d):
+    from roadsight.operators.watchlist import track_listed_cars
+    return track_listed_cars(tb.passes(spark, d), tb.watch_list(spark, d))
+
+
+@register("violation_king_on_road", W("passes", "watch_list") + f"""
+SELECT {_TRACK} FROM passes WHERE car IN (
+  SELECT car FROM watch_list
+  WHERE try_cast(regexp_extract(violation, '([0-9]+)次', 1) AS integer) > 50)""")
+def q_violation_king_on_road(spark, d):
+    from roadsight.operators.watchlist import listed_passes, to_track, violation_king
+    return to_track(listed_passes(tb.passes(spark, d), violation_king(tb.watch_list(spark, d)))).drop("seq")
+
+
+@register("cloned_car_track", W("passes", "watch_list") + f"""
+SELECT {_TRACK} FROM passes WHERE car IN (
+  SELECT car FROM watch_list WHERE violation = '嫌疑套牌车')""")
+def q_cloned_car_track(spark, d):
+    from roadsight.operators.watchlist import listed_passes, suspected_clones, to_track
+    return to_track(listed_passes(tb.passes(spark, d), suspected_clones(tb.watch_list(spark, d)))).drop("seq")
+
+
+@register("track_latest_n", W("passes") + f"""
+SELECT {_TRACK}, rank FROM (
+  SELECT {_TRACK}, row_number() OVER (PARTITION BY car ORDER BY action_time DESC, seq DESC) AS rank
+  FROM passes) WHERE rank <= 3""")
+def q_track_latest_n(spark, d):
+    from roadsight.operators.watchlist import latest_tracks
+    return latest_tracks(tb.passes(spark, d), 3)
+
+
+@register("track_batches", W("passes", "watch_list") + f"""
+SELECT (rn - 1) // 20 AS batch_id, row_key, {_TRACK} FROM (
+  SELECT {_ROW_KEY_SQL} AS row_key, {_TRACK},
+         row_number() OVER (ORDER BY action_time, seq) AS rn, count(*) OVER () AS total
+  FROM passes WHERE car IN (SELECT car FROM watch_list))
+WHERE rn <= (total // 20) * 20""")
+def q_track_batches(spark, d):
+    from roadsight.operators.watchlist import listed_passes, to_track, track_batches
+    tracks = to_track(listed_passes(tb.passes(spark, d), tb.watch_list(spark, d)))
+    return track_batches(tracks, 20, emit_partial=False).drop("seq")
+
+# ---------------------------------------------------------- windowed stats
+
+_CENTS_AVG = "cast((2 * sum(cast(round(speed * 100) as bigint)) + count(*)) // (2 * count(*)) as double) / 100"
+_SLIDING = """
+  SELECT p.*, w.start_time FROM passes p,
+  LATERAL (SELECT (p.action_time - p.action_time % 60000) - k * 60000 AS start_time
+           FROM range(0, 5) t(k)) w"""
+
+AVG_SPEED_SQL = W("passes") + f"""
+SELECT start_time, start_time + 300000 AS end_time, monitor_id,
+       {_CENTS_AVG} AS avg_speed, cast(count(*) as integer) AS car_count
+FROM ({_SLIDING}) GROUP BY start_time, monitor_id"""
+
+
+@register("avg_speed_sliding", AVG_SPEED_SQL)
+def q_avg_speed_sliding(spark, d):
+    from roadsight.operators.flow import avg_speed
+    return avg_speed(tb.passes(spark, d), "5 minutes", "1 minute")
+
+
+@register("checkpoint_flow", W("passes") + f"""
+SELECT start_time, start_time + 300000 AS end_time, monitor_id, cast(count(*) as integer) AS car_count
+FROM ({_SLIDING}) GROUP BY start_time, monitor_id""")
+def q_checkpoint_flow(spark, d):
+    from roadsight.operators.flow import flow
+    return flow(tb.passes(spark, d), "5 minutes", "1 minute")
+
+
+TOP3_SQL = f"""
+SELECT start_time, end_time, rank, monitor_id, avg_speed, car_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY start_time, end_time
+                               ORDER BY avg_speed DESC, monitor_id) AS rank
+  FROM ({AVG_SPEED_SQL})) WHERE rank <= 3"""
+
+
+@register("top3_free_flowing", TOP3_SQL)
+def q_top3_free_flowing(spark, d):
+    from roadsight.operators.flow import avg_speed, top_n_avg_speed
+    return top_n_avg_speed(avg_speed(tb.passes(spark, d)), 3)
+
+
+@register("top3_free_flowing_text", f"""
+SELECT start_time, end_time,
+       '在时间从' || cast(start_time as varchar) || '，到:' || cast(end_time as varchar)
+       || '的时间范围内：整个城市最通畅的前三个卡口为：'
+       || string_agg('卡口编号：' || monitor_id || '，平均车速：' || cast(avg_speed as varchar)
+                     || '，经过的车数量：' || cast(car_count as varchar), '' ORDER BY rank) AS alert_text
+FROM ({TOP3_SQL}) GROUP BY start_time, end_time""")
+def q_top3_free_flowing_text(spark, d):
+    from roadsight.operators.flow import avg_speed, top_n_avg_speed, top_n_text
+    return top_n_text(top_n_avg_speed(avg_speed(tb.passes(spark, d)), 3))
+
+
+def _area_sql(count_expr: str, source: str = "passes") -> str:
+    return W("passes") + f"""
+SELECT start_time, end_time, area_id, car_count,
+       '区域id：' || area_id || '，时间范围为【起始时间：' || cast(start_time as varchar)
+       || '----结束时间：' || cast(end_time as varchar) || '】，一共上路的车辆为'
+       || cast(car_count as varchar) AS alert_text
+FROM (SELECT action_time - action_time % 30000 AS start_time,
+             action_time - action_time % 30000 + 30000 AS end_time, area_id,
+             cast({count_expr} as integer) AS car_count
+      FROM {source} GROUP BY 1, 2, 3)"""
+
+
+@register("area_vehicle_count", _area_sql("count(DISTINCT car)"))
+def q_area_vehicle_count(spark, d):
+    from roadsight.operators.flow import area_vehicles
+    return area_vehicles(tb.passes(spark, d).drop("seq"), "30 seconds", "car")
+
+
+@register("area_record_count", _area_sql(
+    "count(DISTINCT (action_time, monitor_id, camera_id, car, speed, road_id, area_id))"))
+def q_area_record_count(spark, d):
+    from roadsight.operators.flow import area_vehicles
+    return area_vehicles(tb.passes(spark, d).drop("seq"), "30 seconds", "record")
+
+
+@register("area_vehicle_bitmap", _area_sql("count(DISTINCT car)"))
+def q_area_vehicle_bitmap(spark, d):
+    from roadsight.operators.flow import area_vehicles_bitmap
+    return area_vehicles_bitmap(tb.passes(spark, d), "30 seconds", 1 << 25)
+
+
+@register("area_vehicle_approx", None)
+def q_area_vehicle_approx(spark, d):
+    from roadsight.operators.flow import area_vehicles
+    return area_vehicles(tb.passes(spark, d).drop("seq"), "30 seconds", "approx")
+
+
+@register("area_vehicle_named", W("passes") + """
+SELECT c.*, a.area_name FROM (""" + _area_sql("count(DISTINCT car)").replace(W("passes"), "") + """) c
+LEFT JOIN (VALUES ('01', '海淀区'), ('02', '昌平区'), ('03', '朝阳区'), ('04', '顺义区'),
+                  ('05', '西城区'), ('06', '东城区'), ('07', '大兴区'), ('08', '石景山'))
+          a(area_id, area_name) ON c.area_id = a.area_id""")
+def q_area_vehicle_named(spark, d):
+    from roadsight.operators.flow import area_vehicles, with_area_name
+    return with_area_name(area_vehicles(tb.passes(spark, d).drop("seq"), "30 seconds", "car"))
+
+
+@register("area_vehicle_running", W("passes") + """
+SELECT start_time, end_time, area_id, car, action_time, seq, is_new,
+       sum(CAST(is_new AS integer)) OVER (PARTITION BY area_id, start_time ORDER BY action_time, seq
+                                          ROWS UNBOUNDED PRECEDING) AS running_count
+FROM (SELECT action_time - action_time % 30000 AS start_time,
+             action_time - action_time % 30000 + 30000 AS end_time, area_id, car, action_time, seq,
+             row_number() OVER (PARTITION BY area_id, action_time - action_time % 30000, car
+                                ORDER BY action_time, seq) = 1 AS is_new
+      FROM passes)""")
+def q_area_vehicle_running(spark, d):
+    from roadsight.operators.flow import area_vehicles_running
+    return area_vehicles_running(tb.passes(spark, d), 30_000)
+
+# ------------------------------------------------------------ keyed state
+
+CLONED_SQL = W("passes") + """
+SELECT car, pm AS first_monitor, monitor_id AS second_monitor, pt AS first_time,
+       action_time AS warning_time, '涉嫌套牌车' AS warning_msg
+FROM (SELECT *, row_number() OVER (PARTITION BY car, isl ORDER BY action_time, seq) AS rn
+      FROM (SELECT *, sum(CASE WHEN pt IS NULL OR action_time - pt >= 10000 THEN 1 ELSE 0 END)
+                        OVER (PARTITION BY car ORDER BY action_time, seq ROWS UNBOUNDED PRECEDING) AS isl
+            FROM (SELECT car, monitor_id, action_time, seq,
+                         lag(action_time) OVER (PARTITION BY car ORDER BY action_time, seq) AS pt,
+                         lag(monitor_id) OVER (PARTITION BY car ORDER BY action_time, seq) AS pm
+                  FROM passes)))
+WHERE rn % 2 = 0"""
+
+
+@register("cloned_plate", CLONED_SQL)
+def q_cloned_plate(spark, d):
+    from roadsight.operators.clone import cloned_plate
+    return cloned_plate(tb.passes(spark, d), 10_000)
+
+
+@register("clone_to_violation",
+          "SELECT car, warning_msg AS violation, warning_time AS create_time FROM (" + CLONED_SQL + ")")
+def q_clone_to_violation(spark, d):
+    from roadsight.operators.clone import clone_to_violation, cloned_plate
+    return clone_to_violation(cloned_plate(tb.passes(spark, d), 10_000))
+
+
+_SPEEDING_SQL = """
+  SELECT car, action_time, seq, monitor_id, real_speed, limit_speed,
+         row_number() OVER (PARTITION BY car ORDER BY action_time, seq) AS idx
+  FROM (""" + _WITH_LIMIT_SQL.replace("p.action_time", "p.action_time, p.seq") + """)
+  WHERE real_speed > limit_speed * 1.2e0"""
+
+
+def _danger_sql(all_matches: bool) -> str:
+    ends = f"""
+    SELECT car, idx, action_time,
+           min(idx) OVER (PARTITION BY car ORDER BY action_time
+                          RANGE BETWEEN 119999 PRECEDING AND CURRENT ROW) AS lo
+    FROM sp"""
+    if all_matches:
+        matches = "SELECT e.car, s.idx AS s_idx, e.idx AS e_idx FROM ends e JOIN sp s ON s.car = e.car AND s.idx BETWEEN e.lo AND e.idx - 2"
+    else:
+        matches = "SELECT car, lo AS s_idx, idx AS e_idx FROM ends WHERE idx - lo + 1 >= 3"
+    return W("passes", "limits") + f""", sp AS ({_SPEEDING_SQL}), ends AS ({ends}), m AS ({matches})
+SELECT m.car, min(x.action_time) AS start_time, max(x.action_time) AS end_time,
+       cast(count(*) as integer) AS pass_count,
+       cast((2 * sum(cast(round(x.real_speed * 100) as bigint)) + count(*)) // (2 * count(*)) as double) / 100 AS avg_speed,
+       '当前车辆' || m.car || '，涉嫌危险驾驶，它在两分钟内经过的卡口数为：' || cast(count(*) as varchar)
+       || string_agg('第' || cast(x.idx - m.s_idx + 1 as varchar) || '个卡口' || x.monitor_id
+                     || '，车速为：' || cast(x.real_speed as varchar) || '，该卡口的限速为：'
+                     || cast(x.limit_speed as varchar), '' ORDER BY x.idx)
+       || '它在两分钟内的平均车速为：'
+       || cast(cast((2 * sum(cast(round(x.real_speed * 100) as bigint)) + count(*)) // (2 * count(*)) as double) / 100 as varchar) AS violation
+FROM m JOIN sp x ON x.car = m.car AND x.idx BETWEEN m.s_idx AND m.e_idx
+GROUP BY m.car, m.s_idx, m.e_idx"""
+
+
+@register("dangerous_car_all", _danger_sql(True))
+def q_dangerous_car_all(spark, d):
+    from roadsight.operators.danger import dangerous_car
+    pw = speed.with_limit(tb.passes(spark, d), tb.limits(spark, d), carry=["seq"])
+    return dangerous_car(pw, 3, 120_000, 1.2, emit="all")
+
+
+@register("dangerous_car_longest", _danger_sql(False))
+def q_dangerous_car_longest(spark, d):
+    from roadsight.operators.danger import dangerous_car
+    pw = speed.with_limit(tb.passes(spark, d), tb.limits(spark, d), carry=["seq"])
+    return dangerous_car(pw, 3, 120_000, 1.2, emit="longest")
+
+
+@register("daily_violation_upsert", W("reports_new", "reports_old") + """
+SELECT car, day, violation, create_time, out_count FROM (
+  SELECT car, day, violation, create_time,
+         max(out_count) OVER (PARTITION BY car, day) AS out_count,
+         row_number() OVER (PARTITION BY car, day ORDER BY create_time, violation) AS rn
+  FROM (SELECT *, DATE '1970-01-01' + cast(create_time // 86400000 as integer) AS day
+        FROM (SELECT * FROM reports_old UNION ALL SELECT * FROM reports_new)))
+WHERE rn = 1""")
+def q_daily_violation_upsert(spark, d):
+    from roadsight.operators.danger import daily_violation_upsert
+    return daily_violation_upsert(tb.daily_reports(spark, d, "signup"),
+                                  tb.daily_reports(spark, d, "view"))
+
+# ------------------------------------------------------ violation dispatch
+
+INTERVAL_SQL = W("violations", "police_actions") + """
+SELECT v.car, v.violation, v.create_time, p.police_id, p.action_status, p.action_time,
+       '违法车辆【' || v.car || '】，已经有交警出警了，警号为【' || p.police_id || '】，出警状态为【'
+       || p.action_status || '】，出警时间为【' || cast(p.action_time as varchar) || '】' AS alert_text
+FROM violations v JOIN police_actions p
+  ON v.car = p.car AND p.action_time BETWEEN v.create_time AND v.create_time + 10000"""
+
+
+@register("violation_action_interval", INTERVAL_SQL)
+def q_violation_action_interval(spark, d):
+    from roadsight.operators.dispatch import violation_action_interval
+    return violation_action_interval(tb.violations(spark, d), tb.police_actions(spark, d))
+
+
+@register("violation_action_full", W("violations", "police_actions") + """
+SELECT CASE WHEN v.car IS NULL THEN 'action_only' WHEN p.car IS NULL THEN 'violation_only'
+            ELSE 'matched' END AS outcome,
+       coalesce(v.car, p.car) AS car, v.violation, v.create_time,
+       p.police_id, p.action_status, p.action_time
+FROM violations v FULL OUTER JOIN police_actions p
+  ON v.car = p.car AND p.action_time BETWEEN v.create_time AND v.create_time + 10000""")
+def q_violation_action_full(spark, d):
+    from roadsight.operators.dispatch import classify_violation_action
+    return classify_violation_action(tb.violations(spark, d), tb.police_actions(spark, d))
+
+
+PAIR_SQL = W("violations", "police_actions") + """
+, u AS (
+  SELECT car, create_time AS t, seq, 'v' AS kind, violation, NULL AS police_id, NULL AS action_status
+  FROM violations
+  UNION ALL
+  SELECT car, action_time, seq, 'p', NULL, police_id, action_status FROM police_actions),
+n AS (
+  SELECT *, lag(t) OVER w AS pt, lag(kind) OVER w AS pk, lag(violation) OVER w AS pv,
+         lag(police_id) OVER w AS ppid, lag(action_status) OVER w AS pst,
+         lead(t) OVER w AS nt, lead(kind) OVER w AS nk
+  FROM u WINDOW w AS (PARTITION BY car ORDER BY t, seq)),
+i AS (
+  SELECT *, sum(CASE WHEN pt IS NULL OR t - pt > 5000 OR kind = pk THEN 1 ELSE 0 END)
+              OVER (PARTITION BY car ORDER BY t, seq ROWS UNBOUNDED PRECEDING) AS isl,
+         (nt IS NULL OR nt - t > 5000 OR nk = kind) AS next_start
+  FROM n),
+r AS (SELECT *, row_number() OVER (PARTITION BY car, isl ORDER BY t, seq) AS rn FROM i)
+SELECT 'matched' AS outcome, CAST(NULL AS varchar) AS reason, car,
+       CASE WHEN kind = 'v' THEN violation ELSE pv END AS violation,
+       CASE WHEN kind = 'v' THEN t ELSE pt END AS create_time,
+       CASE WHEN kind = 'p' THEN police_id ELSE ppid END AS police_id,
+       CASE WHEN kind = 'p' THEN action_status ELSE pst END AS action_status,
+       CASE WHEN kind = 'p' THEN t ELSE pt END AS action_time
+FROM r WHERE rn % 2 = 0
+UNION ALL
+SELECT CASE WHEN kind = 'v' THEN 'unmatched_violation' ELSE 'unmatched_action' END,
+       CASE WHEN nk = kind AND nt - t <= 5000 THEN 'superseded' ELSE 'expired' END, car,
+       violation, CASE WHEN kind = 'v' THEN t END, police_id, action_status,
+       CASE WHEN kind = 'p' THEN t END
+FROM r WHERE rn % 2 = 1 AND next_start"""
+
+
+@register("pair_violation_action", PAIR_SQL)
+def q_pair_violation_action(spark, d):
+    from roadsight.operators.dispatch import pair_violation_action
+    return pair_violation_action(tb.violations(spark, d), tb.police_actions(spark, d), 5_000)
+
+
+@register("violation_without_action",
+          "SELECT * FROM (" + PAIR_SQL + ") WHERE outcome = 'unmatched_violation'")
+def q_violation_without_action(spark, d):
+    from roadsight.operators.dispatch import pair_violation_action
+    r = pair_violation_action(tb.violations(spark, d), tb.police_actions(spark, d), 5_000)
+    return r.filter(F.col("outcome") == "unmatched_violation")
+
+
+@register("action_without_violation",
+          "SELECT * FROM (" + PAIR_SQL + ") WHERE outcome = 'unmatched_action'")
+def q_action_without_violation(spark, d):
+    from roadsight.operators.dispatch import pair_violation_action
+    r = pair_violation_action(tb.violations(spark, d), tb.police_actions(spark, d), 5_000)
+    return r.filter(F.col("outcome") == "unmatched_action")
