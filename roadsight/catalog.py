@@ -426,3 +426,110 @@ def q_action_without_violation(spark, d):
     from roadsight.operators.dispatch import pair_violation_action
     r = pair_violation_action(tb.violations(spark, d), tb.police_actions(spark, d), 5_000)
     return r.filter(F.col("outcome") == "unmatched_action")
+
+# -------------------------------------------------------- streaming twins
+# Each replays the driver-derived inputs as a time-sliced file stream, runs
+# the streaming operator to completion and returns its sink; the oracle is
+# the batch oracle.
+
+
+def _sentinel_traffic(spark, d, name, fmt="parquet"):
+    from roadsight.streaming.harness import SENTINEL, replay
+    flush = {c: SENTINEL for c in ("monitor_id", "camera_id", "car", "road_id", "area_id")}
+    flush.update(speed=0.0, seq=-1)
+    return replay(tb.passes(spark, d), "action_time", name, sentinel=flush, fmt=fmt)[1]
+
+
+def _sentinel_dispatch(spark, d, name):
+    from roadsight.streaming.harness import SENTINEL, replay
+    v = replay(tb.violations(spark, d), "create_time", name + "-v",
+               sentinel=dict(car=SENTINEL, violation=SENTINEL, out_count=0, seq=-1))[1]
+    p = replay(tb.police_actions(spark, d), "action_time", name + "-p",
+               sentinel=dict(car=SENTINEL, police_id=SENTINEL, action_status=SENTINEL, seq=-2))[1]
+    return v, p
+
+
+@register("stream_scan", W("passes") + f"SELECT {_TRAFFIC7} FROM passes")
+def q_stream_scan(spark, d):
+    from roadsight.sources.text import stream_traffic
+    from roadsight.streaming.harness import replay, run_to_table
+    src = tb.traffic_lines(spark, d).withColumn("_t", F.split("value", ",").getItem(0).cast("long"))
+    path, _ = replay(src, "_t", "lines", slices=4, fmt="text")
+    s = stream_traffic(spark, "text", path, "strict", maxFilesPerTrigger=1)
+    return run_to_table(s, "stream-scan", rocksdb=False)
+
+
+@register("out_of_speed_stream", REGISTRY["out_of_speed"][1])
+def q_out_of_speed_stream(spark, d):
+    from roadsight.streaming.harness import run_to_table
+    s = _sentinel_traffic(spark, d, "oos")
+    return run_to_table(speed.out_of_speed(s, tb.limits(spark, d)), "out-of-speed", rocksdb=False)
+
+
+@register("car_track_stream", REGISTRY["car_track"][1])
+def q_car_track_stream(spark, d):
+    from roadsight.operators.watchlist import keyed_tracks, listed_passes, to_track, with_row_key
+    from roadsight.streaming.harness import run_to_table
+    s = _sentinel_traffic(spark, d, "track")
+    # append-only writes of keyed rows; the read side keeps the last write per key
+    written = run_to_table(with_row_key(to_track(listed_passes(s, tb.watch_list(spark, d)))),
+                           "car-track", rocksdb=False)
+    return keyed_tracks(written.drop("row_key"))
+
+
+@register("avg_speed_sliding_stream", AVG_SPEED_SQL)
+def q_avg_speed_sliding_stream(spark, d):
+    from roadsight.streaming.harness import SENTINEL, run_to_table
+    from roadsight.streaming.twins import avg_speed_stream
+    out = run_to_table(avg_speed_stream(_sentinel_traffic(spark, d, "avg")), "avg-speed")
+    return out.filter(F.col("monitor_id") != SENTINEL)
+
+
+@register("top3_free_flowing_stream", TOP3_SQL)
+def q_top3_free_flowing_stream(spark, d):
+    from roadsight.streaming.harness import SENTINEL, run_to_table
+    from roadsight.streaming.twins import top_n_stream
+    out = run_to_table(top_n_stream(_sentinel_traffic(spark, d, "top3"), 3), "top3")
+    return out.filter(F.col("monitor_id") != SENTINEL)
+
+
+@register("area_vehicle_count_stream", REGISTRY["area_vehicle_count"][1])
+def q_area_vehicle_count_stream(spark, d):
+    from roadsight.streaming.harness import SENTINEL, run_to_table
+    from roadsight.streaming.twins import area_vehicles_stream
+    s = _sentinel_traffic(spark, d, "area").drop("seq")
+    out = run_to_table(area_vehicles_stream(s, "30 seconds"), "area-count")
+    return out.filter(F.col("area_id") != SENTINEL)
+
+
+@register("violation_action_interval_stream", INTERVAL_SQL)
+def q_violation_action_interval_stream(spark, d):
+    from roadsight.streaming.harness import not_sentinel, run_to_table
+    from roadsight.streaming.twins import violation_action_interval_stream
+    v, p = _sentinel_dispatch(spark, d, "interval")
+    return not_sentinel(run_to_table(violation_action_interval_stream(v, p), "interval"))
+
+
+@register("cloned_plate_stream", CLONED_SQL)
+def q_cloned_plate_stream(spark, d):
+    from roadsight.streaming.harness import not_sentinel, run_to_table
+    from roadsight.streaming.twins import cloned_plate_stream
+    s = _sentinel_traffic(spark, d, "clone")
+    return not_sentinel(run_to_table(cloned_plate_stream(s), "cloned-plate"))
+
+
+@register("pair_violation_action_stream", PAIR_SQL)
+def q_pair_violation_action_stream(spark, d):
+    from roadsight.streaming.harness import not_sentinel, run_to_table
+    from roadsight.streaming.twins import pair_violation_action_stream
+    v, p = _sentinel_dispatch(spark, d, "pair")
+    return not_sentinel(run_to_table(pair_violation_action_stream(v, p), "pairing"))
+
+
+@register("dangerous_car_longest_stream", _danger_sql(False))
+def q_dangerous_car_longest_stream(spark, d):
+    from roadsight.streaming.harness import not_sentinel, run_to_table
+    from roadsight.streaming.twins import dangerous_car_stream
+    s = _sentinel_traffic(spark, d, "danger")
+    pw = speed.with_limit(s, tb.limits(spark, d), carry=["seq"])
+    return not_sentinel(run_to_table(dangerous_car_stream(pw), "dangerous-car"))
