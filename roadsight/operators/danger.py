@@ -54,9 +54,10 @@ def dangerous_car(passes_with_limit: DataFrame, times: int = 3, within_ms: int =
         "car", "action_time", "seq", "monitor_id", "real_speed", "limit_speed",
         cents("real_speed").alias("cents"))
     bucket = F.floor(F.col("action_time") / F.lit(within_ms)).cast("long")
-    own = sp.withColumn("_b", bucket).withColumn("_own", F.lit(True))
-    halo = sp.withColumn("_b", bucket + 1).withColumn("_own", F.lit(False))
-    both = own.unionByName(halo)
+    # one pass: the row itself (copy 0, owner) and its halo copy for the next bucket
+    both = (sp.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
+              .withColumn("_b", bucket + F.col("_copy"))
+              .withColumn("_own", F.col("_copy") == 0).drop("_copy"))
 
     order = Window.partitionBy("car", "_b").orderBy("action_time", "seq")
     frame = (Window.partitionBy("car", "_b").orderBy("action_time")

@@ -111,25 +111,25 @@ def pair_violation_action(violations: DataFrame, actions: DataFrame, timeout_ms:
                                                     "action_status"],
                      new_island=pair_rule(timeout_ms), bucket_ms=bucket_ms)
     odd = (F.col("_pos") - F.col("_start")) % 2 == 1
+    lone = ~odd & F.col("_next_is_start")
     cur_v = F.col("kind") == "v"
 
-    def pick(name: str, v_side: bool) -> F.Column:
-        # value from whichever of (prev, cur) is the violation / the action
+    def side(name: str, v_side: bool) -> F.Column:
+        # matched rows take the field from whichever of (prev, cur) has the kind
         mine = cur_v if v_side else ~cur_v
-        return F.when(mine, F.col(name)).otherwise(F.col("prev_" + name))
-
-    matched = s.filter(odd).select(
-        F.lit("matched").alias("outcome"), F.lit(None).cast("string").alias("reason"), "car",
-        pick("violation", True).alias("violation"),
-        F.when(cur_v, F.col("t")).otherwise(F.col("prev_t")).alias("create_time"),
-        pick("police_id", False).alias("police_id"),
-        pick("action_status", False).alias("action_status"),
-        F.when(~cur_v, F.col("t")).otherwise(F.col("prev_t")).alias("action_time"))
+        return F.when(mine, F.col(name)).when(odd, F.col("prev_" + name))
+
     superseded = (F.col("next_kind") == F.col("kind")) & \
                  ((F.col("next_t") - F.col("t")) <= F.lit(timeout_ms))
-    lone = s.filter(~odd & F.col("_next_is_start")).select(
-        F.when(cur_v, F.lit("unmatched_violation")).otherwise(F.lit("unmatched_action")).alias("outcome"),
-        F.when(superseded, F.lit("superseded")).otherwise(F.lit("expired")).alias("reason"), "car",
-        "violation", F.when(cur_v, F.col("t")).alias("create_time"), "police_id", "action_status",
-        F.when(~cur_v, F.col("t")).alias("action_time"))
-    return matched.unionByName(lone)
+    outcome = (F.when(odd, F.lit("matched"))
+                .when(cur_v, F.lit("unmatched_violation")).otherwise(F.lit("unmatched_action")))
+    reason = F.when(odd, F.lit(None).cast("string")).when(superseded, F.lit("superseded")) \
+              .otherwise(F.lit("expired"))
+    # a single projection over the scanned rows (no union of two branches)
+    return s.filter(odd | lone).select(
+        outcome.alias("outcome"), reason.alias("reason"), "car",
+        side("violation", True).alias("violation"),
+        F.when(cur_v, F.col("t")).when(odd, F.col("prev_t")).alias("create_time"),
+        side("police_id", False).alias("police_id"),
+        side("action_status", False).alias("action_status"),
+        F.when(~cur_v, F.col("t")).when(odd, F.col("prev_t")).alias("action_time"))

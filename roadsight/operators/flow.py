@@ -114,22 +114,33 @@ def area_vehicles(traffic: DataFrame, window: str = "30 seconds", distinct: str
 
 
 def area_vehicles_bitmap(traffic: DataFrame, window: str = "30 seconds",
-                         num_bits: int = 1 << 25) -> DataFrame:
-    """Distinct vehicles per area and window from a one-hash bitmap of
-    ``num_bits`` bits: the count of set bits (equals the exact count unless
+                         num_bits: int = 1 << 25, materialize: bool = False) -> DataFrame:
+    """Distinct vehicles per area and window through a one-hash bitmap of
+    ``num_bits`` bits: the number of set bits (equals the exact count unless
     two cars share a bit).
 
-    State per (window, area) is bounded by the bitmap size whatever the
-    traffic: Spark's bitmap aggregates keep one 4 KiB chunk per 32,768-bit
-    bucket, merged map-side before the shuffle.
+    The count of set bits is the number of distinct bit offsets, computed as a
+    two-phase distinct aggregate over offsets (each task drops repeated
+    offsets before the shuffle; at most ``num_bits`` values per group, so state
+    is bounded by the bitmap size).  ``materialize=True`` instead builds the
+    bitmap itself with Spark's bitmap aggregates (4 KiB chunks of 32,768 bits,
+    merged map-side) and also returns the chunks as ``bitmap`` (array of
+    ``struct(bucket, bits)``), e.g. to export to a bitmap store.
     """
     t = _with_event_time(traffic).withColumn("_o", bitmap_offset("car", num_bits))
+    if not materialize:
+        out = (t.groupBy(F.window("event_time", window), "area_id")
+                .agg(F.count_distinct("_o").cast("int").alias("car_count"))
+                .select(*window_bounds_ms(), "area_id", "car_count"))
+        return out.withColumn("alert_text", _area_text("car_count"))
     chunks = (t.groupBy(F.window("event_time", window), "area_id",
                         F.bitmap_bucket_number("_o").alias("_bucket"))
                .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_o")).alias("_bits")))
     out = (chunks.groupBy("window", "area_id")
-                 .agg(F.sum(F.bitmap_count("_bits")).cast("int").alias("car_count"))
-                 .select(*window_bounds_ms(), "area_id", "car_count"))
+                 .agg(F.sum(F.bitmap_count("_bits")).cast("int").alias("car_count"),
+                      F.collect_list(F.struct(F.col("_bucket").alias("bucket"),
+                                              F.col("_bits").alias("bits"))).alias("bitmap"))
+                 .select(*window_bounds_ms(), "area_id", "car_count", "bitmap"))
     return out.withColumn("alert_text", _area_text("car_count"))
 
 

@@ -55,7 +55,14 @@ def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
     key = list(key)
     cols = list(dict.fromkeys([ts, tiebreak, *carry]))
     b = "_bucket"
-    rows = df.withColumn(b, F.floor(F.col(ts) / F.lit(bucket_ms)).cast("long"))
+    # Rows without key or time have no place in a keyed time order.  Filtering
+    # them here also gives both branches below the same plan, so the row
+    # shuffle is computed once and reused by the summary branch.
+    valid = F.col(ts).isNotNull()
+    for k in key:
+        valid = valid & F.col(k).isNotNull()
+    bucket = F.floor(F.col(ts) / F.lit(bucket_ms)).cast("long")
+    rows = df.filter(valid).withColumn(b, bucket).filter(F.col(b).isNotNull())
     w = Window.partitionBy(*key, b).orderBy(ts, tiebreak)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 

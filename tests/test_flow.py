@@ -48,3 +48,10 @@ def test_running_distinct(spark):
                            (4, "0001", "c", 50.0)])
     r = area_vehicles_running(t).orderBy("action_time").collect()
     assert [(x.is_new, x.running_count) for x in r] == [(True, 1), (True, 2), (False, 2), (True, 3)]
+
+
+def test_bitmap_materialized_equals_offsets(spark):
+    t = traffic_df(spark, [(i * 997, "0001", f"car{i % 13}", 50.0) for i in range(300)])
+    a = {(x.start_time, x.car_count) for x in area_vehicles_bitmap(t).collect()}
+    b = {(x.start_time, x.car_count) for x in area_vehicles_bitmap(t, materialize=True).collect()}
+    assert a == b
