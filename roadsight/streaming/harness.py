@@ -4,7 +4,9 @@
 in time order, so the file source's modification-time order is event-time
 order) plus one far-future *sentinel* row that moves the watermark past every
 real row; ``maxFilesPerTrigger=1`` makes each slice one micro-batch.
-``run_to_table`` runs a query with ``Trigger.AvailableNow`` into a parquet
+The sentinel must pass every filter of the query under test (Catalyst pushes
+filters that do not touch the event-time column below the watermark node, so
+a filtered-out sentinel would never reach it).  ``run_to_table`` runs a query with ``Trigger.AvailableNow`` into a parquet
 sink (file sink with a commit log, exactly-once) under the checkpoint root and
 returns the sink read back as a batch DataFrame — nothing passes through the
 driver.

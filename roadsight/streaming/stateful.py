@@ -10,10 +10,14 @@ source jobs, which have no allowed lateness).
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
+from pyspark import cloudpickle
+
 from roadsight.operators.clone import CLONE_MESSAGE
 
 CLONE_INPUT = T.StructType([T.StructField("action_time", T.LongType()),
@@ -188,3 +192,8 @@ class DangerousCarProcessor(_Buffered):
         self.recent.clear()
         if recent:
             self.recent.put(recent)
+
+
+# Ship these processors to Python workers by value: executors then need no
+# installed copy of this package (only pyspark itself).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -103,10 +103,11 @@ def pair_violation_action_stream(violations: DataFrame, actions: DataFrame,
 def dangerous_car_stream(passes_with_limit: DataFrame, times: int = 3, within_ms: int = 120_000,
                          ratio: float = 1.2) -> DataFrame:
     """Longest match ending at each speeding pass (``emit="longest"``)."""
-    sp = speeding(passes_with_limit, ratio).select(
+    # The watermark tracks all passes (as the source job assigns it before the
+    # pattern); the speeding condition filters afterwards.
+    sp = speeding(watermarked(passes_with_limit), ratio).select(
         "car", "action_time", "seq", "monitor_id", "real_speed", "limit_speed",
-        cents("real_speed").alias("cents"))
-    sp = watermarked(sp)
+        cents("real_speed").alias("cents"), "event_time")
     m = sp.groupBy("car").transformWithState(DangerousCarProcessor(times, within_ms),
                                              DANGER_OUTPUT, "Append", "EventTime")
     return m.select("car", *danger_ops._summarise(F.col("events")))
