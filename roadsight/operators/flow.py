@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from roadsight.functions.exprs import (
     bitmap_offset, cents, event_time, half_up_mean_cents, window_bounds_ms,
 )
+from roadsight.plans.sequence import ordered_scan
 from roadsight.sources.dims import area_names
 
 
@@ -57,11 +58,13 @@ def top_n_avg_speed(averages: DataFrame, n: int = 3) -> DataFrame:
     Keeps the best row per checkpoint and window (a no-op after
     :func:`avg_speed`), then ranks by average speed descending, ties broken by
     ``monitor_id`` ascending; fewer than ``n`` rows when fewer checkpoints.
-    ``row_number() <= n`` is planned as a window group limit, so each task
-    keeps only its top ``n`` per window before the shuffle.
+    The input has one row per (window, checkpoint), so one shuffle on the
+    window bounds serves both the de-duplication and the ranking.
     """
+    # One shuffle on the window: both window specs below are clustered by it.
+    per_window = averages.repartition("start_time", "end_time")
     best = Window.partitionBy("start_time", "end_time", "monitor_id").orderBy(F.desc("avg_speed"))
-    dedup = (averages.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r"))
+    dedup = (per_window.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r"))
     rank = Window.partitionBy("start_time", "end_time").orderBy(F.desc("avg_speed"), "monitor_id")
     return (dedup.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= n)
                  .select("start_time", "end_time", "rank", "monitor_id", "avg_speed", "car_count"))
@@ -144,24 +147,30 @@ def area_vehicles_bitmap(traffic: DataFrame, window: str = "30 seconds",
     return out.withColumn("alert_text", _area_text("car_count"))
 
 
-def area_vehicles_running(traffic: DataFrame, window_ms: int = 30_000) -> DataFrame:
+def area_vehicles_running(traffic: DataFrame, window_ms: int = 30_000,
+                          bucket_ms: int = 1_000) -> DataFrame:
     """Running distinct-vehicle count per area and tumbling window, one row
     per pass in arrival order (a trigger that fires on every element).
 
-    ``is_new`` marks the first pass of a car in its (area, window);
-    ``running_count`` counts the cars seen so far.  Work is partitioned by
-    (area, window), whose size is bounded by the traffic rate of one window.
+    ``is_new`` marks the first pass of a car in its (area, window): the first
+    ``(time, seq)`` per (area, window, car) is a two-phase aggregate joined
+    back.  ``running_count`` is the running sum of ``is_new`` in ``(time,
+    seq)`` order, computed by the bucketed ordered scan, so even a window
+    holding a large share of all passes is split over tasks by
+    ``bucket_ms`` time buckets.
     """
     start = F.col("action_time") - F.pmod(F.col("action_time"), F.lit(window_ms))
-    t = (traffic.withColumn("start_time", start)
-                .withColumn("end_time", F.col("start_time") + F.lit(window_ms))
-                .repartition("area_id", "start_time"))
-    first = Window.partitionBy("area_id", "start_time", "car").orderBy("action_time", "seq")
-    t = t.withColumn("is_new", F.row_number().over(first) == 1)
-    run = (Window.partitionBy("area_id", "start_time").orderBy("action_time", "seq")
-                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return t.select("start_time", "end_time", "area_id", "car", "action_time", "seq", "is_new",
-                    F.sum(F.col("is_new").cast("int")).over(run).alias("running_count"))
+    t = traffic.withColumn("start_time", start)
+    keys = ["area_id", "start_time", "car"]
+    first = t.groupBy(*keys).agg(F.min(F.struct("action_time", "seq")).alias("_first"))
+    t = t.join(first, keys).withColumn(
+        "is_new", F.struct("action_time", "seq") == F.col("_first")).drop("_first")
+    t = t.withColumn("_new", F.col("is_new").cast("long"))
+    s = ordered_scan(t, ["area_id", "start_time"], "action_time", "seq", sums=["_new"],
+                     bucket_ms=bucket_ms)
+    return s.select("start_time", (F.col("start_time") + F.lit(window_ms)).alias("end_time"),
+                    "area_id", "car", "action_time", "seq", "is_new",
+                    F.col("_run__new").alias("running_count"))
 
 
 def with_area_name(df: DataFrame, areas: DataFrame | None = None) -> DataFrame:

@@ -55,3 +55,19 @@ def test_bitmap_materialized_equals_offsets(spark):
     a = {(x.start_time, x.car_count) for x in area_vehicles_bitmap(t).collect()}
     b = {(x.start_time, x.car_count) for x in area_vehicles_bitmap(t, materialize=True).collect()}
     assert a == b
+
+
+def test_running_distinct_matches_brute_force(spark):
+    import random
+    rnd = random.Random(11)
+    rows = [(rnd.randrange(0, 90_000), "0001", f"car{rnd.randrange(6)}", 50.0, i) for i in range(300)]
+    got = {(x.seq, x.is_new, x.running_count)
+           for x in area_vehicles_running(traffic_df(spark, rows), 30_000, bucket_ms=700).collect()}
+    want, seen = set(), {}
+    for t, _, car, _, seq in sorted(rows, key=lambda r: (r[0], r[4])):
+        w = t - t % 30_000
+        cars = seen.setdefault(w, set())
+        new = car not in cars
+        cars.add(car)
+        want.add((seq, new, len(cars)))
+    assert got == want
