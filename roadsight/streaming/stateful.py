@@ -1,7 +1,8 @@
 """Keyed state machines on Structured Streaming (``transformWithState``).
 
 Each processor buffers a car's records in a ``ListState`` until the event-time
-watermark has passed them (a timer at ``t + 1`` per record), then drains them
+watermark has passed them (one timer per key at the earliest buffered time
+``+ 1``, re-armed after each drain), then drains them
 in ``(time, seq)`` order through the same rule as the batch closed form, so a
 stream gives the batch result whatever the arrival order within the allowed
 disorder.  Records later than the watermark are dropped by Spark (as in the
@@ -56,10 +57,12 @@ class _Buffered(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         names = self.schema.fieldNames()
-        for r in rows:
-            rec = tuple(r[n] for n in names)
-            self.buf.appendValue(rec)
-            self.handle.registerTimer(r[self.ts_field] + 1)
+        recs = [tuple(r[n] for n in names) for r in rows]
+        if recs:
+            self.buf.appendList(recs)
+            # one wake-up per batch: when the watermark passes the earliest row
+            i = names.index(self.ts_field)
+            self.handle.registerTimer(min(r[i] for r in recs) + 1)
         return iter([])
 
     def _take_ready(self, watermark: int) -> list:
@@ -73,6 +76,7 @@ class _Buffered(StatefulProcessor):
             self.buf.clear()
             if rest:
                 self.buf.put(rest)
+                self.handle.registerTimer(min(r[i] for r in rest) + 1)
         return ready
 
     def close(self) -> None:
