@@ -36,3 +36,21 @@ def test_track_table_last_write_wins(spark):
     cur = {x.row_key: x.monitor_id for x in read_tracks(spark, path).collect()}
     assert len(cur) == 2 and [v for k, v in cur.items() if k.startswith("a_")] == ["0009"]
     assert read_tracks(spark, path, car="b").count() == 1
+
+
+def test_jdbc_dimensions_with_pushdown(spark):
+    from roadsight.sources.dims import read_monitor_limits, read_violation_list
+    url = "jdbc:derby:memory:roadsight_dims;create=true"
+    lim = spark.createDataFrame([("0000", "02", 60, "01"), ("0001", "02", 60, "02"), ("0002", "03", 80, "01"),
+                                 ("0004", "05", 100, "03"), ("0005", "04", 0, None), ("0021", "04", 0, None)],
+                                "monitor_id string, road_id string, speed_limit int, area_id string")
+    write_jdbc(lim, url, "t_monitor_info", driver=DRIVER)
+    got = read_monitor_limits(spark, jdbc={"url": url, "driver": DRIVER})
+    assert sorted(r.monitor_id for r in got.collect()) == ["0000", "0001", "0002", "0004"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThan(speed_limit,0)" in plan.replace(" ", "")
+    vl = spark.createDataFrame([("京P88888", "违章未处理超过89次", None), ("京P66666", "嫌疑套牌车", None)],
+                               "car string, violation string, create_time long")
+    write_jdbc(vl, url, "t_violation_list", driver=DRIVER)
+    rows = read_violation_list(spark, jdbc={"url": url, "driver": DRIVER}).collect()
+    assert {(r.car, r.create_time, r.out_count) for r in rows} == {("京P88888", None, 0), ("京P66666", None, 0)}
