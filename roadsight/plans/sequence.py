@@ -37,7 +37,8 @@ DEFAULT_BUCKET_MS = 10 * 60 * 1000
 
 def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
                  carry: Sequence[str] = (), new_island: IslandRule | None = None,
-                 sums: Sequence[str] = (), bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+                 sums: Sequence[str] = (), maxes: Sequence[str] = (),
+                 bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
     """Add order facts to every row of ``df``.
 
     Rows of one key are ordered by ``(ts, tiebreak)`` (``tiebreak`` unique per
@@ -50,7 +51,12 @@ def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
       ``_is_start``, ``_start`` (position of the island's first row) and
       ``_next_is_start`` (true when the next row starts an island or there is
       no next row);
-    * ``_run_<s>`` — running sum of column ``s`` up to and including the row.
+    * ``_run_<s>`` — running sum of column ``s`` up to and including the row;
+    * ``_max_<m>`` — running maximum of column ``m`` over the rows *before*
+      the row (NULL for the first row).
+
+    ``key`` may be empty (one ordered sequence over the whole table); the
+    bucket width is in units of ``ts``.
     """
     key = list(key)
     cols = list(dict.fromkeys([ts, tiebreak, *carry]))
@@ -70,6 +76,8 @@ def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
     local += [F.lag(c).over(w).alias(f"_lp_{c}") for c in cols]
     local += [F.lead(c).over(w).alias(f"_ln_{c}") for c in cols]
     local += [F.sum(s).over(upto).alias(f"_lr_{s}") for s in sums]
+    before_row = w.rowsBetween(Window.unboundedPreceding, -1)
+    local += [F.max(m).over(before_row).alias(f"_lm_{m}") for m in maxes]
     rows = rows.select("*", *local)
 
     def cur(c: str) -> Column:
@@ -87,6 +95,7 @@ def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
             F.min_by(packed, F.col("_li")).alias("_first"),
             F.max_by(packed, F.col("_li")).alias("_last")]
     aggs += [F.sum(s).alias(f"_bt_{s}") for s in sums]
+    aggs += [F.max(m).alias(f"_bm_{m}") for m in maxes]
     if new_island is not None:
         aggs.append(F.max(F.when(F.col("_lflag"), F.col("_li"))).alias("_bstart"))
     summary = rows.groupBy(*key, b).agg(*aggs)
@@ -99,6 +108,7 @@ def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
         F.lag("_last").over(kw).alias("_pb"),
         F.lead("_first").over(kw).alias("_nb"),
         *[F.coalesce(F.sum(f"_bt_{s}").over(before), F.lit(0)).alias(f"_bo_{s}") for s in sums],
+        *[F.max(f"_bm_{m}").over(before).alias(f"_bx_{m}") for m in maxes],
         *([F.col("_bstart")] if new_island is not None else []),
     )
     if new_island is not None:
@@ -122,6 +132,8 @@ def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
         final.append(F.when(last_row, F.col("_nb")[c]).otherwise(F.col(f"_ln_{c}")).alias(f"next_{c}"))
     for s in sums:
         final.append((F.col(f"_bo_{s}") + F.col(f"_lr_{s}")).alias(f"_run_{s}"))
+    for m in maxes:
+        final.append(F.greatest(F.col(f"_bx_{m}"), F.col(f"_lm_{m}")).alias(f"_max_{m}"))
     if new_island is not None:
         final.append(F.when(first_row, F.col("_fstart")).otherwise(F.col("_lflag")).alias("_is_start"))
         start = (F.when(F.col("_lstart").isNotNull(), F.col("_off") + F.col("_lstart"))

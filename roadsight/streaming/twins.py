@@ -111,3 +111,20 @@ def dangerous_car_stream(passes_with_limit: DataFrame, times: int = 3, within_ms
     m = sp.groupBy("car").transformWithState(DangerousCarProcessor(times, within_ms),
                                              DANGER_OUTPUT, "Append", "EventTime")
     return m.select("car", *danger_ops._summarise(F.col("events")))
+
+
+def late_rows(df: DataFrame, ts: str = "action_time", arrival: str = "seq",
+              delay_ms: int = 5_000, bucket: int = 1_000_000) -> DataFrame:
+    """Batch audit of lateness: rows whose event time is more than
+    ``delay_ms`` behind the largest event time that arrived before them (in
+    ``arrival`` order) — the rows a watermark of that delay may drop.  A
+    per-row bound: micro-batches advance the watermark less often, so a
+    stream drops a subset of these.  ``max_seen_time`` is that largest time.
+
+    The running maximum over the whole arrival order is a bucketed ordered
+    scan (``bucket`` arrival ids per bucket), not a single-task window.
+    """
+    from roadsight.plans.sequence import ordered_scan
+    s = ordered_scan(df, [], arrival, arrival, maxes=[ts], bucket_ms=bucket)
+    return (s.filter(F.col(f"_max_{ts}") - F.lit(delay_ms) > F.col(ts))
+             .select(*df.columns, F.col(f"_max_{ts}").alias("max_seen_time")))

@@ -186,3 +186,32 @@ def test_danger_matches_brute_force(spark, seed, emit):
     df = df.join(cars, "seq").drop("car").withColumnRenamed("car2", "car")
     got = {(r.car, r.start_time, r.end_time, r.pass_count) for r in dangerous_car(df, emit=emit).collect()}
     assert got == brute_danger([(t, c, s) for t, c, s in rows], emit=emit)
+
+
+def test_late_rows_matches_brute_force(spark):
+    from roadsight.streaming.twins import late_rows
+    rnd = random.Random(21)
+    rows = [(i * 1_000 + rnd.randrange(-9_000, 9_000), "0001", "c", 50.0, i) for i in range(400)]
+    got = {(r.seq, r.max_seen_time) for r in late_rows(traffic_df(spark, rows), bucket=37).collect()}
+    want, mx = set(), None
+    for t, _, _, _, seq in rows:
+        if mx is not None and mx - 5_000 > t:
+            want.add((seq, mx))
+        mx = t if mx is None else max(mx, t)
+    assert got == want and len(want) > 0
+
+
+def test_hot_key_is_split_over_tasks(spark):
+    from pyspark.sql import functions as F
+    from roadsight.plans.sequence import ordered_scan
+    rows = [(i * 3_000, "0001", "hot", 50.0, i) for i in range(2_000)]   # one car, 100 minutes
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        s = ordered_scan(traffic_df(spark, rows), ["car"], "action_time", "seq", bucket_ms=60_000)
+        parts = s.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts > 1
+        assert sorted(r._pos for r in s.collect()) == list(range(1, 2_001))
+    finally:
+        spark.conf.set(key, old)
