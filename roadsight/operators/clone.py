@@ -22,7 +22,7 @@ def clone_rule(gap_ms: int = 10_000, distinct_monitors: bool = False):
 
 
 def cloned_plate(traffic: DataFrame, gap_ms: int = 10_000, distinct_monitors: bool = False,
-                 bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+                 bucket_ms: int = DEFAULT_BUCKET_MS, split: str = "time") -> DataFrame:
     """Two consecutive passes of one car less than ``gap_ms`` apart.
 
     Keyed state semantics, in event-time order: the first pass is held; a
@@ -30,10 +30,11 @@ def cloned_plate(traffic: DataFrame, gap_ms: int = 10_000, distinct_monitors: bo
     never overlap), otherwise the later pass replaces the held one.  Closed
     form: islands split where the gap is ``>= gap_ms``; every 2nd, 4th, ...
     pass of an island pairs with its predecessor.  Ties in time are ordered
-    by ``seq``.
+    by ``seq``.  ``split``/``bucket_ms``: see :func:`ordered_scan`.
     """
     s = ordered_scan(traffic, ["car"], "action_time", "seq", carry=["monitor_id"],
-                     new_island=clone_rule(gap_ms, distinct_monitors), bucket_ms=bucket_ms)
+                     new_island=clone_rule(gap_ms, distinct_monitors), bucket_ms=bucket_ms,
+                     split=split)
     pairs = s.filter((F.col("_pos") - F.col("_start")) % 2 == 1)
     return pairs.select("car", F.col("prev_monitor_id").alias("first_monitor"),
                         F.col("monitor_id").alias("second_monitor"),

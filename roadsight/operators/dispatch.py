@@ -95,7 +95,7 @@ def tagged_union(violations: DataFrame, actions: DataFrame) -> DataFrame:
 
 
 def pair_violation_action(violations: DataFrame, actions: DataFrame, timeout_ms: int = 5_000,
-                          bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+                          bucket_ms: int = DEFAULT_BUCKET_MS, split: str = "time") -> DataFrame:
     """One-to-one pairing with timeout (see module doc), in event-time order.
 
     Closed form over the per-car record stream: islands split where the gap
@@ -109,7 +109,7 @@ def pair_violation_action(violations: DataFrame, actions: DataFrame, timeout_ms:
     u = tagged_union(violations, actions)
     s = ordered_scan(u, ["car"], "t", "seq", carry=["kind", "violation", "police_id",
                                                     "action_status"],
-                     new_island=pair_rule(timeout_ms), bucket_ms=bucket_ms)
+                     new_island=pair_rule(timeout_ms), bucket_ms=bucket_ms, split=split)
     odd = (F.col("_pos") - F.col("_start")) % 2 == 1
     lone = ~odd & F.col("_next_is_start")
     cur_v = F.col("kind") == "v"

@@ -38,7 +38,8 @@ DEFAULT_BUCKET_MS = 10 * 60 * 1000
 def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
                  carry: Sequence[str] = (), new_island: IslandRule | None = None,
                  sums: Sequence[str] = (), maxes: Sequence[str] = (),
-                 bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+                 bucket_ms: int = DEFAULT_BUCKET_MS, split: str = "time",
+                 partitions: int | None = None) -> DataFrame:
     """Add order facts to every row of ``df``.
 
     Rows of one key are ordered by ``(ts, tiebreak)`` (``tiebreak`` unique per
@@ -57,6 +58,14 @@ def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
 
     ``key`` may be empty (one ordered sequence over the whole table); the
     bucket width is in units of ``ts``.
+
+    ``split="time"`` (default) buckets by ``floor(ts / bucket_ms)``: no extra
+    pass, and a hot key is spread over its time range.  ``split="range"``
+    range-partitions by ``(key, ts, tiebreak)`` instead — Spark samples the
+    data, so even rows piled on one timestamp are cut into balanced runs —
+    and uses the partition id as bucket; the partitioned data is checkpointed
+    (reliable, under ``spark.checkpoint.dir``) so that ids cannot change if a
+    task is recomputed.
     """
     key = list(key)
     cols = list(dict.fromkeys([ts, tiebreak, *carry]))
@@ -67,8 +76,18 @@ def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
     valid = F.col(ts).isNotNull()
     for k in key:
         valid = valid & F.col(k).isNotNull()
-    bucket = F.floor(F.col(ts) / F.lit(bucket_ms)).cast("long")
-    rows = df.filter(valid).withColumn(b, bucket).filter(F.col(b).isNotNull())
+    if split == "time":
+        bucket = F.floor(F.col(ts) / F.lit(bucket_ms)).cast("long")
+        rows = df.filter(valid).withColumn(b, bucket).filter(F.col(b).isNotNull())
+    elif split == "range":
+        from roadsight.session import checkpoint_root
+        checkpoint_root(df.sparkSession)
+        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = (df.filter(valid).repartitionByRange(n, *key, ts, tiebreak)
+                  .withColumn(b, F.spark_partition_id().cast("long")).checkpoint(eager=True)
+                  .filter(F.col(b).isNotNull()))
+    else:
+        raise ValueError("split must be 'time' or 'range'")
     w = Window.partitionBy(*key, b).orderBy(ts, tiebreak)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 

@@ -215,3 +215,15 @@ def test_hot_key_is_split_over_tasks(spark):
         assert sorted(r._pos for r in s.collect()) == list(range(1, 2_001))
     finally:
         spark.conf.set(key, old)
+
+
+def test_range_split_equals_fold_with_timestamp_pileup(spark):
+    rnd = random.Random(31)
+    # many rows on few timestamps: time buckets cannot split them, ranges can
+    rows = [(rnd.choice([0, 4_000, 30_000]), f"{rnd.randrange(3):04d}", f"car{rnd.randrange(2)}", 50.0, i)
+            for i in range(500)]
+    got = {(r.car, r.first_monitor, r.second_monitor, r.first_time, r.warning_time)
+           for r in cloned_plate(traffic_df(spark, rows), split="range").collect()}
+    assert got == fold_clone(rows)
+    recs = [(f"car{rnd.randrange(2)}", rnd.choice([0, 3_000, 20_000]), i, rnd.choice("vp")) for i in range(400)]
+    assert run_pairing(spark, recs, split="range") == fold_pairing(recs)
