@@ -11,12 +11,13 @@ CLONE_MESSAGE = "涉嫌套牌车"   # fixed value: warning text of a cloned-plat
 
 
 def clone_rule(gap_ms: int = 10_000, distinct_monitors: bool = False):
-    """Island rule: a pass opens a new candidate pair when it is ``gap_ms`` or
-    more after the previous pass (and, optionally, at the same checkpoint)."""
+    """Island rule (SQL): a pass opens a new candidate pair when it is
+    ``gap_ms`` or more after the previous pass (and, optionally, at the same
+    checkpoint)."""
     def rule(prev, cur):
-        brk = (cur("action_time") - prev("action_time")) >= F.lit(gap_ms)
+        brk = f"({cur('action_time')} - {prev('action_time')}) >= {int(gap_ms)}"
         if distinct_monitors:
-            brk = brk | (cur("monitor_id") == prev("monitor_id"))
+            brk = f"({brk}) OR ({cur('monitor_id')} = {prev('monitor_id')})"
         return brk
     return rule
 
@@ -35,12 +36,10 @@ def cloned_plate(traffic: DataFrame, gap_ms: int = 10_000, distinct_monitors: bo
     s = ordered_scan(traffic, ["car"], "action_time", "seq", carry=["monitor_id"],
                      new_island=clone_rule(gap_ms, distinct_monitors), bucket_ms=bucket_ms,
                      split=split)
-    pairs = s.filter((F.col("_pos") - F.col("_start")) % 2 == 1)
-    return pairs.select("car", F.col("prev_monitor_id").alias("first_monitor"),
-                        F.col("monitor_id").alias("second_monitor"),
-                        F.col("prev_action_time").alias("first_time"),
-                        F.col("action_time").alias("warning_time"),
-                        F.lit(CLONE_MESSAGE).alias("warning_msg"))
+    return s.where("(_pos - _start) % 2 = 1").selectExpr(
+        "car", "prev_monitor_id AS first_monitor", "monitor_id AS second_monitor",
+        "prev_action_time AS first_time", "action_time AS warning_time",
+        f"'{CLONE_MESSAGE}' AS warning_msg")
 
 
 def clone_to_violation(warnings: DataFrame) -> DataFrame:

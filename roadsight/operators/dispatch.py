@@ -76,10 +76,12 @@ def classify_violation_action(violations: DataFrame, actions: DataFrame, lower_m
 
 
 def pair_rule(timeout_ms: int):
-    """A record starts a new pairing island when it is more than ``timeout_ms``
-    after its predecessor or of the same kind (the pending one is replaced)."""
+    """Island rule (SQL): a record starts a new pairing island when it is more
+    than ``timeout_ms`` after its predecessor or of the same kind (the
+    pending one is replaced)."""
     def rule(prev, cur):
-        return ((cur("t") - prev("t")) > F.lit(timeout_ms)) | (cur("kind") == prev("kind"))
+        return (f"({cur('t')} - {prev('t')}) > {int(timeout_ms)} "
+                f"OR {cur('kind')} = {prev('kind')}")
     return rule
 
 
@@ -110,26 +112,22 @@ def pair_violation_action(violations: DataFrame, actions: DataFrame, timeout_ms:
     s = ordered_scan(u, ["car"], "t", "seq", carry=["kind", "violation", "police_id",
                                                     "action_status"],
                      new_island=pair_rule(timeout_ms), bucket_ms=bucket_ms, split=split)
-    odd = (F.col("_pos") - F.col("_start")) % 2 == 1
-    lone = ~odd & F.col("_next_is_start")
-    cur_v = F.col("kind") == "v"
-
-    def side(name: str, v_side: bool) -> F.Column:
-        # matched rows take the field from whichever of (prev, cur) has the kind
-        mine = cur_v if v_side else ~cur_v
-        return F.when(mine, F.col(name)).when(odd, F.col("prev_" + name))
-
-    superseded = (F.col("next_kind") == F.col("kind")) & \
-                 ((F.col("next_t") - F.col("t")) <= F.lit(timeout_ms))
-    outcome = (F.when(odd, F.lit("matched"))
-                .when(cur_v, F.lit("unmatched_violation")).otherwise(F.lit("unmatched_action")))
-    reason = F.when(odd, F.lit(None).cast("string")).when(superseded, F.lit("superseded")) \
-              .otherwise(F.lit("expired"))
-    # a single projection over the scanned rows (no union of two branches)
-    return s.filter(odd | lone).select(
-        outcome.alias("outcome"), reason.alias("reason"), "car",
-        side("violation", True).alias("violation"),
-        F.when(cur_v, F.col("t")).when(odd, F.col("prev_t")).alias("create_time"),
-        side("police_id", False).alias("police_id"),
-        side("action_status", False).alias("action_status"),
-        F.when(~cur_v, F.col("t")).when(odd, F.col("prev_t")).alias("action_time"))
+    # odd: the 2nd, 4th, ... record of an island, matched with its predecessor;
+    # lone: the last record of an odd-sized island.  One projection, no union.
+    odd = "(_pos - _start) % 2 = 1"
+    is_v = "kind = 'v'"
+
+    def side(name: str, v_side: bool) -> str:
+        mine = is_v if v_side else f"NOT ({is_v})"
+        return f"CASE WHEN {mine} THEN {name} WHEN {odd} THEN prev_{name} END AS {name}"
+
+    superseded = f"next_kind = kind AND next_t - t <= {int(timeout_ms)}"
+    return s.where(f"({odd}) OR _next_is_start").selectExpr(
+        f"CASE WHEN {odd} THEN 'matched' WHEN {is_v} THEN 'unmatched_violation' "
+        "ELSE 'unmatched_action' END AS outcome",
+        f"CASE WHEN {odd} THEN CAST(NULL AS STRING) WHEN {superseded} THEN 'superseded' "
+        "ELSE 'expired' END AS reason",
+        "car", side("violation", True),
+        f"CASE WHEN {is_v} THEN t WHEN {odd} THEN prev_t END AS create_time",
+        side("police_id", False), side("action_status", False),
+        f"CASE WHEN NOT ({is_v}) THEN t WHEN {odd} THEN prev_t END AS action_time")

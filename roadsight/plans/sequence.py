@@ -7,8 +7,7 @@ key's time order: the previous and next row, its position, where its
 but sends all rows of a key to one task, which fails when a single key holds
 a large share of the data.
 
-:func:`ordered_scan` splits each key into time buckets and works in two
-levels:
+:func:`ordered_scan` splits each key into buckets and works in two levels:
 
 1. rows are windowed per ``(key, bucket)`` (bounded work per task): local
    position, local neighbours, local running values;
@@ -16,25 +15,32 @@ levels:
    facts) is scanned per key ordered by bucket — this is tiny, one row per
    bucket — and joined back to supply what crosses bucket borders:
    the position offset, the neighbour across the border, the island start
-   carried in from earlier buckets and the running sums of earlier buckets.
+   carried in from earlier buckets and the running values of earlier buckets.
 
-The result equals the single-window formulation exactly (tests compare the
-two), and no task ever holds more than one key's bucket.
+The result equals the single-window formulation exactly (tests compare it
+with sequential folds), and no task ever holds more than one key's bucket.
+Expressions are written as SQL text (``selectExpr``): a handful of calls
+into the JVM per step instead of one per column node.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Accessor = Callable[[str], Column]
-IslandRule = Callable[[Accessor, Accessor], Column]
+Accessor = Callable[[str], str]
+# rule(prev, cur) -> SQL boolean text; prev("t") / cur("t") give column references
+IslandRule = Callable[[Accessor, Accessor], str]
 
 DEFAULT_BUCKET_MS = 10 * 60 * 1000
 
 
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
 def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
                  carry: Sequence[str] = (), new_island: IslandRule | None = None,
                  sums: Sequence[str] = (), maxes: Sequence[str] = (),
@@ -43,21 +49,21 @@ def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
     """Add order facts to every row of ``df``.
 
     Rows of one key are ordered by ``(ts, tiebreak)`` (``tiebreak`` unique per
-    key).  Added columns:
+    key); rows with a NULL key or time are dropped (they have no place in a
+    keyed time order).  Added columns:
 
     * ``_pos``  — 1-based position within the key;
     * ``prev_<c>``, ``next_<c>`` for ``c`` in ``carry`` (+ ``ts``, ``tiebreak``);
-    * with ``new_island(prev, cur)`` (a boolean rule over the previous and the
-      current row; the first row of a key always starts an island):
-      ``_is_start``, ``_start`` (position of the island's first row) and
-      ``_next_is_start`` (true when the next row starts an island or there is
-      no next row);
+    * with ``new_island(prev, cur)`` — a SQL boolean over the previous and the
+      current row, e.g. ``lambda p, c: f"{c('t')} - {p('t')} > 5000"``; the
+      first row of a key always starts an island: ``_is_start``, ``_start``
+      (position of the island's first row) and ``_next_is_start`` (true when
+      the next row starts an island or there is no next row);
     * ``_run_<s>`` — running sum of column ``s`` up to and including the row;
     * ``_max_<m>`` — running maximum of column ``m`` over the rows *before*
       the row (NULL for the first row).
 
-    ``key`` may be empty (one ordered sequence over the whole table); the
-    bucket width is in units of ``ts``.
+    ``key`` may be empty (one ordered sequence over the whole table).
 
     ``split="time"`` (default) buckets by ``floor(ts / bucket_ms)``: no extra
     pass, and a hot key is spread over its time range.  ``split="range"``
@@ -69,95 +75,88 @@ def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
     """
     key = list(key)
     cols = list(dict.fromkeys([ts, tiebreak, *carry]))
-    b = "_bucket"
-    # Rows without key or time have no place in a keyed time order.  Filtering
-    # them here also gives both branches below the same plan, so the row
-    # shuffle is computed once and reused by the summary branch.
-    valid = F.col(ts).isNotNull()
-    for k in key:
-        valid = valid & F.col(k).isNotNull()
+    keys = ", ".join(_q(k) for k in key)
+    valid = " AND ".join(f"{_q(c)} IS NOT NULL" for c in [ts, *key])
+
+    # Filtering NULLs here also gives both branches below the same plan, so
+    # the row shuffle is computed once and reused by the summary branch.
     if split == "time":
-        bucket = F.floor(F.col(ts) / F.lit(bucket_ms)).cast("long")
-        rows = df.filter(valid).withColumn(b, bucket).filter(F.col(b).isNotNull())
+        rows = df.where(valid).selectExpr(
+            "*", f"CAST(FLOOR({_q(ts)} / {int(bucket_ms)}) AS BIGINT) AS _bucket")
     elif split == "range":
         from roadsight.session import checkpoint_root
         checkpoint_root(df.sparkSession)
         n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = (df.filter(valid).repartitionByRange(n, *key, ts, tiebreak)
-                  .withColumn(b, F.spark_partition_id().cast("long")).checkpoint(eager=True)
-                  .filter(F.col(b).isNotNull()))
+        rows = (df.where(valid).repartitionByRange(n, *key, ts, tiebreak)
+                  .withColumn("_bucket", F.spark_partition_id().cast("long"))
+                  .checkpoint(eager=True))
     else:
         raise ValueError("split must be 'time' or 'range'")
-    w = Window.partitionBy(*key, b).orderBy(ts, tiebreak)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.where("_bucket IS NOT NULL")
 
-    local = [F.row_number().over(w).alias("_li")]
-    local += [F.lag(c).over(w).alias(f"_lp_{c}") for c in cols]
-    local += [F.lead(c).over(w).alias(f"_ln_{c}") for c in cols]
-    local += [F.sum(s).over(upto).alias(f"_lr_{s}") for s in sums]
-    before_row = w.rowsBetween(Window.unboundedPreceding, -1)
-    local += [F.max(m).over(before_row).alias(f"_lm_{m}") for m in maxes]
-    rows = rows.select("*", *local)
+    part = f"PARTITION BY {keys + ', ' if key else ''}_bucket"
+    order = f"ORDER BY {_q(ts)}, {_q(tiebreak)}"
+    w = f"OVER ({part} {order})"
+    upto = f"OVER ({part} {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    before_row = f"OVER ({part} {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
-    def cur(c: str) -> Column:
-        return F.col(c)
+    local = ["*", f"row_number() {w} AS _li"]
+    local += [f"lag({_q(c)}) {w} AS `_lp_{c}`" for c in cols]
+    local += [f"lead({_q(c)}) {w} AS `_ln_{c}`" for c in cols]
+    local += [f"sum({_q(s)}) {upto} AS `_lr_{s}`" for s in sums]
+    local += [f"max({_q(m)}) {before_row} AS `_lm_{m}`" for m in maxes]
+    rows = rows.selectExpr(*local)
 
     if new_island is not None:
-        lflag = F.col("_lp_" + ts).isNotNull() & new_island(lambda c: F.col("_lp_" + c), cur)
-        nflag = F.col("_ln_" + ts).isNotNull() & new_island(cur, lambda c: F.col("_ln_" + c))
-        rows = rows.withColumn("_lflag", lflag).withColumn("_nflag", nflag)
-        rows = rows.withColumn("_lstart", F.max(F.when(F.col("_lflag"), F.col("_li"))).over(upto))
+        lflag = new_island(lambda c: f"`_lp_{c}`", _q)
+        nflag = new_island(_q, lambda c: f"`_ln_{c}`")
+        rows = rows.selectExpr(
+            "*", f"(`_lp_{ts}` IS NOT NULL AND ({lflag})) AS _lflag",
+            f"(`_ln_{ts}` IS NOT NULL AND ({nflag})) AS _nflag")
+        rows = rows.selectExpr("*", f"max(CASE WHEN _lflag THEN _li END) {upto} AS _lstart")
 
     # ---- level 2: one row per (key, bucket), scanned per key by bucket
-    packed = F.struct(*[F.col(c) for c in cols])
-    aggs = [F.count(F.lit(1)).alias("_cnt"),
-            F.min_by(packed, F.col("_li")).alias("_first"),
-            F.max_by(packed, F.col("_li")).alias("_last")]
-    aggs += [F.sum(s).alias(f"_bt_{s}") for s in sums]
-    aggs += [F.max(m).alias(f"_bm_{m}") for m in maxes]
+    packed = "struct(" + ", ".join(_q(c) for c in cols) + ")"
+    aggs = ["count(1) AS _cnt", f"min_by({packed}, _li) AS _first",
+            f"max_by({packed}, _li) AS _last"]
+    aggs += [f"sum({_q(s)}) AS `_bt_{s}`" for s in sums]
+    aggs += [f"max({_q(m)}) AS `_bm_{m}`" for m in maxes]
+    if new_island is not None:
+        aggs.append("max(CASE WHEN _lflag THEN _li END) AS _bstart")
+    summary = rows.groupBy(*key, "_bucket").agg(*[F.expr(a) for a in aggs])
+
+    kp = f"PARTITION BY {keys}" if key else ""
+    kw = f"OVER ({kp} ORDER BY _bucket)"
+    before = f"OVER ({kp} ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    level2 = [*[_q(k) for k in key], "_bucket", "_cnt", "_first", "_last",
+              f"coalesce(sum(_cnt) {before}, 0) AS _off",
+              f"lag(_last) {kw} AS _pb", f"lead(_first) {kw} AS _nb"]
+    level2 += [f"coalesce(sum(`_bt_{s}`) {before}, 0) AS `_bo_{s}`" for s in sums]
+    level2 += [f"max(`_bm_{m}`) {before} AS `_bx_{m}`" for m in maxes]
     if new_island is not None:
-        aggs.append(F.max(F.when(F.col("_lflag"), F.col("_li"))).alias("_bstart"))
-    summary = rows.groupBy(*key, b).agg(*aggs)
-
-    kw = Window.partitionBy(*key).orderBy(b)
-    before = kw.rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.select(
-        *key, b, "_cnt", "_first", "_last",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.lag("_last").over(kw).alias("_pb"),
-        F.lead("_first").over(kw).alias("_nb"),
-        *[F.coalesce(F.sum(f"_bt_{s}").over(before), F.lit(0)).alias(f"_bo_{s}") for s in sums],
-        *[F.max(f"_bm_{m}").over(before).alias(f"_bx_{m}") for m in maxes],
-        *([F.col("_bstart")] if new_island is not None else []),
-    )
+        level2.append("_bstart")
+    summary = summary.selectExpr(*level2)
     if new_island is not None:
-        first_start = F.col("_pb").isNull() | new_island(lambda c: F.col("_pb")[c],
-                                                         lambda c: F.col("_first")[c])
-        summary = summary.withColumn("_fstart", first_start)
-        last_start = F.coalesce(F.col("_bstart"), F.when(F.col("_fstart"), F.lit(1)))
-        summary = summary.withColumn("_bstart_g", F.col("_off") + last_start)
-        summary = summary.withColumn("_carry", F.max("_bstart_g").over(before))
-        next_first = F.col("_nb").isNull() | new_island(lambda c: F.col("_last")[c],
-                                                        lambda c: F.col("_nb")[c])
-        summary = summary.withColumn("_nfstart", next_first).drop("_bstart", "_bstart_g")
-
-    out = rows.join(summary.drop("_first", "_last"), [*key, b], "inner")
-    first_row = F.col("_li") == 1
-    last_row = F.col("_li") == F.col("_cnt")
-    final = [F.col(c) for c in df.columns]
-    final.append((F.col("_off") + F.col("_li")).alias("_pos"))
+        fstart = new_island(lambda c: f"_pb.`{c}`", lambda c: f"_first.`{c}`")
+        nfstart = new_island(lambda c: f"_last.`{c}`", lambda c: f"_nb.`{c}`")
+        summary = summary.selectExpr(
+            "*", f"(_pb IS NULL OR ({fstart})) AS _fstart",
+            f"(_nb IS NULL OR ({nfstart})) AS _nfstart")
+        summary = summary.selectExpr(
+            "*", "_off + coalesce(_bstart, CASE WHEN _fstart THEN 1 END) AS _bstart_g")
+        summary = summary.selectExpr("*", f"max(_bstart_g) {before} AS _carry")
+    summary = summary.drop("_first", "_last", "_bstart", "_bstart_g")
+
+    out = rows.join(summary, [*key, "_bucket"], "inner")
+    final = [_q(c) for c in df.columns] + ["_off + _li AS _pos"]
     for c in cols:
-        final.append(F.when(first_row, F.col("_pb")[c]).otherwise(F.col(f"_lp_{c}")).alias(f"prev_{c}"))
-        final.append(F.when(last_row, F.col("_nb")[c]).otherwise(F.col(f"_ln_{c}")).alias(f"next_{c}"))
-    for s in sums:
-        final.append((F.col(f"_bo_{s}") + F.col(f"_lr_{s}")).alias(f"_run_{s}"))
-    for m in maxes:
-        final.append(F.greatest(F.col(f"_bx_{m}"), F.col(f"_lm_{m}")).alias(f"_max_{m}"))
+        final.append(f"CASE WHEN _li = 1 THEN _pb.`{c}` ELSE `_lp_{c}` END AS `prev_{c}`")
+        final.append(f"CASE WHEN _li = _cnt THEN _nb.`{c}` ELSE `_ln_{c}` END AS `next_{c}`")
+    final += [f"`_bo_{s}` + `_lr_{s}` AS `_run_{s}`" for s in sums]
+    final += [f"greatest(`_bx_{m}`, `_lm_{m}`) AS `_max_{m}`" for m in maxes]
     if new_island is not None:
-        final.append(F.when(first_row, F.col("_fstart")).otherwise(F.col("_lflag")).alias("_is_start"))
-        start = (F.when(F.col("_lstart").isNotNull(), F.col("_off") + F.col("_lstart"))
-                  .when(F.col("_fstart"), F.col("_off") + F.lit(1))
-                  .otherwise(F.col("_carry")))
-        final.append(start.alias("_start"))
-        final.append(F.when(last_row, F.col("_nfstart")).otherwise(F.col("_nflag")).alias("_next_is_start"))
-    return out.select(*final)
+        final += ["CASE WHEN _li = 1 THEN _fstart ELSE _lflag END AS _is_start",
+                  "CASE WHEN _lstart IS NOT NULL THEN _off + _lstart "
+                  "WHEN _fstart THEN _off + 1 ELSE _carry END AS _start",
+                  "CASE WHEN _li = _cnt THEN _nfstart ELSE _nflag END AS _next_is_start"]
+    return out.selectExpr(*final)

@@ -26,8 +26,17 @@ COMPRESSION = 1000
 PLATE_PREFIX = "京A"
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; the DataFrame (file listing and footers) is reused
+    within a session since the driver tables are read-only."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = _TABLES.get(path)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[path] = spark.read.parquet(path)
+    return df
 
 
 def _epoch_ms(df: DataFrame, col: str = "ts") -> Column:
