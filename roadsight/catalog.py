@@ -536,3 +536,18 @@ def q_dangerous_car_longest_stream(spark, d):
     s = _sentinel_traffic(spark, d, "danger")
     pw = speed.with_limit(s, tb.limits(spark, d), carry=["seq"])
     return not_sentinel(run_to_table(dangerous_car_stream(pw), "dangerous-car"))
+
+
+@register("area_vehicle_running_stream", W("passes") + """
+SELECT action_time - action_time % 30000 AS start_time,
+       action_time - action_time % 30000 + 30000 AS end_time, area_id,
+       cast(count(DISTINCT car) as integer) AS car_count
+FROM passes GROUP BY 1, 2, 3""")
+def q_area_vehicle_running_stream(spark, d):
+    from roadsight.streaming.harness import SENTINEL, run_updates_to_table
+    from roadsight.streaming.twins import area_vehicles_running_stream
+    s = _sentinel_traffic(spark, d, "area-running").drop("seq")
+    updates = run_updates_to_table(area_vehicles_running_stream(s, "30 seconds"), "area-running")
+    # the change log's last update per (window, area) is the final count
+    last = latest_by_key(updates, ["start_time", "end_time", "area_id"], "_batch")
+    return last.drop("_batch").filter(F.col("area_id") != SENTINEL)

@@ -65,3 +65,9 @@ def bitmap_offset(value="car", num_bits: int = 1 << 25) -> Column:
     h = F.xxhash64(_c(value))
     pos = F.when(h < 0, F.bitwise_not(h)).otherwise(h)
     return pos % F.lit(num_bits)
+
+
+def with_detected_at(df, column: str = "detected_at"):
+    """Add the processing time of detection (wall clock), next to the
+    deterministic event-time stamps every alert already carries."""
+    return df.withColumn(column, F.current_timestamp())

@@ -92,13 +92,15 @@ def _area_text(n_col: str) -> F.Column:
 
 
 def area_vehicles(traffic: DataFrame, window: str = "30 seconds", distinct: str = "car",
-                  rsd: float = 0.02) -> DataFrame:
+                  rsd: float = 0.02, lg_config_k: int = 12) -> DataFrame:
     """Distinct vehicles per area per tumbling window.
 
     ``distinct="car"`` — exact distinct cars (a two-phase distinct aggregate:
     rows are pre-deduplicated per (window, area, car) before the count);
     ``"record"`` — distinct whole pass records; ``"approx"`` — HyperLogLog++
-    estimate with relative error ``rsd`` (fixed-size state, streaming friendly).
+    estimate with relative error ``rsd`` (fixed-size state, streaming friendly);
+    ``"sketch"`` — the estimate plus the mergeable HLL sketch ``car_sketch``
+    (``hll_union_agg`` combines sketches of several areas or windows).
     """
     t = _with_event_time(traffic)
     g = t.groupBy(F.window("event_time", window), "area_id")
@@ -109,8 +111,15 @@ def area_vehicles(traffic: DataFrame, window: str = "30 seconds", distinct: str
                                           if c not in ("event_time", "seq")]))
     elif distinct == "approx":
         agg = F.approx_count_distinct("car", rsd)
+    elif distinct == "sketch":
+        # mergeable HLL sketches: union them later over areas or windows
+        out = g.agg(F.hll_sketch_agg("car", lg_config_k).alias("car_sketch"))
+        out = out.select(*window_bounds_ms(), "area_id",
+                         F.hll_sketch_estimate("car_sketch").cast("int").alias("car_count"),
+                         "car_sketch")
+        return out.withColumn("alert_text", _area_text("car_count"))
     else:
-        raise ValueError("distinct must be 'car', 'record' or 'approx'")
+        raise ValueError("distinct must be 'car', 'record', 'approx' or 'sketch'")
     out = g.agg(agg.cast("int").alias("car_count")).select(*window_bounds_ms(), "area_id",
                                                            "car_count")
     return out.withColumn("alert_text", _area_text("car_count"))

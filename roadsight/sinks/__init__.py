@@ -2,5 +2,6 @@
 
 from roadsight.sinks.writers import (  # noqa: F401
     SPEEDING_TABLE_COLUMNS, AVERAGE_SPEED_TABLE_COLUMNS, VIOLATION_TABLE_COLUMNS, alert_console,
-    read_tracks, upsert_daily_violations, write_jdbc, write_jdbc_stream, write_tracks,
+    read_tracks, upsert_daily_violations, upsert_daily_violations_stream, write_jdbc,
+    write_jdbc_stream, write_tracks,
 )

@@ -96,3 +96,11 @@ def alert_console(stream: DataFrame, column: str = "alert_text", truncate: bool
     """Print alert lines of a stream (the source jobs' ``print`` sinks)."""
     return (stream.select(column).writeStream.format("console")
                   .option("truncate", str(truncate).lower()).outputMode("append").start())
+
+
+def upsert_daily_violations_stream(stream: DataFrame, path: str, checkpoint: str):
+    """Streaming daily upsert: each micro-batch is merged into the
+    day-partitioned table (read-merge-write of the touched days only)."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        upsert_daily_violations(batch, path)
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).start()

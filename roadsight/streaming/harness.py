@@ -79,3 +79,23 @@ def run_to_table(stream: DataFrame, name: str, output_mode: str = "append",
 
 def not_sentinel(df: DataFrame, col: str = "car") -> DataFrame:
     return df.filter(F.col(col) != F.lit(SENTINEL))
+
+
+def run_updates_to_table(stream: DataFrame, name: str, rocksdb: bool = True) -> DataFrame:
+    """Run an update-mode ``stream`` with AvailableNow; every emitted update
+    is appended with its micro-batch id (``_batch``) to a parquet table,
+    which is returned (a change log: the last update per key is the state)."""
+    spark: SparkSession = stream.sparkSession
+    if rocksdb:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    out = scratch_dir(spark, f"updates-{name}")
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        # idempotent per batch id: a retried batch overwrites its own folder
+        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite") \
+             .parquet(f"{out}/data/_batch_id={batch_id}")
+
+    q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", out + "/checkpoint")
+               .outputMode("update").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out + "/data").drop("_batch_id")

@@ -128,3 +128,14 @@ def late_rows(df: DataFrame, ts: str = "action_time", arrival: str = "seq",
     s = ordered_scan(df, [], arrival, arrival, maxes=[ts], bucket_ms=bucket)
     return (s.filter(F.col(f"_max_{ts}") - F.lit(delay_ms) > F.col(ts))
              .select(*df.columns, F.col(f"_max_{ts}").alias("max_seen_time")))
+
+
+def area_vehicles_running_stream(traffic: DataFrame, window: str = "30 seconds") -> DataFrame:
+    """Running distinct-vehicle count per area and window in update mode:
+    every micro-batch emits the current count of each window it touched
+    (the per-element trigger of the source job, at micro-batch grain).
+    Dedup state and counts are evicted by the watermark."""
+    t = watermarked(traffic).withColumn("window", F.window("event_time", window))
+    dedup = t.dropDuplicates(["window", "area_id", "car"])
+    g = dedup.groupBy("window", "area_id").agg(F.count(F.lit(1)).cast("int").alias("car_count"))
+    return g.select(*window_bounds_ms(), "area_id", "car_count")
