@@ -71,3 +71,16 @@ def with_detected_at(df, column: str = "detected_at"):
     """Add the processing time of detection (wall clock), next to the
     deterministic event-time stamps every alert already carries."""
     return df.withColumn(column, F.current_timestamp())
+
+
+_UNITS_MS = {"millisecond": 1, "second": 1_000, "minute": 60_000, "hour": 3_600_000,
+             "day": 86_400_000}
+
+
+def duration_ms(d) -> int:
+    """``"5 minutes"`` / ``"30 seconds"`` / int milliseconds → milliseconds."""
+    if isinstance(d, int):
+        return d
+    n, unit = d.strip().split()
+    unit = unit.lower().rstrip("s")
+    return int(float(n) * _UNITS_MS[unit])

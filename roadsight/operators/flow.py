@@ -7,11 +7,13 @@ first); grouping by ``F.window`` lets Spark evict window state by watermark.
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadsight.functions.exprs import (
-    bitmap_offset, cents, event_time, half_up_mean_cents, window_bounds_ms,
+    bitmap_offset, duration_ms, event_time, half_up_mean_cents, window_bounds_ms,
 )
 from roadsight.plans.sequence import ordered_scan
 from roadsight.sources.dims import area_names
@@ -23,33 +25,57 @@ def _with_event_time(traffic: DataFrame) -> DataFrame:
     return traffic.withColumn("event_time", event_time("action_time"))
 
 
+def _pane_windows(traffic: DataFrame, window: str, slide: str, aggs: dict) -> DataFrame:
+    """Sliding-window aggregation through panes ("no pane, no gain").
+
+    Rows are first aggregated per (checkpoint, pane) where the pane is
+    ``gcd(window, slide)`` — one pass over the raw rows, combined map-side —
+    and only the small pane table is assigned to the ``window / pane``
+    overlapping windows and re-aggregated.  ``F.window`` with a slide would
+    instead copy every raw row into every overlapping window before the
+    aggregation.  ``aggs`` maps output name → (SQL expression per row,
+    "sum" or "count").  Windows are epoch-aligned ``[start, start + window)``.
+    """
+    w, sl = duration_ms(window), duration_ms(slide)
+    pane = gcd(w, sl)
+    per_row = [F.expr(f"sum({e})").alias(n) if kind == "sum" else F.count(F.lit(1)).alias(n)
+               for n, (e, kind) in aggs.items()]
+    panes = (traffic.withColumn("_pane", F.col("action_time") - F.pmod("action_time", F.lit(pane)))
+                    .groupBy("monitor_id", "_pane").agg(*per_row))
+    lo = F.col("_pane") - F.lit(w - pane)
+    first = lo + F.pmod(-lo, F.lit(sl))
+    last = F.col("_pane") - F.pmod("_pane", F.lit(sl))
+    spread = panes.withColumn("start_time", F.explode(F.sequence(first, last, F.lit(sl))))
+    return (spread.groupBy("start_time", "monitor_id")
+                  .agg(*[F.sum(n).alias(n) for n in aggs])
+                  .withColumn("end_time", F.col("start_time") + F.lit(w)))
+
+
 def avg_speed(traffic: DataFrame, window: str = "5 minutes", slide: str = "1 minute",
               two_decimal_input: bool = True) -> DataFrame:
     """Average speed and number of passes per checkpoint per sliding window.
 
-    ``(sum, count)`` is a two-phase aggregate: every task pre-aggregates its
-    rows per (window, checkpoint) before the shuffle.  The mean is rounded
-    HALF_UP to two decimals; for speeds with at most two decimals
-    (``two_decimal_input``) it is computed exactly from integer hundredths.
+    Pane-based (see :func:`_pane_windows`): raw rows are aggregated once,
+    two-phase, per (checkpoint, pane).  The mean is rounded HALF_UP to two
+    decimals; for speeds with at most two decimals (``two_decimal_input``) it
+    is computed exactly from integer hundredths.
     """
-    t = _with_event_time(traffic)
-    g = t.groupBy(F.window("event_time", window, slide), "monitor_id")
     if two_decimal_input:
-        g = g.agg(F.sum(cents("speed")).alias("_c"), F.count(F.lit(1)).alias("_n"))
+        g = _pane_windows(traffic, window, slide, {"_c": ("CAST(ROUND(speed * 100) AS BIGINT)", "sum"),
+                                                   "_n": ("1", "count")})
         avg = half_up_mean_cents(F.col("_c"), F.col("_n"))
     else:
-        g = g.agg(F.avg("speed").alias("_a"), F.count(F.lit(1)).alias("_n"))
-        avg = F.round(F.col("_a"), 2)
-    return g.select(*window_bounds_ms(), "monitor_id", avg.alias("avg_speed"),
+        g = _pane_windows(traffic, window, slide, {"_s": ("speed", "sum"), "_n": ("1", "count")})
+        avg = F.round(F.col("_s") / F.col("_n"), 2)
+    return g.select("start_time", "end_time", "monitor_id", avg.alias("avg_speed"),
                     F.col("_n").cast("int").alias("car_count"))
 
 
 def flow(traffic: DataFrame, window: str = "5 minutes", slide: str | None = "1 minute") -> DataFrame:
-    """Passes per checkpoint per window (traffic flow)."""
-    t = _with_event_time(traffic)
-    w = F.window("event_time", window, slide) if slide else F.window("event_time", window)
-    return (t.groupBy(w, "monitor_id").agg(F.count(F.lit(1)).alias("_n"))
-             .select(*window_bounds_ms(), "monitor_id", F.col("_n").cast("int").alias("car_count")))
+    """Passes per checkpoint per window (traffic flow); tumbling when
+    ``slide`` is None."""
+    g = _pane_windows(traffic, window, slide or window, {"_n": ("1", "count")})
+    return g.select("start_time", "end_time", "monitor_id", F.col("_n").cast("int").alias("car_count"))
 
 
 def top_n_avg_speed(averages: DataFrame, n: int = 3) -> DataFrame:
