@@ -459,14 +459,14 @@ def q_stream_scan(spark, d):
     src = tb.traffic_lines(spark, d).withColumn("_t", F.split("value", ",").getItem(0).cast("long"))
     path, _ = replay(src, "_t", "lines", slices=4, fmt="text")
     s = stream_traffic(spark, "text", path, "strict", maxFilesPerTrigger=1)
-    return run_to_table(s, "stream-scan", rocksdb=False)
+    return run_to_table(s, "stream-scan")
 
 
 @register("out_of_speed_stream", REGISTRY["out_of_speed"][1])
 def q_out_of_speed_stream(spark, d):
     from roadsight.streaming.harness import run_to_table
     s = _sentinel_traffic(spark, d, "oos")
-    return run_to_table(speed.out_of_speed(s, tb.limits(spark, d)), "out-of-speed", rocksdb=False)
+    return run_to_table(speed.out_of_speed(s, tb.limits(spark, d)), "out-of-speed")
 
 
 @register("car_track_stream", REGISTRY["car_track"][1])
@@ -476,7 +476,7 @@ def q_car_track_stream(spark, d):
     s = _sentinel_traffic(spark, d, "track")
     # append-only writes of keyed rows; the read side keeps the last write per key
     written = run_to_table(with_row_key(to_track(listed_passes(s, tb.watch_list(spark, d)))),
-                           "car-track", rocksdb=False)
+                           "car-track")
     return keyed_tracks(written.drop("row_key"))
 
 
@@ -518,7 +518,7 @@ def q_cloned_plate_stream(spark, d):
     from roadsight.streaming.harness import not_sentinel, run_to_table
     from roadsight.streaming.twins import cloned_plate_stream
     s = _sentinel_traffic(spark, d, "clone")
-    return not_sentinel(run_to_table(cloned_plate_stream(s), "cloned-plate"))
+    return not_sentinel(run_to_table(cloned_plate_stream(s), "cloned-plate", rocksdb=True))
 
 
 @register("pair_violation_action_stream", PAIR_SQL)
@@ -526,7 +526,7 @@ def q_pair_violation_action_stream(spark, d):
     from roadsight.streaming.harness import not_sentinel, run_to_table
     from roadsight.streaming.twins import pair_violation_action_stream
     v, p = _sentinel_dispatch(spark, d, "pair")
-    return not_sentinel(run_to_table(pair_violation_action_stream(v, p), "pairing"))
+    return not_sentinel(run_to_table(pair_violation_action_stream(v, p), "pairing", rocksdb=True))
 
 
 @register("dangerous_car_longest_stream", _danger_sql(False))
@@ -535,7 +535,7 @@ def q_dangerous_car_longest_stream(spark, d):
     from roadsight.streaming.twins import dangerous_car_stream
     s = _sentinel_traffic(spark, d, "danger")
     pw = speed.with_limit(s, tb.limits(spark, d), carry=["seq"])
-    return not_sentinel(run_to_table(dangerous_car_stream(pw), "dangerous-car"))
+    return not_sentinel(run_to_table(dangerous_car_stream(pw), "dangerous-car", rocksdb=True))
 
 
 @register("area_vehicle_running_stream", W("passes") + """
