@@ -42,11 +42,6 @@ def half_up_mean_cents(sum_cents: Column, n: Column) -> Column:
     return q.cast("double") / F.lit(100)
 
 
-def half_up_2(x: Column) -> Column:
-    """HALF_UP to two decimals on a double (``%.2f`` formatting semantics)."""
-    return F.round(x, 2)
-
-
 def track_row_key(car="car", action_time="action_time") -> Column:
     """Newest-first row key ``car + "_" + (Long.MAX_VALUE - action_time)``.
 
