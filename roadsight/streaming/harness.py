@@ -74,16 +74,45 @@ def _write(part: DataFrame, path: str, fmt: str) -> None:
         part.write.mode("append").parquet(path)
 
 
+class _StreamingConf:
+    """Session settings for one synchronous replay query, restored after it.
+
+    State partitions of a streaming query are fixed at its first batch from
+    ``spark.sql.shuffle.partitions`` (AQE does not coalesce them); the replay
+    uses the session's default parallelism (total cores) instead of a batch
+    default such as 200, so no micro-batch runs hundreds of near-empty
+    state-store tasks."""
+
+    def __init__(self, spark: SparkSession, rocksdb: bool):
+        self.spark, self.rocksdb = spark, rocksdb
+
+    def __enter__(self):
+        conf = self.spark.conf
+        keys = ["spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass"]
+        self.saved = {k: conf.get(k, None) for k in keys}
+        conf.set("spark.sql.shuffle.partitions", str(self.spark.sparkContext.defaultParallelism))
+        _state_store(self.spark, self.rocksdb)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
+
+
 def run_to_table(stream: DataFrame, name: str, output_mode: str = "append",
                  rocksdb: bool = True) -> DataFrame:
     """Run ``stream`` with AvailableNow into a parquet sink; return the sink."""
     spark: SparkSession = stream.sparkSession
-    _state_store(spark, rocksdb)
     out = scratch_dir(spark, f"sink-{name}")
-    q = (stream.writeStream.format("parquet").option("path", out + "/data")
-               .option("checkpointLocation", out + "/checkpoint")
-               .outputMode(output_mode).trigger(availableNow=True).start())
-    q.awaitTermination()
+    with _StreamingConf(spark, rocksdb):
+        q = (stream.writeStream.format("parquet").option("path", out + "/data")
+                   .option("checkpointLocation", out + "/checkpoint")
+                   .outputMode(output_mode).trigger(availableNow=True).start())
+        q.awaitTermination()
     return spark.read.parquet(out + "/data")
 
 
@@ -96,7 +125,6 @@ def run_updates_to_table(stream: DataFrame, name: str, rocksdb: bool = True) ->
     is appended with its micro-batch id (``_batch``) to a parquet table,
     which is returned (a change log: the last update per key is the state)."""
     spark: SparkSession = stream.sparkSession
-    _state_store(spark, rocksdb)
     out = scratch_dir(spark, f"updates-{name}")
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -104,7 +132,8 @@ def run_updates_to_table(stream: DataFrame, name: str, rocksdb: bool = True) ->
         batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite") \
              .parquet(f"{out}/data/_batch_id={batch_id}")
 
-    q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", out + "/checkpoint")
-               .outputMode("update").trigger(availableNow=True).start())
-    q.awaitTermination()
+    with _StreamingConf(spark, rocksdb):
+        q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", out + "/checkpoint")
+                   .outputMode("update").trigger(availableNow=True).start())
+        q.awaitTermination()
     return spark.read.parquet(out + "/data").drop("_batch_id")
