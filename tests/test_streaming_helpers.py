@@ -32,3 +32,34 @@ def test_hll_sketches_merge(spark):
     assert all(abs(got[k] - exact[k]) <= max(1, 0.05 * exact[k]) for k in exact)
     merged = sk.agg(F.hll_sketch_estimate(F.hll_union_agg("car_sketch")).alias("n")).first().n
     assert abs(merged - 40) <= 2
+
+
+def test_streaming_sinks(spark):
+    import tempfile
+    from roadsight.operators.danger import daily_violation_upsert
+    from roadsight.sinks import upsert_daily_violations_stream, write_jdbc_stream
+    from roadsight.streaming.harness import replay
+    day = 86_400_000
+    rows = [("a", f"m{i}", i * day // 3, i % 5) for i in range(12)] + [("b", "x", 5, 2)]
+    reports = spark.createDataFrame(rows, "car string, violation string, create_time long, out_count int")
+    _, stream = replay(reports, "create_time", "sink-test", slices=3)
+    base = tempfile.mkdtemp(prefix="roadsight-sinks-")
+    q = upsert_daily_violations_stream(stream, base + "/table", base + "/ck1")
+    q.processAllAvailable()
+    q.stop()
+    got = sorted((r.car, str(r.day), r.violation, r.out_count)
+                 for r in spark.read.parquet(base + "/table").collect())
+    want = sorted((r.car, str(r.day), r.violation, r.out_count)
+                  for r in daily_violation_upsert(reports, reports.limit(0)).collect())
+    assert got == want
+
+    url = "jdbc:derby:memory:roadsight_stream;create=true"
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    _, stream2 = replay(reports, "create_time", "sink-test-2", slices=3)
+    q = write_jdbc_stream(stream2, url, "t_violation_list", base + "/ck2",
+                          columns=["car", "violation", "create_time"], driver=driver)
+    q.processAllAvailable()
+    q.stop()
+    back = spark.read.format("jdbc").option("url", url).option("dbtable", "t_violation_list") \
+        .option("driver", driver).load()
+    assert back.count() == len(rows)
