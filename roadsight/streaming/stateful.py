@@ -41,6 +41,7 @@ DANGER_EVENT = T.StructType([T.StructField("action_time", T.LongType()),
                              T.StructField("real_speed", T.DoubleType()),
                              T.StructField("limit_speed", T.IntegerType()),
                              T.StructField("cents", T.LongType())])
+DANGER_INPUT = T.StructType(DANGER_EVENT.fields + [T.StructField("_own", T.BooleanType())])
 DANGER_OUTPUT = T.StructType([T.StructField("car", T.StringType()),
                               T.StructField("events", T.ArrayType(DANGER_EVENT))])
 
@@ -168,9 +169,15 @@ class PairingProcessor(_Buffered):
 
 
 class DangerousCarProcessor(_Buffered):
-    """Recent speeding passes within ``within_ms``; ``times`` or more → match."""
+    """Recent speeding passes within ``within_ms``; ``times`` or more → match.
 
-    schema = DANGER_EVENT
+    Keyed by (car, time bucket of at least ``within_ms``): every pass arrives
+    as owner of its bucket, and passes near a bucket's end also as halo of
+    the next bucket, so a match is complete within its owner's key and only
+    owner passes emit — a hot car is spread over its buckets.
+    """
+
+    schema = DANGER_INPUT
     ts_field = "action_time"
 
     def __init__(self, times: int = 3, within_ms: int = 120_000):
@@ -178,7 +185,7 @@ class DangerousCarProcessor(_Buffered):
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.recent = handle.getListState("recent", DANGER_EVENT)
+        self.recent = handle.getListState("recent", DANGER_INPUT)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         wm = timerValues.getCurrentWatermarkInMs()
@@ -186,10 +193,10 @@ class DangerousCarProcessor(_Buffered):
         if not ready:
             return
         recent = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
+        names = DANGER_EVENT.fieldNames()
         for rec in ready:
             recent = [r for r in recent if r[0] > rec[0] - self.within_ms] + [tuple(rec)]
-            if len(recent) >= self.times:
-                names = DANGER_EVENT.fieldNames()
+            if rec[-1] and len(recent) >= self.times:       # owner pass ends a match
                 yield Row(car=key[0], events=[dict(zip(names, r)) for r in recent])
         # later records have t >= watermark: older passes can never match again
         recent = [r for r in recent if r[0] > wm - self.within_ms]

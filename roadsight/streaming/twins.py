@@ -101,15 +101,29 @@ def pair_violation_action_stream(violations: DataFrame, actions: DataFrame,
 
 
 def dangerous_car_stream(passes_with_limit: DataFrame, times: int = 3, within_ms: int = 120_000,
-                         ratio: float = 1.2) -> DataFrame:
-    """Longest match ending at each speeding pass (``emit="longest"``)."""
+                         ratio: float = 1.2, key_bucket_ms: int = 30 * 60 * 1000) -> DataFrame:
+    """Longest match ending at each speeding pass (``emit="longest"``).
+
+    State is keyed by (car, ``key_bucket_ms`` time bucket), so a hot car is
+    spread over its buckets; larger buckets mean fewer keys, smaller ones
+    less state per key."""
     # The watermark tracks all passes (as the source job assigns it before the
     # pattern); the speeding condition filters afterwards.
     sp = speeding(watermarked(passes_with_limit), ratio).select(
         "car", "action_time", "seq", "monitor_id", "real_speed", "limit_speed",
         cents("real_speed").alias("cents"), "event_time")
-    m = sp.groupBy("car").transformWithState(DangerousCarProcessor(times, within_ms),
-                                             DANGER_OUTPUT, "Append", "EventTime")
+    # Key = (car, bucket of key_bucket_ms >= within_ms): a pass is owned by its
+    # bucket; passes in the last within_ms of a bucket are also copied into
+    # the next bucket as halo, so every match is complete in its owner's key.
+    width = max(key_bucket_ms, within_ms)
+    bucket = F.floor(F.col("action_time") / F.lit(width)).cast("long")
+    in_tail = F.pmod(F.col("action_time"), F.lit(width)) >= F.lit(width - within_ms)
+    copies = F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    sp = (sp.withColumn("_copy", F.explode(copies))
+            .withColumn("_b", bucket + F.col("_copy"))
+            .withColumn("_own", F.col("_copy") == 0).drop("_copy"))
+    m = sp.groupBy("car", "_b").transformWithState(DangerousCarProcessor(times, within_ms),
+                                                   DANGER_OUTPUT, "Append", "EventTime")
     return m.select("car", *danger_ops._summarise(F.col("events")))
 
 
