@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadsight.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from roadsight.plans.joins import bounded_broadcast
 
 SPEEDING_COLUMNS = ["car", "monitor_id", "road_id", "real_speed", "limit_speed", "action_time"]
 
 
-def _limit_side(limits: DataFrame, max_broadcast_rows: int) -> DataFrame:
+def _limit_side(limits: DataFrame, max_broadcast_rows: int | None) -> DataFrame:
     # Only two columns travel; the checkpoint table is broadcast when its row
     # count is proven small, else the join is a shuffle join on monitor_id.
     side = limits.select("monitor_id", F.col("speed_limit").alias("limit_speed"))
@@ -19,7 +19,7 @@ def _limit_side(limits: DataFrame, max_broadcast_rows: int) -> DataFrame:
 
 def out_of_speed(traffic: DataFrame, limits: DataFrame, ratio: float = 1.1,
                  carry: list[str] | None = None,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int | None = None) -> DataFrame:
     """Passes more than ``ratio`` × limit (strict ``>``) at checkpoints that
     have a limit; passes at checkpoints without a limit row give nothing.
 
@@ -35,7 +35,7 @@ def out_of_speed(traffic: DataFrame, limits: DataFrame, ratio: float = 1.1,
 
 def with_limit(traffic: DataFrame, limits: DataFrame, default_limit: int = 80,
                carry: list[str] | None = None,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_rows: int | None = None) -> DataFrame:
     """Every pass with the limit of its checkpoint, ``default_limit`` when the
     checkpoint has none.  Not filtered."""
     carry = carry or []

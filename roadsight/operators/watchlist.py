@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadsight.functions.exprs import track_row_key
-from roadsight.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from roadsight.plans.joins import bounded_broadcast
 from roadsight.plans.numbering import count_window
 from roadsight.schemas import TRACK_COLUMNS
 from roadsight.sources.dims import latest_by_key
@@ -15,7 +15,7 @@ SUSPECTED_CLONE = "嫌疑套牌车"   # fixed value: watch-list text for a suspe
 
 
 def listed_passes(traffic: DataFrame, watch: DataFrame,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int | None = None) -> DataFrame:
     """Passes of cars on the watch list (semi join: list duplicates never
     multiply passes).  The distinct car list is broadcast only when its size
     is proven small; a large list is a shuffle semi join."""

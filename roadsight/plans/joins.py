@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 # most this many rows; otherwise the join stays a shuffle join (AQE may still
 # turn it into a broadcast from runtime statistics).
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# Session setting overriding the bound (executor memory decides what is safe).
+BROADCAST_ROWS_CONF = "spark.roadsight.broadcastMaxRows"
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
@@ -20,10 +22,15 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` when its size is proven small, else ``df`` unchanged.
+
+    ``max_rows`` defaults to the session setting ``spark.roadsight.broadcastMaxRows``
+    (1,000,000 when unset)."""
     if df.isStreaming:
         return df
+    if max_rows is None:
+        max_rows = int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
     return F.broadcast(df) if fits(df, max_rows) else df
 
 

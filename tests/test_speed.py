@@ -31,3 +31,16 @@ def test_broadcast_only_when_bounded(spark):
     plan_small = small._jdf.queryExecution().optimizedPlan().toString()
     plan_big = big._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan_small.lower() and "broadcast" not in plan_big.lower()
+
+
+def test_broadcast_bound_from_session(spark):
+    lim = limits(spark, [("0002", "03", 80, "01"), ("0003", "03", 80, "01")])
+    t = traffic_df(spark, [(1, "0002", "a", 96.0)])
+    spark.conf.set("spark.roadsight.broadcastMaxRows", "1")
+    try:
+        plan = out_of_speed(t, lim, 0.0)._jdf.queryExecution().optimizedPlan().toString()
+        assert "broadcast" not in plan.lower()
+    finally:
+        spark.conf.unset("spark.roadsight.broadcastMaxRows")
+    plan = out_of_speed(t, lim, 0.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan.lower()
