@@ -71,3 +71,15 @@ def test_running_distinct_matches_brute_force(spark):
         cars.add(car)
         want.add((seq, new, len(cars)))
     assert got == want
+
+
+def test_flow_tumbling_and_detected_at(spark):
+    from roadsight.functions.exprs import with_detected_at
+    from roadsight.operators.flow import flow
+    t = traffic_df(spark, [(1, "0001", "a", 50.0), (29_999, "0001", "b", 50.0), (30_000, "0001", "c", 50.0),
+                           (5, "0002", "d", 50.0)])
+    got = sorted((r.start_time, r.end_time, r.monitor_id, r.car_count)
+                 for r in flow(t, "30 seconds", None).collect())
+    assert got == [(0, 30_000, "0001", 2), (0, 30_000, "0002", 1), (30_000, 60_000, "0001", 1)]
+    stamped = with_detected_at(flow(t, "30 seconds", None))
+    assert "detected_at" in stamped.columns and stamped.filter("detected_at IS NULL").count() == 0
