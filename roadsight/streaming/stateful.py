@@ -67,9 +67,10 @@ class _Buffered(StatefulProcessor):
         return iter([])
 
     def _take_ready(self, watermark: int) -> list:
-        if not self.buf.exists():
-            return []
+        # every state call is a round trip to the JVM: no separate exists()
         recs = list(self.buf.get())
+        if not recs:
+            return []
         i = self.schema.fieldNames().index(self.ts_field)
         ready = sorted((r for r in recs if r[i] < watermark), key=lambda r: (r[i], r[1]))
         if ready:
@@ -99,7 +100,7 @@ class ClonedPlateProcessor(_Buffered):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         ready = self._take_ready(timerValues.getCurrentWatermarkInMs())
-        held = self.held.get() if self.held.exists() else None
+        held = self.held.get()
         for t, seq, monitor in ready:
             if held is None:
                 held = (t, seq, monitor)
@@ -140,7 +141,8 @@ class PairingProcessor(_Buffered):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         wm = timerValues.getCurrentWatermarkInMs()
         car = key[0]
-        pend = tuple(self.pending.get()) if self.pending.exists() else None
+        pend = self.pending.get()
+        pend = tuple(pend) if pend is not None else None
         changed = False
         for rec in self._take_ready(wm):
             changed = True
@@ -192,7 +194,7 @@ class DangerousCarProcessor(_Buffered):
         ready = self._take_ready(wm)
         if not ready:
             return
-        recent = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
+        recent = [tuple(r) for r in self.recent.get()]
         names = DANGER_EVENT.fieldNames()
         for rec in ready:
             recent = [r for r in recent if r[0] > rec[0] - self.within_ms] + [tuple(rec)]
