@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -39,8 +39,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting points at shared storage and is read from the
-    session.  Only when it is unset (local tests) a private folder is made and
-    registered, so lineage cuts and scratch tables always land in one place.
+    session; where it is missing there, this is an error, as a folder of the
+    driver's own disk would be unseen by executors.  Only a ``local`` master
+    gets a private folder, so that tests and small runs need no setting.
     """
     sc = spark.sparkContext
     jdir = sc._jsc.sc().getCheckpointDir()
@@ -48,15 +49,18 @@ def checkpoint_root(spark: SparkSession) -> str:
         return jdir.get()
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="roadsight-ckpt-")
     sc.setCheckpointDir(root)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint root (never reused)."""
+    """A fresh sub-folder of the checkpoint root (never reused), made by its own file system."""
     root = checkpoint_root(spark)
     path = root.rstrip("/") + f"/roadsight-{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(sc._jsc.hadoopConfiguration()).mkdirs(hadoop)
     return path
