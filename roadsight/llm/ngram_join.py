@@ -38,6 +38,8 @@ BUCKETS = 1024
 CHUNK_DOCS, CHUNK_SHINGLES = 4096, 1 << 20
 LIGHT = 32
 BLOCK = 256
+#: Cost of a subset, which is dealt out, sorted and counted, in entries of a scanned list.
+SUBSET_COST = 3
 _STEP = [np.uint64(c) for c in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 _LOW = np.uint64((1 << 48) - 1)
 
@@ -210,7 +212,7 @@ def _places(key, postings, classes):
             one, two = max(0, min(own, rest + 1)), max(0, min(own, rest + 2))
             if one:
                 rows.append((int(prints[i]), size, tokens[lo:lo + one].tobytes(), tokens[lo:lo + two].tobytes(),
-                             int(df[lo]), two * (two - 1) // 2, int(df[lo:lo + one].sum()), _pack48(np.sort(tokens[lo:hi]))))
+                             int(df[lo]), two * (two - 1) // 2, int(np.minimum(df[lo:lo + one], LIGHT).sum()), _pack48(np.sort(tokens[lo:hi]))))
     names = [f.split()[0] for f in CANDIDATE.split(", ")]
     types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 8, types)], names=names)
@@ -219,7 +221,8 @@ def _places(key, postings, classes):
 def boundary(candidates: DataFrame) -> int:
     """The set size up to which subsets are cheaper than scans, by the summed costs of all sets.
 
-    Sizes are grouped four classes an octave, so the driver sees a few hundred sums at most.
+    A subset costs ``SUBSET_COST``; a scan costs the entries of its list, ``LIGHT`` at most, as longer lists are not scanned but met in blocks.  Sizes are grouped four classes an
+    octave, so the driver sees a few hundred sums at most.
     """
     size_class = F.floor(F.log2("n") * 4)
     costs = (candidates.groupBy(size_class.alias("k")).agg(F.max("n").alias("n"), F.sum("subsets").alias("subsets"),
@@ -227,7 +230,7 @@ def boundary(candidates: DataFrame) -> int:
     at, total = 0, sum(r.scans for r in costs)
     least = total
     for r in costs:
-        total += r.subsets - r.scans
+        total += SUBSET_COST * r.subsets - r.scans
         if total <= least:
             least, at = total, r.n
     return at
