@@ -28,17 +28,19 @@ def window_bounds_ms(window_col: str = "window") -> list[Column]:
     return [F.unix_millis(w.start).alias("start_time"), F.unix_millis(w.end).alias("end_time")]
 
 
-def cents(speed="speed") -> Column:
-    """Speed with two decimals as an exact integer number of hundredths."""
-    return F.round(_c(speed) * F.lit(100)).cast("long")
+def micros(speed="speed") -> Column:
+    """Speed as an integer number of millionths, so that sums are exact in any order."""
+    return F.round(_c(speed) * F.lit(1_000_000)).cast("long")
 
 
-def half_up_mean_cents(sum_cents: Column, n: Column) -> Column:
-    """Mean of values given as integer hundredths, rounded HALF_UP to 2 decimals.
+def half_up_mean(total: Column, n: Column) -> Column:
+    """Mean of values given as integer millionths, rounded HALF_UP to 2 decimals.
 
-    Exact and independent of summation order: ``((2c + n) div 2n) / 100``.
+    Exact and independent of summation order: ``((2t + mn) div 2mn) / 100`` with
+    ``m`` millionths to a hundredth.  NULL when ``n`` is 0.
     """
-    q = F.call_function("div", F.lit(2) * sum_cents + n, F.lit(2) * n)
+    per = F.nullif(n, F.lit(0)).cast("long") * F.lit(10_000)
+    q = F.call_function("div", F.lit(2) * total + per, F.lit(2) * per)
     return q.cast("double") / F.lit(100)
 
 

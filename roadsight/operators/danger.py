@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadsight.functions.exprs import cents, half_up_mean_cents
+from roadsight.functions.exprs import micros, half_up_mean
 from roadsight.operators.speed import speeding
 
 
@@ -30,8 +30,8 @@ def _element_text(x: Column, i: Column) -> Column:
 
 def _summarise(events: Column) -> list[Column]:
     n = F.size(events)
-    total = F.aggregate(events, F.lit(0).cast("long"), lambda acc, x: acc + x["cents"])
-    avg = half_up_mean_cents(total, n)
+    total = F.aggregate(events, F.lit(0).cast("long"), lambda acc, x: acc + x["micros"])
+    avg = half_up_mean(total, n)
     text = F.concat(F.lit("当前车辆"), F.col("car"), F.lit("，涉嫌危险驾驶，它在两分钟内经过的卡口数为："),
                     n.cast("string"), F.array_join(F.transform(events, _element_text), ""),
                     F.lit("它在两分钟内的平均车速为："), avg.cast("string"))
@@ -52,7 +52,7 @@ def dangerous_car(passes_with_limit: DataFrame, times: int = 3, within_ms: int =
         raise ValueError("emit must be 'all' or 'longest'")
     sp = speeding(passes_with_limit, ratio).select(
         "car", "action_time", "seq", "monitor_id", "real_speed", "limit_speed",
-        cents("real_speed").alias("cents"))
+        micros("real_speed").alias("micros"))
     bucket = F.floor(F.col("action_time") / F.lit(within_ms)).cast("long")
     # one pass: the row itself (copy 0, owner) and its halo copy for the next bucket
     both = (sp.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
@@ -62,7 +62,7 @@ def dangerous_car(passes_with_limit: DataFrame, times: int = 3, within_ms: int =
     order = Window.partitionBy("car", "_b").orderBy("action_time", "seq")
     frame = (Window.partitionBy("car", "_b").orderBy("action_time")
                    .rangeBetween(-(within_ms - 1), Window.currentRow))
-    ev = F.struct("action_time", "seq", "monitor_id", "real_speed", "limit_speed", "cents")
+    ev = F.struct("action_time", "seq", "monitor_id", "real_speed", "limit_speed", "micros")
     w = (both.withColumn("_idx", F.row_number().over(order))
              .withColumn("_lo", F.min("_idx").over(frame))
              .withColumn("_frame", F.collect_list(ev).over(frame))

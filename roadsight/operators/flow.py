@@ -12,8 +12,9 @@ from math import gcd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadsight.plans.joins import bounded_broadcast
 from roadsight.functions.exprs import (
-    bitmap_offset, duration_ms, event_time, half_up_mean_cents, window_bounds_ms,
+    bitmap_offset, duration_ms, event_time, half_up_mean, window_bounds_ms,
 )
 from roadsight.plans.sequence import ordered_scan
 from roadsight.sources.dims import area_names
@@ -38,7 +39,7 @@ def _pane_windows(traffic: DataFrame, window: str, slide: str, aggs: dict) -> Da
     """
     w, sl = duration_ms(window), duration_ms(slide)
     pane = gcd(w, sl)
-    per_row = [F.expr(f"sum({e})").alias(n) if kind == "sum" else F.count(F.lit(1)).alias(n)
+    per_row = [F.expr(f"{kind}({e})").alias(n)
                for n, (e, kind) in aggs.items()]
     panes = (traffic.withColumn("_pane", F.col("action_time") - F.pmod("action_time", F.lit(pane)))
                     .groupBy("monitor_id", "_pane").agg(*per_row))
@@ -57,16 +58,18 @@ def avg_speed(traffic: DataFrame, window: str = "5 minutes", slide: str = "1 min
 
     Pane-based (see :func:`_pane_windows`): raw rows are aggregated once,
     two-phase, per (checkpoint, pane).  The mean is rounded HALF_UP to two
-    decimals; for speeds with at most two decimals (``two_decimal_input``) it
-    is computed exactly from integer hundredths.
+    decimals; for speeds with at most six decimals (``two_decimal_input``, the
+    default) it is computed exactly from integer millionths.  Passes without
+    speed count as passes but not in the mean.
     """
     if two_decimal_input:
-        g = _pane_windows(traffic, window, slide, {"_c": ("CAST(ROUND(speed * 100) AS BIGINT)", "sum"),
-                                                   "_n": ("1", "count")})
-        avg = half_up_mean_cents(F.col("_c"), F.col("_n"))
+        g = _pane_windows(traffic, window, slide, {"_c": ("CAST(ROUND(speed * 1000000) AS BIGINT)", "sum"),
+                                                   "_s": ("speed", "count"), "_n": ("1", "count")})
+        avg = half_up_mean(F.col("_c"), F.col("_s"))
     else:
-        g = _pane_windows(traffic, window, slide, {"_s": ("speed", "sum"), "_n": ("1", "count")})
-        avg = F.round(F.col("_s") / F.col("_n"), 2)
+        g = _pane_windows(traffic, window, slide, {"_s": ("speed", "sum"), "_m": ("speed", "count"),
+                                                   "_n": ("1", "count")})
+        avg = F.round(F.col("_s") / F.nullif(F.col("_m"), F.lit(0)), 2)
     return g.select("start_time", "end_time", "monitor_id", avg.alias("avg_speed"),
                     F.col("_n").cast("int").alias("car_count"))
 
@@ -210,5 +213,5 @@ def area_vehicles_running(traffic: DataFrame, window_ms: int = 30_000,
 
 def with_area_name(df: DataFrame, areas: DataFrame | None = None) -> DataFrame:
     """Left-join area names (the eight-row dictionary is broadcast)."""
-    areas = areas if areas is not None else area_names(df.sparkSession)
-    return df.join(F.broadcast(areas), "area_id", "left")
+    side = F.broadcast(area_names(df.sparkSession)) if areas is None else bounded_broadcast(areas)
+    return df.join(side, "area_id", "left")

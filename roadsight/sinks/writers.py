@@ -22,6 +22,9 @@ from roadsight.session import checkpoint_root
 from roadsight.sources.dims import latest_by_key
 
 SPEEDING_TABLE_COLUMNS = ["car", "monitor_id", "road_id", "real_speed", "limit_speed", "action_time"]
+#: Files that a day is written to, so that no day passes through one task.
+DAY_FILES = 8
+DAILY_SCHEMA = "car string, violation string, create_time long, out_count int, day date"
 AVERAGE_SPEED_TABLE_COLUMNS = ["start_time", "end_time", "monitor_id", "avg_speed", "car_count"]
 VIOLATION_TABLE_COLUMNS = ["car", "violation", "create_time"]
 
@@ -49,24 +52,38 @@ def write_jdbc_stream(stream: DataFrame, url: str, table: str, checkpoint: str,
 def upsert_daily_violations(new: DataFrame, path: str) -> DataFrame:
     """Merge violation reports into the day-partitioned table at ``path``.
 
-    Only the days present in ``new`` are read back (partition pruning through
-    a semi join on ``day``) and rewritten.  Returns the table.
+    Only the days present in ``new`` are read back (the range of its days prunes
+    partitions, a null-safe semi join picks the days) and rewritten; reports
+    without time live in the partition of the null day.  A table that is not
+    there yet is a first write; any other read error is raised, so stored rows
+    are never overwritten by a failed read.  Returns the table.
     """
     spark = new.sparkSession
     day = F.date_from_unix_date(F.call_function("div", F.col("create_time"),
                                                 F.lit(86_400_000)).cast("int"))
     new = new.select("car", "violation", "create_time", "out_count")
-    try:
-        existing = spark.read.parquet(path)
-        days = new.select(day.alias("day")).distinct()
-        touched = existing.join(days, "day", "left_semi").drop("day")
-    except Exception:  # first write: no table yet
+    if _table_exists(spark, path):
+        existing = spark.read.schema(DAILY_SCHEMA).parquet(path)
+        days = new.select(day.alias("_day")).distinct()
+        lo, hi = days.agg(F.min("_day"), F.max("_day")).first()
+        in_range = F.col("day").isNull() if lo is None else F.col("day").isNull() | F.col("day").between(F.lit(lo), F.lit(hi))
+        touched = (existing.where(in_range).join(days, F.col("day").eqNullSafe(F.col("_day")), "left_semi").drop("day"))
+    else:
         touched = new.limit(0)
     checkpoint_root(spark)
     merged = daily_violation_upsert(new, touched).checkpoint(eager=True)
-    (merged.repartition("day").write.mode("overwrite")
+    (merged.repartition(F.col("day"), F.pmod(F.xxhash64("car"), F.lit(DAY_FILES))).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path))
-    return spark.read.parquet(path)
+    return spark.read.schema(DAILY_SCHEMA).parquet(path)
+
+
+def _table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether data files are at ``path``, asked of the path's own file system."""
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(sc._jsc.hadoopConfiguration())
+    return bool(fs.exists(hadoop)) and any(
+        not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(hadoop))
 
 
 def write_tracks(tracks: DataFrame, path: str, partitions: int | None = None) -> None:

@@ -54,7 +54,8 @@ def _compressed_ms(df: DataFrame) -> Column:
 
 
 def _plate(id_col: str) -> Column:
-    return F.concat(F.lit(PLATE_PREFIX), F.lpad(F.col(id_col).cast("string"), 5, "0"))
+    number = F.col(id_col).cast("string")  # padded to five characters, never cut
+    return F.concat(F.lit(PLATE_PREFIX), F.when(F.length(number) < 5, F.lpad(number, 5, "0")).otherwise(number))
 
 
 def passes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +154,7 @@ def daily_reports(spark: SparkSession, sf_dir: str, event_type: str) -> DataFram
 # ---------------------------------------------------------------- DuckDB twins
 _EPOCH_MS_SQL = "(epoch_us(ts) // 1000)"
 _COMPRESSED_SQL = f"({BASE_MS} + ({_EPOCH_MS_SQL} - {BASE_MS}) // {COMPRESSION})"
-_PLATE_SQL = "('" + PLATE_PREFIX + "' || lpad(cast({c} as varchar), 5, '0'))"
+_PLATE_SQL = "('" + PLATE_PREFIX + "' || lpad(cast({c} as varchar), greatest(5, length(cast({c} as varchar))), '0'))"
 
 SQL_VIEWS = {
     "passes": f"""

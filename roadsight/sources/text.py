@@ -40,13 +40,13 @@ def _parse(lines: DataFrame, col: str, schema: T.StructType, mode: str) -> DataF
             val = _strict_cast(raw, dt)
         else:
             val = raw.try_cast(dt)
-            bad = bad | (raw.isNotNull() & val.isNull())
         out.append(val.alias(f.name))
+        if dt != "string":
+            bad = bad | (raw.isNotNull() & raw.try_cast(dt).isNull())
     if strict:
-        first = schema.fields[0]
-        guard = F.when(short, F.raise_error(F.concat(F.lit("malformed line: "), F.col(col))))
-        out[0] = F.coalesce(guard.cast(first.dataType), out[0]).alias(first.name)
-        return lines.select(*out)
+        # a filter, as column pruning would remove checks that hang on single columns
+        wrong = F.raise_error(F.concat(F.lit("malformed line: "), F.col(col))).cast("boolean")
+        return lines.where(F.when(F.coalesce(bad, F.lit(False)), wrong).otherwise(F.lit(True))).select(*out)
     return lines.select(*out, F.when(bad, F.col(col)).alias("_corrupt_record"))
 
 

@@ -40,7 +40,7 @@ DANGER_EVENT = T.StructType([T.StructField("action_time", T.LongType()),
                              T.StructField("monitor_id", T.StringType()),
                              T.StructField("real_speed", T.DoubleType()),
                              T.StructField("limit_speed", T.IntegerType()),
-                             T.StructField("cents", T.LongType())])
+                             T.StructField("micros", T.LongType())])
 DANGER_INPUT = T.StructType(DANGER_EVENT.fields + [T.StructField("_own", T.BooleanType())])
 DANGER_OUTPUT = T.StructType([T.StructField("car", T.StringType()),
                               T.StructField("events", T.ArrayType(DANGER_EVENT))])
@@ -192,9 +192,9 @@ class DangerousCarProcessor(_Buffered):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         wm = timerValues.getCurrentWatermarkInMs()
         ready = self._take_ready(wm)
-        if not ready:
-            return
         recent = [tuple(r) for r in self.recent.get()]
+        if not ready and not recent:
+            return
         names = DANGER_EVENT.fieldNames()
         for rec in ready:
             recent = [r for r in recent if r[0] > rec[0] - self.within_ms] + [tuple(rec)]
@@ -205,6 +205,8 @@ class DangerousCarProcessor(_Buffered):
         self.recent.clear()
         if recent:
             self.recent.put(recent)
+            # wake up when the newest pass has gone out of reach, so that state does not stay
+            self.handle.registerTimer(recent[-1][0] + self.within_ms)
 
 
 # Ship these processors to Python workers by value: executors then need no

@@ -83,3 +83,12 @@ def test_flow_tumbling_and_detected_at(spark):
     assert got == [(0, 30_000, "0001", 2), (0, 30_000, "0002", 1), (30_000, 60_000, "0001", 1)]
     stamped = with_detected_at(flow(t, "30 seconds", None))
     assert "detected_at" in stamped.columns and stamped.filter("detected_at IS NULL").count() == 0
+
+
+def test_avg_speed_of_missing_speeds_and_many_decimals(spark):
+    from roadsight.operators.flow import avg_speed
+    df = spark.createDataFrame([(1_000, "0001", 10.004), (2_000, "0001", 10.004), (3_000, "0001", 10.014),
+                                (4_000, "0002", 50.0), (5_000, "0002", None), (6_000, "0003", None)],
+                               "action_time long, monitor_id string, speed double")
+    got = {r.monitor_id: (r.avg_speed, r.car_count) for r in avg_speed(df, "1 minute", "1 minute").collect()}
+    assert got == {"0001": (10.01, 3), "0002": (50.0, 2), "0003": (None, 1)}

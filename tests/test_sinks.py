@@ -54,3 +54,29 @@ def test_jdbc_dimensions_with_pushdown(spark):
     write_jdbc(vl, url, "t_violation_list", driver=DRIVER)
     rows = read_violation_list(spark, jdbc={"url": url, "driver": DRIVER}).collect()
     assert {(r.car, r.create_time, r.out_count) for r in rows} == {("京P88888", None, 0), ("京P66666", None, 0)}
+
+
+def test_daily_upsert_keeps_undated_reports(spark):
+    path = tempfile.mkdtemp(prefix="roadsight-upsert-") + "/t"
+    mk = lambda rows: spark.createDataFrame(rows, "car string, violation string, create_time long, out_count int")
+    upsert_daily_violations(mk([("a", "m1", None, 3), ("b", "n1", 1_000, 1)]), path)
+    t = upsert_daily_violations(mk([("c", "m2", None, 4)]), path)
+    assert sorted((x.car, x.out_count) for x in t.collect()) == [("a", 3), ("b", 1), ("c", 4)]
+
+
+def test_daily_upsert_raises_when_the_table_cannot_be_read(spark):
+    import os
+    import pytest
+    path = tempfile.mkdtemp(prefix="roadsight-upsert-") + "/t"
+    mk = lambda rows: spark.createDataFrame(rows, "car string, violation string, create_time long, out_count int")
+    upsert_daily_violations(mk([("a", "m1", 1_000, 3)]), path)
+    day = path + "/day=1970-01-01"
+    for name in os.listdir(day):
+        if name.startswith("part-"):
+            with open(f"{day}/{name}", "wb") as f:
+                f.write(b"no parquet")
+        elif name.endswith(".crc"):
+            with open(f"{day}/{name}", "wb") as f:
+                f.write(b"")
+    with pytest.raises(Exception):
+        upsert_daily_violations(mk([("b", "m2", 2_000, 4)]), path)

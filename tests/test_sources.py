@@ -53,3 +53,17 @@ def test_valid_limits_drops_zero(spark):
 def test_area_names(spark):
     a = area_names(spark)
     assert a.count() == 8 and a.filter(F.col("area_id") == "01").first().area_name == "海淀区"
+
+
+@pytest.mark.parametrize("bad", ["1,0001", "1,0001,00001,c,fast,001,01"])
+@pytest.mark.parametrize("use", [lambda d: d.count(), lambda d: d.select("car").collect(),
+                                 lambda d: d.groupBy("car").count().collect()])
+def test_parse_strict_fails_when_columns_are_pruned(spark, bad, use):
+    with pytest.raises(Exception):
+        use(parse_traffic(lines(spark, "1,0001,00001,c,50.0,001,01", bad), mode="strict"))
+
+
+def test_plates_are_padded_and_never_cut(spark):
+    from roadsight.sources.testbed import _plate
+    df = spark.createDataFrame([(7,), (12345,), (123456,)], "id long")
+    assert [r[0][-n:] for r, n in zip(df.select(_plate("id")).collect(), (5, 5, 6))] == ["00007", "12345", "123456"]
