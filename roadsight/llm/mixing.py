@@ -207,8 +207,10 @@ def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__doc"),
                       F.col("doc_id").cast("long").alias("__id"), F.col("source").cast("string").alias("__src"),
                       size.alias("__size"))
-    plan = drawn.select(F.col("source").alias("__s"), "block", F.col("doc_id").alias("__i"), F.col("size").alias("__z"),
-                        "copies", "full", "extra")
+    got = units.groupBy("source", "block").agg(F.array_sort(F.collect_list(F.struct("pass", "shard"))).alias("units"))
+    got = got.withColumnRenamed("source", "__u").withColumnRenamed("block", "__b")
+    plan = drawn.join(got, F.col("source").eqNullSafe(F.col("__u")) & (F.col("block") == F.col("__b")), "left").select(
+        F.col("source").alias("__s"), F.col("doc_id").alias("__i"), F.col("size").alias("__z"), "copies", "full", "extra", "units")
     joined = own.join(plan, F.col("__id").eqNullSafe(F.col("__i")) & F.col("__src").eqNullSafe(F.col("__s"))
                       & (F.col("__size") == F.col("__z")))
     # rows that agree in id, source and size are dealt the extra copies in the order of a row number
@@ -217,12 +219,10 @@ def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     number = F.row_number().over(Window.partitionBy("__i", "__s", "__z").orderBy(F.xxhash64("__doc")))
     several = several.withColumn("__n", number).withColumn(
         "__times", F.col("full") + (F.col("__n") <= F.col("extra")).cast("long")).drop("__n")
-    times = F.when(F.col("__size") == 0, F.lit(1).cast("long")).otherwise(F.col("__times"))
-    every = (single.unionByName(several).withColumn("__times", times).where("__times > 0")
-             .withColumn("__pass", F.explode(F.sequence(F.lit(1).cast("long"), "__times"))))
-    placed = units.select(F.col("source").alias("__u"), F.col("block").alias("__b"), F.col("pass").alias("__p"), "shard")
-    every = every.join(placed, F.col("__s").eqNullSafe(F.col("__u")) & (F.col("block") == F.col("__b"))
-                       & (F.col("__pass") == F.col("__p")), "left")
+    # the text travels twice: to its decision, and as often as it is taken to its shard
+    shards = F.transform(F.filter("units", lambda u: u["pass"] <= F.col("__times")), lambda u: u["shard"])
+    shards = F.when(F.col("__size") == 0, F.array(F.lit(None).cast("int"))).otherwise(shards)
+    every = single.unionByName(several).select("__doc", "__i", F.posexplode(shards).alias("__pass", "shard"))
     mixed = F.xxhash64("__i", "__pass", F.lit(seed))
     return (every.repartition(F.coalesce(F.col("shard").cast("long"), F.pmod(mixed, F.lit(1 << 20)))).sortWithinPartitions("shard", mixed)
             .select(*[F.col("__doc")[c].alias(c) for c in names]))
