@@ -154,7 +154,7 @@ def daily_reports(spark: SparkSession, sf_dir: str, event_type: str) -> DataFram
 # ---------------------------------------------------------------- DuckDB twins
 _EPOCH_MS_SQL = "(epoch_us(ts) // 1000)"
 _COMPRESSED_SQL = f"({BASE_MS} + ({_EPOCH_MS_SQL} - {BASE_MS}) // {COMPRESSION})"
-_PLATE_SQL = "('" + PLATE_PREFIX + "' || lpad(cast({c} as varchar), greatest(5, length(cast({c} as varchar))), '0'))"
+_PLATE_SQL = "('" + PLATE_PREFIX + "' || lpad(cast({c} as varchar), cast(greatest(5, length(cast({c} as varchar))) as integer), '0'))"
 
 SQL_VIEWS = {
     "passes": f"""
