@@ -22,6 +22,8 @@ from roadsight.llm.common import stage
 
 CAPACITY = 2048
 SHARD = 16384
+#: Documents a worker holds the ids of at once.
+ROWS = 256
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -32,33 +34,35 @@ def _vocabulary(name: str) -> str:
 
 
 @lru_cache(maxsize=2)
-def _encoders(ranks_path: str, json_path: str):
-    """Encoder over the vocabulary's ranks, and the tokenizer itself for texts the first one refuses.
-
-    Both give the same ids; the ranks are several times as fast.
-    """
+def _fast(ranks_path: str):
+    """Encoder over the vocabulary's ranks: the tokenizer's ids, several times as fast."""
     import base64
 
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
-    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@lru_cache(maxsize=2)
+def _whole(json_path: str):
+    """The tokenizer itself, loaded only where the encoder refuses a text."""
+    from tokenizers import Tokenizer
+
     whole = Tokenizer.from_file(json_path)
     whole.encode_special_tokens = True  # their strings in a text are ordinary text
-    return fast, whole
+    return whole
 
 
 def encode(text: str, ranks_path: str, json_path: str) -> np.ndarray:
-    fast, whole = _encoders(ranks_path, json_path)
     try:
-        ids = fast.encode_ordinary(text)
+        ids = _fast(ranks_path).encode_ordinary(text)
     except BaseException as error:  # the pattern engine panics on some very long runs
         if isinstance(error, (KeyboardInterrupt, SystemExit, MemoryError)):
             raise
-        ids = whole.encode(text, add_special_tokens=False).ids
+        ids = _whole(json_path).encode(text, add_special_tokens=False).ids
     return np.array([*ids, 0], np.uint32)
 
 
@@ -80,7 +84,7 @@ def token_pieces(docs: DataFrame, keep_ids: bool = False, capacity: int = CAPACI
         from pyspark import TaskContext
 
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             out = [[] for _ in range(7)]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = encode(text or "", ranks_path, json_path)
