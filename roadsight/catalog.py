@@ -46,7 +46,11 @@ def q_dim_latest(spark, d):
 
 @register("violation_list", W("watch_list") + "SELECT * FROM watch_list")
 def q_violation_list(spark, d):
-    return tb.watch_list(spark, d)
+    from roadsight.session import scratch_dir
+    from roadsight.sources.dims import read_violation_list
+    path = scratch_dir(spark, "violation-list")
+    tb.watch_list(spark, d).write.mode("overwrite").parquet(path)
+    return read_violation_list(spark, path)
 
 # --------------------------------------------------------------- speed checks
 
@@ -94,6 +98,19 @@ def q_scan_traffic(spark, d):
     tb.traffic_lines(spark, d).write.mode("overwrite").text(path)
     return read_traffic(spark, path, "strict")
 
+
+@register("parse_violation", W("violations") + "SELECT car, violation, create_time, out_count FROM violations")
+def q_parse_violation(spark, d):
+    from roadsight.sources.text import parse_violation
+    return parse_violation(tb.violation_lines(spark, d))
+
+
+@register("parse_police_action",
+          W("police_actions") + "SELECT police_id, car, action_status, action_time FROM police_actions")
+def q_parse_police_action(spark, d):
+    from roadsight.sources.text import parse_police_action
+    return parse_police_action(tb.police_action_lines(spark, d))
+
 # ------------------------------------------------------- watch list / tracks
 
 _TRACK = "car, action_time, monitor_id, road_id, area_id, speed"
@@ -231,6 +248,30 @@ def q_area_vehicle_bitmap(spark, d):
     return area_vehicles_bitmap(tb.passes(spark, d), "30 seconds", 1 << 25)
 
 
+@register("area_vehicle_bitmap_built", _area_sql("count(DISTINCT car)"))
+def q_area_vehicle_bitmap_built(spark, d):
+    """Counts read back from the bitmaps themselves."""
+    from roadsight.operators.flow import area_vehicles_bitmap
+    built = area_vehicles_bitmap(tb.passes(spark, d), "30 seconds", 1 << 25, materialize=True)
+    bits = F.aggregate("bitmap", F.lit(0).cast("long"), lambda n, x: n + F.bitmap_count(x["bits"]))
+    return built.withColumn("car_count", bits.cast("int")).drop("bitmap")
+
+
+@register("area_vehicle_approx_bound", W("passes") + """
+SELECT action_time - action_time % 30000 AS start_time, area_id,
+       cast(count(DISTINCT car) as integer) AS car_count, true AS within_bound
+FROM passes GROUP BY 1, 2""")
+def q_area_vehicle_approx_bound(spark, d):
+    """The exact count, and whether the estimate is within five standard errors of it."""
+    from roadsight.operators.flow import area_vehicles
+    passes = tb.passes(spark, d).drop("seq")
+    exact = area_vehicles(passes, "30 seconds", "car").select("start_time", "area_id", "car_count")
+    guess = area_vehicles(passes, "30 seconds", "approx").select(
+        "start_time", "area_id", F.col("car_count").alias("guess"))
+    near = F.abs(F.col("guess") - F.col("car_count")) <= F.greatest(F.lit(1.0), F.col("car_count") * 0.1)
+    return exact.join(guess, ["start_time", "area_id"]).withColumn("within_bound", near).drop("guess")
+
+
 @register("area_vehicle_approx", None)
 def q_area_vehicle_approx(spark, d):
     from roadsight.operators.flow import area_vehicles
@@ -427,6 +468,54 @@ def q_action_without_violation(spark, d):
     r = pair_violation_action(tb.violations(spark, d), tb.police_actions(spark, d), 5_000)
     return r.filter(F.col("outcome") == "unmatched_action")
 
+
+@register("pair_alert_text", "SELECT outcome, car, CASE outcome WHEN 'matched' THEN "
+          "'违法车辆【' || car || '】，违法时间【' || cast(create_time as varchar) || '】,已经有交警出警了，警号为【' || police_id "
+          "|| '】,出警的状态为【' || action_status || '】,出警的时间为【' || cast(action_time as varchar) || '】' "
+          "WHEN 'unmatched_action' THEN '没有对应的违法车辆信息' ELSE '该违法车辆在5分钟内没有交警出警' END AS alert_text "
+          "FROM (" + PAIR_SQL + ")")
+def q_pair_alert_text(spark, d):
+    from roadsight.operators.dispatch import pair_violation_action, pairing_alert
+    r = pair_violation_action(tb.violations(spark, d), tb.police_actions(spark, d), 5_000)
+    return pairing_alert(r).select("outcome", "car", "alert_text")
+
+# ------------------------------------------- line -> parser -> keyed operator
+# Sources give no ``seq``: records of one time are ordered by their own text.
+
+
+def _by_record(sql: str) -> str:
+    """Oracle with the test bed's arrival number replaced by the record's text."""
+    for view, columns in (("passes", _TRAFFIC7), ("violations", "car, violation, create_time, out_count"),
+                          ("police_actions", "police_id, car, action_status, action_time")):
+        text = tb.SQL_VIEWS[view]
+        sql = sql.replace(text, text.replace("event_id AS seq", f"concat_ws(chr(31), {columns}) AS seq"))
+    return sql
+
+
+@register("cloned_plate_from_lines", _by_record(CLONED_SQL))
+def q_cloned_plate_from_lines(spark, d):
+    from roadsight.operators.clone import cloned_plate
+    from roadsight.sources.text import parse_traffic
+    return cloned_plate(parse_traffic(tb.traffic_lines(spark, d)), 10_000)
+
+
+@register("pair_violation_action_from_lines", _by_record(PAIR_SQL))
+def q_pair_violation_action_from_lines(spark, d):
+    from roadsight.operators.dispatch import pair_violation_action
+    from roadsight.sources.text import parse_police_action, parse_violation
+    return pair_violation_action(parse_violation(tb.violation_lines(spark, d)),
+                                 parse_police_action(tb.police_action_lines(spark, d)), 5_000)
+
+
+@register("dangerous_car_from_lines", _danger_sql(False).replace("p.action_time, p.seq", (
+    "p.action_time, concat_ws(chr(31), p.car, p.monitor_id, p.road_id, p.speed, "
+    "coalesce(l.speed_limit, 80), p.action_time) AS seq")))
+def q_dangerous_car_from_lines(spark, d):
+    from roadsight.operators.danger import dangerous_car
+    from roadsight.sources.text import parse_traffic
+    pw = speed.with_limit(parse_traffic(tb.traffic_lines(spark, d)), tb.limits(spark, d))
+    return dangerous_car(pw, 3, 120_000, 1.2, emit="longest")
+
 # -------------------------------------------------------- streaming twins
 # Each replays the driver-derived inputs as a time-sliced file stream, runs
 # the streaming operator to completion and returns its sink; the oracle is
@@ -538,6 +627,15 @@ def q_dangerous_car_longest_stream(spark, d):
     return not_sentinel(run_to_table(dangerous_car_stream(pw), "dangerous-car", rocksdb=True))
 
 
+@register("dangerous_car_all_stream", _danger_sql(True))
+def q_dangerous_car_all_stream(spark, d):
+    from roadsight.streaming.harness import not_sentinel, run_to_table
+    from roadsight.streaming.twins import dangerous_car_stream
+    s = _sentinel_traffic(spark, d, "danger-all")
+    pw = speed.with_limit(s, tb.limits(spark, d), carry=["seq"])
+    return not_sentinel(run_to_table(dangerous_car_stream(pw, emit="all"), "dangerous-car-all", rocksdb=True))
+
+
 @register("area_vehicle_running_stream", W("passes") + """
 SELECT action_time - action_time % 30000 AS start_time,
        action_time - action_time % 30000 + 30000 AS end_time, area_id,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadsight.plans.sequence import DEFAULT_BUCKET_MS, ordered_scan
+from roadsight.plans.sequence import DEFAULT_BUCKET_MS, ordered_scan, with_seq
 
 CLONE_MESSAGE = "涉嫌套牌车"   # fixed value: warning text of a cloned-plate alert
 
@@ -31,9 +31,9 @@ def cloned_plate(traffic: DataFrame, gap_ms: int = 10_000, distinct_monitors: bo
     never overlap), otherwise the later pass replaces the held one.  Closed
     form: islands split where the gap is ``>= gap_ms``; every 2nd, 4th, ...
     pass of an island pairs with its predecessor.  Ties in time are ordered
-    by ``seq``.  ``split``/``bucket_ms``: see :func:`ordered_scan`.
+    by ``seq``, or by the record itself where there is none (:func:`with_seq`).  ``split``/``bucket_ms``: see :func:`ordered_scan`.
     """
-    s = ordered_scan(traffic, ["car"], "action_time", "seq", carry=["monitor_id"],
+    s = ordered_scan(with_seq(traffic), ["car"], "action_time", "seq", carry=["monitor_id"],
                      new_island=clone_rule(gap_ms, distinct_monitors), bucket_ms=bucket_ms,
                      split=split)
     return s.where("(_pos - _start) % 2 = 1").selectExpr(

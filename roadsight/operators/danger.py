@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from roadsight.functions.exprs import micros, half_up_mean
 from roadsight.operators.speed import speeding
+from roadsight.plans.sequence import with_seq
 
 
 def _element_text(x: Column, i: Column) -> Column:
@@ -45,12 +46,13 @@ def dangerous_car(passes_with_limit: DataFrame, times: int = 3, within_ms: int =
     """Matches of the dangerous-driving pattern (see module doc).
 
     ``passes_with_limit`` needs ``car, monitor_id, real_speed, limit_speed,
-    action_time, seq``.  Output: ``car, start_time, end_time, pass_count,
+    action_time``; ``seq`` is optional (:func:`with_seq`).  Passes without car
+    or time belong to no match.  Output: ``car, start_time, end_time, pass_count,
     avg_speed`` (HALF_UP, 2 decimals) and the alert text ``violation``.
     """
     if emit not in ("all", "longest"):
         raise ValueError("emit must be 'all' or 'longest'")
-    sp = speeding(passes_with_limit, ratio).select(
+    sp = speeding(with_seq(passes_with_limit), ratio).where("car IS NOT NULL AND action_time IS NOT NULL").select(
         "car", "action_time", "seq", "monitor_id", "real_speed", "limit_speed",
         micros("real_speed").alias("micros"))
     bucket = F.floor(F.col("action_time") / F.lit(within_ms)).cast("long")
@@ -67,19 +69,16 @@ def dangerous_car(passes_with_limit: DataFrame, times: int = 3, within_ms: int =
              .withColumn("_lo", F.min("_idx").over(frame))
              .withColumn("_frame", F.collect_list(ev).over(frame))
              .filter(F.col("_own") & (F.col("_idx") - F.col("_lo") + 1 >= times)))
-    # The RANGE frame also holds later rows with the same time: keep rows up
-    # to the current one, in (time, seq) order.
-    cur = F.struct(F.col("action_time"), F.col("seq"))
-    w = w.withColumn("_frame", F.array_sort(F.filter(
-        "_frame", lambda x: F.struct(x["action_time"], x["seq"]) <= cur)))
+    # In (time, seq) order the frame starts at row ``_lo``; what follows its first
+    # ``n`` entries are later rows with the same time.
+    w = w.withColumn("_frame", F.array_sort("_frame"))
     n = F.col("_idx") - F.col("_lo") + 1
     if emit == "longest":
-        events = F.slice("_frame", F.size("_frame") - n + 1, n)
+        events = F.slice("_frame", F.lit(1), n)
         return w.select("car", *_summarise(events))
     # every start position s of a match ending here: s = 0 .. n - times
-    w = w.withColumn("_last", F.size("_frame")).withColumn(
-        "_k", F.explode(F.sequence(F.lit(0), n - F.lit(times))))
-    events = F.slice("_frame", F.col("_last") - n + 1 + F.col("_k"), n - F.col("_k"))
+    w = w.withColumn("_k", F.explode(F.sequence(F.lit(0), n - F.lit(times))))
+    events = F.slice("_frame", F.col("_k") + 1, n - F.col("_k"))
     return w.select("car", *_summarise(events))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadsight.plans.joins import range_join
-from roadsight.plans.sequence import DEFAULT_BUCKET_MS, ordered_scan
+from roadsight.plans.sequence import DEFAULT_BUCKET_MS, ordered_scan, with_seq
 
 V_COLS = ["car", "violation", "create_time"]
 P_COLS = ["police_id", "action_status", "action_time"]
@@ -33,9 +33,26 @@ def _alert(df: DataFrame) -> DataFrame:
     return df.withColumn("alert_text", text)
 
 
+# fixed values: labels of the unmatched outcomes
+NO_VIOLATION = "没有对应的违法车辆信息"
+NO_ACTION = "该违法车辆在5分钟内没有交警出警"
+
+
+def pairing_alert(pairs: DataFrame) -> DataFrame:
+    """Pairing result with its alert line: the pair's facts, or the label of the unmatched side."""
+    def text(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit("null"))
+
+    matched = F.concat(F.lit("违法车辆【"), text("car"), F.lit("】，违法时间【"), text("create_time"),
+                       F.lit("】,已经有交警出警了，警号为【"), text("police_id"), F.lit("】,出警的状态为【"),
+                       text("action_status"), F.lit("】,出警的时间为【"), text("action_time"), F.lit("】"))
+    return pairs.withColumn("alert_text", F.when(F.col("outcome") == "matched", matched)
+                            .when(F.col("outcome") == "unmatched_action", NO_VIOLATION).otherwise(NO_ACTION))
+
+
 def _sides(violations: DataFrame, actions: DataFrame):
-    v = violations.select(*V_COLS, F.col("seq").alias("v_seq"))
-    p = actions.select("car", *P_COLS, F.col("seq").alias("p_seq"))
+    v = with_seq(violations).select(*V_COLS, F.col("seq").alias("v_seq"))
+    p = with_seq(actions).select("car", *P_COLS, F.col("seq").alias("p_seq"))
     return v, p
 
 
@@ -47,8 +64,7 @@ def violation_action_interval(violations: DataFrame, actions: DataFrame, lower_m
     Bucketed range join (see :func:`roadsight.plans.joins.range_join`): a join
     task sees one car's rows of two bucket widths, never a whole car.
     """
-    v, p = _sides(violations, actions)
-    j = range_join(v, p, "car", "create_time", "action_time", lower_ms, upper_ms)
+    j = range_join(violations.select(*V_COLS), actions.select("car", *P_COLS), "car", "create_time", "action_time", lower_ms, upper_ms)
     return _alert(j.select("car", "violation", "create_time", *P_COLS))
 
 
@@ -57,18 +73,19 @@ def classify_violation_action(violations: DataFrame, actions: DataFrame, lower_m
     """Full-outer form of the interval join in one result, ``outcome`` in
     ``matched`` / ``violation_only`` / ``action_only``.
 
-    The lone sides are anti joins on the unique record ids of the matched
-    pairs (``seq``), which shuffle evenly whatever the car distribution.
+    The lone sides are anti joins on car and ``seq`` of the matched pairs (the
+    record itself where a source gives no ``seq``: duplicates share their
+    outcome), which shuffle evenly whatever the car distribution.
     """
     v, p = _sides(violations, actions)
     pairs = range_join(v, p, "car", "create_time", "action_time", lower_ms, upper_ms)
     matched = pairs.select(F.lit("matched").alias("outcome"), "car", "violation", "create_time",
                            *P_COLS)
-    v_only = (v.join(pairs.select("v_seq").distinct(), "v_seq", "left_anti")
+    v_only = (v.join(pairs.select("car", "v_seq").distinct(), ["car", "v_seq"], "left_anti")
                .select(F.lit("violation_only").alias("outcome"), *V_COLS,
                        *[F.lit(None).cast(t).alias(c) for c, t in
                          zip(P_COLS, ["string", "string", "long"])]))
-    p_only = (p.join(pairs.select("p_seq").distinct(), "p_seq", "left_anti")
+    p_only = (p.join(pairs.select("car", "p_seq").distinct(), ["car", "p_seq"], "left_anti")
                .select(F.lit("action_only").alias("outcome"), "car",
                        F.lit(None).cast("string").alias("violation"),
                        F.lit(None).cast("long").alias("create_time"), *P_COLS))
@@ -86,7 +103,12 @@ def pair_rule(timeout_ms: int):
 
 
 def tagged_union(violations: DataFrame, actions: DataFrame) -> DataFrame:
-    """Both inputs as one record stream: ``car, t, seq, kind ('v'|'p')`` + payload."""
+    """Both inputs as one record stream: ``car, t, seq, kind ('v'|'p')`` + payload.
+
+    Where either input has no ``seq``, both are ordered by their records (:func:`with_seq`).
+    """
+    if "seq" not in violations.columns or "seq" not in actions.columns:
+        violations, actions = with_seq(violations.drop("seq")), with_seq(actions.drop("seq"))
     v = violations.select("car", F.col("create_time").alias("t"), "seq", F.lit("v").alias("kind"),
                           "violation", F.lit(None).cast("string").alias("police_id"),
                           F.lit(None).cast("string").alias("action_status"))
@@ -105,8 +127,9 @@ def pair_violation_action(violations: DataFrame, actions: DataFrame, timeout_ms:
     the 2nd, 4th, ... record of an island pairs with its predecessor, the
     last record of an odd-sized island stays unmatched.  Output columns:
     ``outcome`` (``matched`` / ``unmatched_violation`` / ``unmatched_action``),
-    ``reason`` (``expired`` / ``superseded`` for unmatched rows) and the
-    violation and action fields.
+    ``reason`` (``expired`` / ``superseded`` for unmatched rows, ``incomplete``
+    for records without car or time, which nothing can match) and the violation
+    and action fields.
     """
     u = tagged_union(violations, actions)
     s = ordered_scan(u, ["car"], "t", "seq", carry=["kind", "violation", "police_id",
@@ -122,7 +145,11 @@ def pair_violation_action(violations: DataFrame, actions: DataFrame, timeout_ms:
         return f"CASE WHEN {mine} THEN {name} WHEN {odd} THEN prev_{name} END AS {name}"
 
     superseded = f"next_kind = kind AND next_t - t <= {int(timeout_ms)}"
-    return s.where(f"({odd}) OR _next_is_start").selectExpr(
+    lone = u.where("car IS NULL OR t IS NULL").selectExpr(
+        f"CASE WHEN {is_v} THEN 'unmatched_violation' ELSE 'unmatched_action' END AS outcome",
+        "'incomplete' AS reason", "car", "violation", f"CASE WHEN {is_v} THEN t END AS create_time",
+        "police_id", "action_status", f"CASE WHEN NOT ({is_v}) THEN t END AS action_time")
+    paired = s.where(f"({odd}) OR _next_is_start").selectExpr(
         f"CASE WHEN {odd} THEN 'matched' WHEN {is_v} THEN 'unmatched_violation' "
         "ELSE 'unmatched_action' END AS outcome",
         f"CASE WHEN {odd} THEN CAST(NULL AS STRING) WHEN {superseded} THEN 'superseded' "
@@ -131,3 +158,4 @@ def pair_violation_action(violations: DataFrame, actions: DataFrame, timeout_ms:
         f"CASE WHEN {is_v} THEN t WHEN {odd} THEN prev_t END AS create_time",
         side("police_id", False), side("action_status", False),
         f"CASE WHEN NOT ({is_v}) THEN t WHEN {odd} THEN prev_t END AS action_time")
+    return paired.unionByName(lone)

@@ -16,7 +16,7 @@ from roadsight.plans.joins import bounded_broadcast
 from roadsight.functions.exprs import (
     bitmap_offset, duration_ms, event_time, half_up_mean, window_bounds_ms,
 )
-from roadsight.plans.sequence import ordered_scan
+from roadsight.plans.sequence import ordered_scan, with_unique_seq
 from roadsight.sources.dims import area_names
 
 
@@ -87,13 +87,11 @@ def top_n_avg_speed(averages: DataFrame, n: int = 3) -> DataFrame:
     Keeps the best row per checkpoint and window (a no-op after
     :func:`avg_speed`), then ranks by average speed descending, ties broken by
     ``monitor_id`` ascending; fewer than ``n`` rows when fewer checkpoints.
-    The input has one row per (window, checkpoint), so one shuffle on the
-    window bounds serves both the de-duplication and the ranking.
+    The de-duplication reuses the partitioning of :func:`avg_speed`; the ranking
+    is a group limit, so each task sends at most ``n`` rows per window.
     """
-    # One shuffle on the window: both window specs below are clustered by it.
-    per_window = averages.repartition("start_time", "end_time")
     best = Window.partitionBy("start_time", "end_time", "monitor_id").orderBy(F.desc("avg_speed"))
-    dedup = (per_window.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r"))
+    dedup = (averages.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r"))
     rank = Window.partitionBy("start_time", "end_time").orderBy(F.desc("avg_speed"), "monitor_id")
     return (dedup.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= n)
                  .select("start_time", "end_time", "rank", "monitor_id", "avg_speed", "car_count"))
@@ -195,20 +193,26 @@ def area_vehicles_running(traffic: DataFrame, window_ms: int = 30_000,
     back.  ``running_count`` is the running sum of ``is_new`` in ``(time,
     seq)`` order, computed by the bucketed ordered scan, so even a window
     holding a large share of all passes is split over tasks by
-    ``bucket_ms`` time buckets.
+    ``bucket_ms`` time buckets.  A pass without car is never new; one without
+    area or time has no window, so its flag and count are NULL.  ``seq`` is
+    optional (:func:`with_unique_seq`).
     """
     start = F.col("action_time") - F.pmod(F.col("action_time"), F.lit(window_ms))
-    t = traffic.withColumn("start_time", start)
+    t = with_unique_seq(traffic).withColumn("start_time", start)
+    placed = t.where("area_id IS NOT NULL AND action_time IS NOT NULL")
     keys = ["area_id", "start_time", "car"]
-    first = t.groupBy(*keys).agg(F.min(F.struct("action_time", "seq")).alias("_first"))
-    t = t.join(first, keys).withColumn(
-        "is_new", F.struct("action_time", "seq") == F.col("_first")).drop("_first")
-    t = t.withColumn("_new", F.col("is_new").cast("long"))
-    s = ordered_scan(t, ["area_id", "start_time"], "action_time", "seq", sums=["_new"],
+    first = placed.where("car IS NOT NULL").groupBy(*keys).agg(F.min(F.struct("action_time", "seq")).alias("_first"))
+    marked = placed.join(first, keys, "left").withColumn(
+        "is_new", F.coalesce(F.struct("action_time", "seq") == F.col("_first"), F.lit(False))).drop("_first")
+    marked = marked.withColumn("_new", F.col("is_new").cast("long"))
+    s = ordered_scan(marked, ["area_id", "start_time"], "action_time", "seq", sums=["_new"],
                      bucket_ms=bucket_ms)
-    return s.select("start_time", (F.col("start_time") + F.lit(window_ms)).alias("end_time"),
-                    "area_id", "car", "action_time", "seq", "is_new",
-                    F.col("_run__new").alias("running_count"))
+    end = (F.col("start_time") + F.lit(window_ms)).alias("end_time")
+    names = ["area_id", "car", "action_time", "seq"]
+    rest = t.where("area_id IS NULL OR action_time IS NULL")
+    return s.select("start_time", end, *names, "is_new", F.col("_run__new").alias("running_count")).unionByName(
+        rest.select("start_time", end, *names, F.lit(None).cast("boolean").alias("is_new"),
+                    F.lit(None).cast("long").alias("running_count")))
 
 
 def with_area_name(df: DataFrame, areas: DataFrame | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roadsight.functions.exprs import track_row_key
 from roadsight.plans.joins import bounded_broadcast
 from roadsight.plans.numbering import count_window
+from roadsight.plans.sequence import with_seq
 from roadsight.schemas import TRACK_COLUMNS
 from roadsight.sources.dims import latest_by_key
 
@@ -35,8 +36,9 @@ def with_row_key(tracks: DataFrame) -> DataFrame:
 
 def keyed_tracks(tracks: DataFrame, order: str = "seq") -> DataFrame:
     """One stored row per ``row_key``; a later write of the same key wins.
-    (Two-phase ``max_by`` aggregate, hot keys are combined map-side.)"""
-    keyed = with_row_key(tracks)
+    (Two-phase ``max_by`` aggregate, hot keys are combined map-side.)  Without
+    a column ``seq`` the largest record wins (:func:`with_seq`)."""
+    keyed = with_row_key(with_seq(tracks) if order == "seq" else tracks)
     return latest_by_key(keyed, "row_key", order).drop(order)
 
 
@@ -63,10 +65,11 @@ def latest_tracks(traffic: DataFrame, n: int = 3) -> DataFrame:
     rows per task, not its whole history.
     """
     w = Window.partitionBy("car").orderBy(F.desc("action_time"), F.desc("seq"))
-    return (to_track(traffic).withColumn("rank", F.row_number().over(w))
+    return (to_track(with_seq(traffic)).withColumn("rank", F.row_number().over(w))
                               .filter(F.col("rank") <= n).drop("seq"))
 
 
 def track_batches(tracks: DataFrame, size: int = 20, emit_partial: bool = False) -> DataFrame:
     """Write batches of ``size`` track rows in arrival order (``batch_id``)."""
-    return count_window(with_row_key(tracks), size, ["action_time", "seq"], emit_partial)
+    out = count_window(with_row_key(with_seq(tracks)), size, ["action_time", "seq"], emit_partial)
+    return out if "seq" in tracks.columns else out.drop("seq")

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Accessor = Callable[[str], str]
@@ -35,12 +35,43 @@ Accessor = Callable[[str], str]
 IslandRule = Callable[[Accessor, Accessor], str]
 
 DEFAULT_BUCKET_MS = 10 * 60 * 1000
+_UNIT, _NONE = "\x1f", "\x00"   # between columns; in place of NULL
 
 
 def _q(name: str) -> str:
     return f"`{name}`"
 
 
+def _record_text(columns: Sequence[str]) -> Column:
+    return F.concat_ws(_UNIT, *[F.coalesce(F.col(_q(c)).cast("string"), F.lit(_NONE)) for c in columns])
+
+
+def with_seq(df: DataFrame) -> DataFrame:
+    """``df`` with a column ``seq`` that orders records of the same time.
+
+    A ``seq`` that the source gives (arrival number, offset) stays.  Otherwise it
+    is the text of all record columns in their order: a total order up to exact
+    duplicates, which are interchangeable, and the same on batch and stream.
+    """
+    if "seq" in df.columns:
+        return df
+    return df.withColumn("seq", _record_text(df.columns))
+
+
+def with_unique_seq(df: DataFrame) -> DataFrame:
+    """Like :func:`with_seq`, but exact duplicates are numbered, so each row's ``seq`` is its own.
+
+    Duplicates are counted map-side before the shuffle, so many of them cost one row per task.
+    """
+    if "seq" in df.columns:
+        return df
+    copies = df.groupBy(*[_q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    rows = copies.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), "_n")))
+    number = F.lpad(F.col("_n").cast("string"), 19, "0")
+    return rows.select(*[F.col(_q(c)) for c in df.columns],
+                       F.concat_ws(_UNIT, _record_text(df.columns), number).alias("seq"))
+
+
 def ordered_scan(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
                  carry: Sequence[str] = (), new_island: IslandRule | None = None,
                  sums: Sequence[str] = (), maxes: Sequence[str] = (),

@@ -8,7 +8,7 @@ queries) and as DuckDB SQL (used by the oracle in ``__spark_entry__``).
   compressed by 1000× around 2024-01-01 so second-scale rules fire.
 * limits feed ← ``part`` (all rows), several loads per checkpoint ordered by
   ``load_seq``; the current dimension is the latest load per checkpoint.
-* watch list  ← ``customer`` rows of the AUTOMOBILE market segment.
+* watch list  ← ``customer`` (all rows).
 * violations  ← ``events`` of type ``error``; police actions ← type ``purchase``.
 * daily reports ← ``events`` of type ``signup`` (new) and ``view`` (stored),
   with uncompressed times so that several days occur.
@@ -82,6 +82,15 @@ def traffic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         "road_id", "area_id"]]).alias("value"))
 
 
+def violation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return violations(spark, sf_dir).select(F.concat_ws(",", "car", "violation", "create_time").alias("value"))
+
+
+def police_action_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return police_actions(spark, sf_dir).select(
+        F.concat_ws(",", "police_id", "car", "action_status", "action_time").alias("value"))
+
+
 def limits_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All loads of the checkpoint table (``load_seq`` orders the loads)."""
     part = table(spark, sf_dir, "part")
@@ -109,7 +118,7 @@ def watch_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = F.floor(F.col("c_acctbal") / F.lit(20)).cast("int")
     violation = F.when(F.col("c_acctbal") < 0, F.lit("嫌疑套牌车")).otherwise(
         F.concat(F.lit("违章未处理超过"), count.cast("string"), F.lit("次")))
-    return c.filter(F.col("c_mktsegment") == "AUTOMOBILE").select(
+    return c.select(
         _plate("c_custkey").alias("car"),
         violation.alias("violation"),
         F.lit(None).cast("long").alias("create_time"),
@@ -184,7 +193,7 @@ SQL_VIEWS = {
                     ELSE '违章未处理超过' || cast(cast(floor(c_acctbal / 20) as integer) as varchar) || '次' END AS violation,
                cast(NULL as bigint) AS create_time,
                0 AS out_count
-        FROM customer WHERE c_mktsegment = 'AUTOMOBILE'""",
+        FROM customer""",
     "violations": f"""
         SELECT {_PLATE_SQL.format(c='user_id')} AS car,
                CASE WHEN value >= 50 THEN '涉嫌套牌车' ELSE '超速行驶' END AS violation,

@@ -66,9 +66,32 @@ def parse_police_action(lines: DataFrame, col: str = "value", mode: str = "stric
     return _parse(lines, col, schemas.POLICE_ACTION, mode)
 
 
+def _read(spark: SparkSession, path: str, parse, mode: str) -> DataFrame:
+    return parse(spark.read.text(path), "value", mode)
+
+
+def _stream(spark: SparkSession, source: str, path: str | None, parse, mode: str, options: dict) -> DataFrame:
+    reader = spark.readStream.format(source).options(**options)
+    if source == "kafka":
+        lines = reader.load().select(F.col("value").cast("string").alias("value"))
+    else:
+        lines = reader.load(path)
+    return parse(lines, "value", mode)
+
+
 def read_traffic(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
     """Bounded scan of traffic text files (one pass per line, splittable)."""
-    return parse_traffic(spark.read.text(path), "value", mode)
+    return _read(spark, path, parse_traffic, mode)
+
+
+def read_violations(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
+    """Bounded scan of violation text files."""
+    return _read(spark, path, parse_violation, mode)
+
+
+def read_police_actions(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
+    """Bounded scan of police-action text files."""
+    return _read(spark, path, parse_police_action, mode)
 
 
 def stream_traffic(spark: SparkSession, source: str = "text", path: str | None = None,
@@ -81,11 +104,16 @@ def stream_traffic(spark: SparkSession, source: str = "text", path: str | None =
     ``startingOffsets="earliest"``).  Either way the line is parsed by
     :func:`parse_traffic`.
     """
-    reader = spark.readStream.format(source)
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    if source == "kafka":
-        lines = reader.load().select(F.col("value").cast("string").alias("value"))
-    else:
-        lines = reader.load(path)
-    return parse_traffic(lines, "value", mode)
+    return _stream(spark, source, path, parse_traffic, mode, options)
+
+
+def stream_violations(spark: SparkSession, source: str = "text", path: str | None = None,
+                      mode: str = "strict", **options) -> DataFrame:
+    """Unbounded scan of violation lines (sources as in :func:`stream_traffic`)."""
+    return _stream(spark, source, path, parse_violation, mode, options)
+
+
+def stream_police_actions(spark: SparkSession, source: str = "text", path: str | None = None,
+                          mode: str = "strict", **options) -> DataFrame:
+    """Unbounded scan of police-action lines (sources as in :func:`stream_traffic`)."""
+    return _stream(spark, source, path, parse_police_action, mode, options)

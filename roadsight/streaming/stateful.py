@@ -42,8 +42,16 @@ DANGER_EVENT = T.StructType([T.StructField("action_time", T.LongType()),
                              T.StructField("limit_speed", T.IntegerType()),
                              T.StructField("micros", T.LongType())])
 DANGER_INPUT = T.StructType(DANGER_EVENT.fields + [T.StructField("_own", T.BooleanType())])
-DANGER_OUTPUT = T.StructType([T.StructField("car", T.StringType()),
-                              T.StructField("events", T.ArrayType(DANGER_EVENT))])
+
+
+def with_tie(schema: T.StructType, tie: T.DataType) -> T.StructType:
+    """``schema`` with ``seq`` of the type that the source's ties are ordered by."""
+    return T.StructType([T.StructField(f.name, tie if f.name == "seq" else f.dataType) for f in schema.fields])
+
+
+def danger_output(tie: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField("car", T.StringType()),
+                         T.StructField("events", T.ArrayType(with_tie(DANGER_EVENT, tie)))])
 
 
 class _Buffered(StatefulProcessor):
@@ -52,6 +60,11 @@ class _Buffered(StatefulProcessor):
     schema: T.StructType
     ts_field: str
 
+    def order_by(self, tie: T.DataType) -> "_Buffered":
+        """Take ``seq`` of another type than a number."""
+        self.schema = with_tie(self.schema, tie)
+        return self
+
     def init(self, handle) -> None:
         self.handle = handle
         self.buf = handle.getListState("buffer", self.schema)
@@ -86,34 +99,44 @@ class _Buffered(StatefulProcessor):
 
 
 class ClonedPlateProcessor(_Buffered):
-    """Held pass + next pass within ``gap_ms`` → warning, state cleared."""
+    """Held pass + next pass within ``gap_ms`` → warning, state cleared.
+
+    A held pass that the watermark has left ``gap_ms`` behind can pair with
+    nothing any more and is forgotten, so state keeps no plate for good.
+    """
 
     schema = CLONE_INPUT
     ts_field = "action_time"
 
-    def __init__(self, gap_ms: int = 10_000):
-        self.gap_ms = gap_ms
+    def __init__(self, gap_ms: int = 10_000, distinct_monitors: bool = False):
+        self.gap_ms, self.distinct_monitors = gap_ms, distinct_monitors
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.held = handle.getValueState("held", CLONE_INPUT)
+        self.held = handle.getValueState("held", self.schema)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        ready = self._take_ready(timerValues.getCurrentWatermarkInMs())
-        held = self.held.get()
+        wm = timerValues.getCurrentWatermarkInMs()
+        ready = self._take_ready(wm)
+        held = before = self.held.get()
         for t, seq, monitor in ready:
             if held is None:
                 held = (t, seq, monitor)
-            elif t - held[0] < self.gap_ms:
+            elif t - held[0] < self.gap_ms and not (
+                    self.distinct_monitors and monitor is not None and monitor == held[2]):
                 yield Row(car=key[0], first_monitor=held[2], second_monitor=monitor,
                           first_time=held[0], warning_time=t, warning_msg=CLONE_MESSAGE)
                 held = None
             else:
                 held = (t, seq, monitor)
-        if ready:
-            if held is None:
+        if held is not None and wm - held[0] >= self.gap_ms:
+            held = None
+        if held is None:
+            if before is not None:
                 self.held.clear()
-            else:
+        else:
+            self.handle.registerTimer(held[0] + self.gap_ms + 1)
+            if ready:
                 self.held.update(tuple(held))
 
 
@@ -128,7 +151,7 @@ class PairingProcessor(_Buffered):
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.pending = handle.getValueState("pending", PAIR_INPUT)
+        self.pending = handle.getValueState("pending", self.schema)
 
     @staticmethod
     def _lone(car, rec, reason):
@@ -187,7 +210,7 @@ class DangerousCarProcessor(_Buffered):
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.recent = handle.getListState("recent", DANGER_INPUT)
+        self.recent = handle.getListState("recent", self.schema)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         wm = timerValues.getCurrentWatermarkInMs()

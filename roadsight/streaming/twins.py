@@ -13,9 +13,10 @@ from roadsight.functions.exprs import micros, event_time, half_up_mean, window_b
 from roadsight.operators import danger as danger_ops
 from roadsight.operators.dispatch import P_COLS, _alert, tagged_union
 from roadsight.operators.speed import speeding
+from roadsight.plans.sequence import with_seq
 from roadsight.streaming.stateful import (
-    CLONE_OUTPUT, DANGER_OUTPUT, PAIR_OUTPUT, ClonedPlateProcessor, DangerousCarProcessor,
-    PairingProcessor,
+    CLONE_OUTPUT, PAIR_OUTPUT, ClonedPlateProcessor, DangerousCarProcessor, PairingProcessor,
+    danger_output,
 )
 
 TRAFFIC_DELAY = "5 seconds"
@@ -86,31 +87,34 @@ def violation_action_interval_stream(violations: DataFrame, actions: DataFrame,
     return _alert(j.select("car", "violation", "create_time", *P_COLS))
 
 
-def cloned_plate_stream(traffic: DataFrame, gap_ms: int = 10_000) -> DataFrame:
-    src = watermarked(traffic).select("car", "action_time", "seq", "monitor_id", "event_time")
-    return src.groupBy("car").transformWithState(ClonedPlateProcessor(gap_ms), CLONE_OUTPUT,
-                                                 "Append", "EventTime")
+def cloned_plate_stream(traffic: DataFrame, gap_ms: int = 10_000, distinct_monitors: bool = False) -> DataFrame:
+    src = watermarked(with_seq(traffic)).select("car", "action_time", "seq", "monitor_id", "event_time")
+    processor = ClonedPlateProcessor(gap_ms, distinct_monitors).order_by(src.schema["seq"].dataType)
+    return src.groupBy("car").transformWithState(processor, CLONE_OUTPUT, "Append", "EventTime")
 
 
 def pair_violation_action_stream(violations: DataFrame, actions: DataFrame,
                                  timeout_ms: int = 5_000) -> DataFrame:
     u = tagged_union(violations, actions)
     u = u.withColumn("event_time", event_time("t")).withWatermark("event_time", DISPATCH_DELAY)
-    return u.groupBy("car").transformWithState(PairingProcessor(timeout_ms), PAIR_OUTPUT,
-                                               "Append", "EventTime")
+    processor = PairingProcessor(timeout_ms).order_by(u.schema["seq"].dataType)
+    return u.groupBy("car").transformWithState(processor, PAIR_OUTPUT, "Append", "EventTime")
 
 
 def dangerous_car_stream(passes_with_limit: DataFrame, times: int = 3, within_ms: int = 120_000,
-                         ratio: float = 1.2, key_bucket_ms: int = 30 * 60 * 1000) -> DataFrame:
-    """Longest match ending at each speeding pass (``emit="longest"``).
+                         ratio: float = 1.2, key_bucket_ms: int = 30 * 60 * 1000,
+                         emit: str = "longest") -> DataFrame:
+    """Longest match ending at each speeding pass, or with ``emit="all"`` every match.
 
     State is keyed by (car, ``key_bucket_ms`` time bucket), so a hot car is
     spread over its buckets; larger buckets mean fewer keys, smaller ones
     less state per key."""
+    if emit not in ("all", "longest"):
+        raise ValueError("emit must be 'all' or 'longest'")
     # The watermark tracks all passes (as the source job assigns it before the
     # pattern).  Catalyst would move the speeding condition below the watermark
     # unless it depends on the event time, so a zero made of that is added.
-    marked = watermarked(passes_with_limit)
+    marked = watermarked(with_seq(passes_with_limit))
     nothing = F.pmod(F.unix_millis("event_time"), F.lit(1))
     sp = marked.where(F.col("real_speed") > F.col("limit_speed") * F.lit(ratio) + nothing).select(
         "car", "action_time", "seq", "monitor_id", "real_speed", "limit_speed",
@@ -125,8 +129,12 @@ def dangerous_car_stream(passes_with_limit: DataFrame, times: int = 3, within_ms
     sp = (sp.withColumn("_copy", F.explode(copies))
             .withColumn("_b", bucket + F.col("_copy"))
             .withColumn("_own", F.col("_copy") == 0).drop("_copy"))
-    m = sp.groupBy("car", "_b").transformWithState(DangerousCarProcessor(times, within_ms),
-                                                   DANGER_OUTPUT, "Append", "EventTime")
+    tie = sp.schema["seq"].dataType
+    processor = DangerousCarProcessor(times, within_ms).order_by(tie)
+    m = sp.groupBy("car", "_b").transformWithState(processor, danger_output(tie), "Append", "EventTime")
+    if emit == "all":  # a match may start at any pass of the longest one that leaves ``times``
+        k = F.explode(F.sequence(F.lit(0), F.size("events") - F.lit(times)))
+        m = m.withColumn("_k", k).withColumn("events", F.slice("events", F.col("_k") + 1, F.size("events") - F.col("_k")))
     return m.select("car", *danger_ops._summarise(F.col("events")))
 
 
