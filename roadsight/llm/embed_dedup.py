@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from roadsight.llm.common import components, stage
-from roadsight.llm.vectors import by_length, classes, in_blocks, matrix, valid
+from roadsight.llm.vectors import by_length, classes, in_blocks, matrix, valid, vector_of
 
 LEAST, PASSES, BLOCK, SIGNS = 0.95, 8, 1024, 48
 
@@ -97,7 +97,7 @@ def dedup(embeddings: DataFrame, least: float = LEAST, passes: int = PASSES, blo
     known = stage(known.select("node", "root", "low", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links")), "known")
     lows = known.groupBy("root").agg(F.min("low").alias("component_id"))
     named = known.join(lows, "root").where("n_links > 0").select(F.col("node").alias("n"), "n_links", "component_id")
-    vector = F.col("embedding").cast("array<double>")
+    vector = vector_of(embeddings)
     every = embeddings.select("vec_id", F.when(valid(vector), F.xxhash64(vector)).alias("node"))
     return (every.join(named, F.col("node") == F.col("n"), "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from roadsight.llm.common import stage
-from roadsight.llm.vectors import by_length, in_blocks, matrix, valid
+from roadsight.llm.vectors import by_length, in_blocks, matrix, valid, vector_of
 
 K, ORDERINGS, BLOCK = 20, 10, 4096
 AXES, BITS = 8, 4
@@ -103,7 +103,7 @@ def _windows(k: int):
 def search(embeddings: DataFrame, is_query: Column, k: int = K, orderings: int = ORDERINGS, block: int = BLOCK,
            seed: int = 3) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row that ``is_query`` holds for."""
-    vector = F.col("embedding").cast("array<double>")
+    vector = vector_of(embeddings)
     rows = embeddings.where(valid(vector) & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), vector.alias("vector"), F.coalesce(is_query, F.lit(False)).alias("query"))
     # the k + 1 smallest ids of a class are enough for any answer; the window limit keeps them map-side

@@ -14,9 +14,18 @@ def valid(vector: Column) -> Column:
     return F.coalesce(ok & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def vector_of(rows: DataFrame) -> Column:
+    """The embedding as it is shuffled: floats stay floats (half the bytes), all else becomes doubles.
+
+    ``matrix`` computes in doubles either way.
+    """
+    floats = rows.schema["embedding"].dataType.simpleString() == "array<float>"
+    return F.col("embedding") if floats else F.col("embedding").cast("array<double>")
+
+
 def classes(rows: DataFrame, *more: Column) -> DataFrame:
     """Equal vectors as one row (node, vector) with aggregates ``more``."""
-    vector = F.col("embedding").cast("array<double>")
+    vector = vector_of(rows)
     own = rows.where(valid(vector)).select("vec_id", vector.alias("vector"))
     return own.groupBy("vector").agg(*more).withColumn("node", F.xxhash64("vector"))
 

@@ -76,6 +76,8 @@ def test_embedding_dedup(spark):
     links = (u @ u.T >= 0.95).sum(1) - 1
     assert len(got) == 306 and (got.n_links[:300] == links).all() and (got.n_links[300:] == 0).all()
     assert got.component_id[120] == 100 and got.component_id[89] == 50 and not got.kept[120] and got.kept[303]
+    doubles = embed_dedup.dedup(df.withColumn("embedding", F.col("embedding").cast("array<double>")), block=64)
+    assert doubles.toPandas().set_index("vec_id").sort_index().equals(got.sort_index())
     assert embed_dedup.dedup(df.limit(0)).count() == 0
 
 
