@@ -7,6 +7,11 @@ consecutive rows; a query meets its own block and both neighbours, so its window
 ``BLOCK`` rows on either side.  The windows' best rows are merged and ranked again by their exact
 inner products.
 
+What share of the neighbours the windows meet falls as the table grows, so it is measured: ``PROBES``
+fixed queries are answered by brute force, and orderings are added until their windows hold ``TARGET``
+of these answers; beyond ``MOST`` orderings the windows are widened instead, to the whole table if
+need be.
+
 Equal vectors are one class with its smallest ids, so ties go to smaller ids however many copies there
 are.  Vectors that are null, empty, zero or hold null or non-finite components take no part; vectors
 only meet others of their length.  Rows without vec_id are neither query nor candidate.  With fewer
@@ -26,6 +31,8 @@ from roadsight.llm.common import stage
 from roadsight.llm.vectors import by_length, in_blocks, matrix, valid, vector_of
 
 K, ORDERINGS, BLOCK = 20, 10, 4096
+#: Least recall on the probes, above the 0.9 asked for as they are a sample.
+TARGET, PROBES, MOST = 0.93, 256, 64
 AXES, BITS = 8, 4
 FIT_ROWS = 4096
 
@@ -59,7 +66,7 @@ def hilbert_key(grid: np.ndarray, bits: int) -> np.ndarray:
     return key.astype(np.int64)
 
 
-def _curves(centre: dict[int, np.ndarray], orderings: int, seed: int):
+def _curves(centre: dict[int, np.ndarray], orderings: range, seed: int):
     def apply(batches):
         import pyarrow as pa
 
@@ -68,7 +75,7 @@ def _curves(centre: dict[int, np.ndarray], orderings: int, seed: int):
             for n, rows, x in by_length(batch, 1):
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
                 middle, spread = centre.get(n, (np.zeros(n), np.full(n, n ** -0.5)))
-                for o in range(orderings):
+                for o in orderings:
                     rng = np.random.default_rng([seed, n, o])
                     axes = rng.standard_normal((n, AXES))
                     y = (x - middle) @ axes / np.sqrt((spread ** 2) @ axes ** 2) + rng.uniform(-0.5, 0.5, AXES)
@@ -100,9 +107,83 @@ def _windows(k: int):
     return apply
 
 
+def _exact(probes: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
+    """The k best rows of a task's part for every probe, itself left out."""
+    def apply(batches):
+        import pyarrow as pa
+
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            nodes = batch.column(0).to_numpy()
+            for n, rows, x in by_length(batch, 1):
+                if n not in probes:
+                    continue
+                own = nodes[rows]
+                score = np.where(probes[n][0][:, None] == own[None, :], -np.inf, probes[n][1] @ x.T)
+                node = np.broadcast_to(own, score.shape)
+                if n in best:
+                    node, score = np.hstack([best[n][0], node]), np.hstack([best[n][1], score])
+                if score.shape[1] > k:
+                    top = np.argpartition(-score, k - 1, axis=1)[:, :k]
+                    node, score = np.take_along_axis(node, top, 1), np.take_along_axis(score, top, 1)
+                best[n] = node, score
+        for n, (node, score) in best.items():
+            real = np.isfinite(score)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(probes[n][0], real.sum(1))), pa.array(node[real]), pa.array(score[real])],
+                ["asker", "target", "score"])
+    return apply
+
+
+def _truth(sets: DataFrame, k: int) -> DataFrame:
+    """(asker, target): the true k nearest classes of the probes, a fixed sample of the queries."""
+    sample = sets.where("query").orderBy(F.hash("node"), "node").limit(PROBES).select("node", "vector").toArrow()
+    probes = {}
+    if sample.num_rows:
+        batch = sample.combine_chunks().to_batches()[0]
+        probes = {n: (batch.column(0).to_numpy()[rows], x) for n, rows, x in by_length(batch, 1)}
+    found = sets.select("node", "vector").mapInArrow(_exact(probes, k), "asker long, target long, score double")
+    nth = F.row_number().over(Window.partitionBy("asker").orderBy(F.desc("score"), "target"))
+    return stage(found.withColumn("nth", nth).where(F.col("nth") <= k).select("asker", "target"), "truth")
+
+
+def _gaps(placed: DataFrame, truth: DataFrame) -> list[tuple[int, int]]:
+    """(least distance in blocks over all orderings, how many true neighbours have it), sorted."""
+    asker = placed.join(F.broadcast(truth), F.col("node") == F.col("asker")).select(
+        "asker", "target", "pass", F.col("block").alias("at"))
+    target = placed.join(F.broadcast(truth.select("target").distinct()), F.col("node") == F.col("target")).select("target", "pass", "block")
+    gaps = asker.join(target, ["target", "pass"]).groupBy("asker", "target").agg(F.min(F.abs(F.col("at") - F.col("block"))).alias("gap"))
+    return [(r["gap"], r["count"]) for r in gaps.groupBy("gap").count().orderBy("gap").collect()]
+
+
+def _place(sets: DataFrame, truth: DataFrame, centre: dict[int, np.ndarray], orderings: int, block: int,
+           seed: int) -> tuple[DataFrame, int]:
+    """All rows in as many orderings as the probes need, and how many blocks on either side a query meets."""
+    placed, done = None, 0
+    while True:
+        keys = sets.select("node", "vector").mapInArrow(
+            _curves(centre, range(done, orderings), seed), "pass int, length int, key long, node long")
+        more = in_blocks(keys, block, "curves")
+        placed, done = more if placed is None else placed.unionByName(more), orderings
+        gaps = _gaps(placed, truth)
+        total = sum(n for _, n in gaps)
+        met = sum(n for gap, n in gaps if gap <= 1)
+        if met >= TARGET * total:
+            return placed, 1
+        if done >= MOST:
+            share = np.cumsum([n for _, n in gaps]) >= TARGET * total
+            return placed, gaps[int(np.argmax(share))][0]
+        # every ordering misses about the same share of what the others missed
+        need = done * np.log(1 - TARGET) / np.log(1 - met / total) if met else MOST
+        orderings = min(MOST, max(done + 2, int(np.ceil(need))))
+
+
 def search(embeddings: DataFrame, is_query: Column, k: int = K, orderings: int = ORDERINGS, block: int = BLOCK,
            seed: int = 3) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of every row that ``is_query`` holds for."""
+    """(query_id, rank, vec_id, score): the k nearest found of every row that ``is_query`` holds for.
+
+    ``orderings`` is the least number of them.
+    """
     vector = vector_of(embeddings)
     rows = embeddings.where(valid(vector) & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), vector.alias("vector"), F.coalesce(is_query, F.lit(False)).alias("query"))
@@ -118,10 +199,10 @@ def search(embeddings: DataFrame, is_query: Column, k: int = K, orderings: int =
         for n, _, x in by_length(sample.combine_chunks().to_batches()[0], 0):
             x = x / np.linalg.norm(x, axis=1, keepdims=True)
             centre[n] = (x.mean(0), np.maximum(x.std(0), 1e-9))
-    keys = sets.select("node", "vector").mapInArrow(_curves(centre, orderings, seed), "pass int, length int, key long, node long")
-    placed = in_blocks(keys, block, "curves").join(sets.select("node", "vector", "query"), "node")
+    placed, reach = _place(sets, _truth(sets, k), centre, orderings, block, seed)
+    placed = placed.join(sets.select("node", "vector", "query"), "node")
     own = placed.select("pass", "length", "block", F.lit(0).alias("query"), "node", "vector")
-    near = F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)
+    near = F.sequence(F.col("block") - reach, F.col("block") + reach)
     ask = placed.where("query").select("pass", "length", F.explode(near).alias("block"), F.lit(1).alias("query"), "node", "vector")
     found = own.unionByName(ask).groupBy("pass", "length", "block").applyInArrow(_windows(k), "asker long, node long, score double")
     merged = found.groupBy("asker", "node").agg(F.max("score").alias("score"))

@@ -100,6 +100,18 @@ def test_hilbert_search(spark):
     assert hilbert_ann.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_hilbert_recall_holds_as_rows_outgrow_the_blocks(spark):
+    x = np.random.default_rng(8).standard_normal((6000, 32)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = hilbert_ann.search(df, F.col("vec_id") % 20 == 0, orderings=4, block=64).toPandas()
+    asked = np.arange(0, 6000, 20)
+    s = x[asked].astype(np.float64) @ x.T.astype(np.float64)
+    s[np.arange(len(asked)), asked] = -2
+    true = {(int(q), int(j)) for q, row in zip(asked, np.argsort(-s, axis=1)[:, :20]) for j in row}
+    assert len(true & set(zip(got.query_id, got.vec_id))) >= 0.9 * len(true)
+
+
 def test_hilbert_curve_visits_neighbours():
     grid = np.stack(np.meshgrid(np.arange(8), np.arange(8), indexing="ij"), -1).reshape(-1, 2)
     path = grid[np.argsort(hilbert_ann.hilbert_key(grid, 3))]
