@@ -12,6 +12,10 @@ fixed queries are answered by brute force, and orderings are added until their w
 of these answers; beyond ``MOST`` orderings the windows are widened instead, to the whole table if
 need be.
 
+Curves compare directions, but the answer is by inner product, so rows are split into ranges of their
+norm (``RATIO`` wide, the greatest first; ``RANGES`` at most, the last one holds all shorter vectors)
+and a query searches every range of its length.  Vectors of one norm make one range.
+
 Equal vectors are one class with its smallest ids, so ties go to smaller ids however many copies there
 are.  Vectors that are null, empty, zero or hold null or non-finite components take no part; vectors
 only meet others of their length.  Rows without vec_id are neither query nor candidate.  With fewer
@@ -34,6 +38,7 @@ K, ORDERINGS, BLOCK = 20, 10, 4096
 #: Least recall on the probes, above the 0.9 asked for as they are a sample.
 TARGET, PROBES, MOST = 0.93, 256, 64
 AXES, BITS = 8, 4
+RATIO, RANGES = 1.25, 16
 FIT_ROWS = 4096
 
 
@@ -66,13 +71,19 @@ def hilbert_key(grid: np.ndarray, bits: int) -> np.ndarray:
     return key.astype(np.int64)
 
 
-def _curves(centre: dict[int, np.ndarray], orderings: range, seed: int):
+def _curves(centre: dict[int, np.ndarray], ranges: dict[int, list[int]], orderings: range, seed: int):
+    """Places of rows in the range of their norm, and of queries in every range of their length."""
     def apply(batches):
         import pyarrow as pa
 
         for batch in batches:
-            nodes = batch.column(0).to_numpy()
+            nodes, own = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            asks = batch.column(3).to_numpy(zero_copy_only=False)
             for n, rows, x in by_length(batch, 1):
+                ask = np.flatnonzero(asks[rows])
+                places = [(np.arange(len(rows)), own[rows], 0)] + [(ask, np.full(len(ask), r), 1) for r in ranges[n]]
+                at, part = (np.concatenate([p[i] for p in places]) for i in (0, 1))
+                role = np.concatenate([np.full(len(p[0]), p[2], np.int32) for p in places])
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
                 middle, spread = centre.get(n, (np.zeros(n), np.full(n, n ** -0.5)))
                 for o in orderings:
@@ -80,10 +91,10 @@ def _curves(centre: dict[int, np.ndarray], orderings: range, seed: int):
                     axes = rng.standard_normal((n, AXES))
                     y = (x - middle) @ axes / np.sqrt((spread ** 2) @ axes ** 2) + rng.uniform(-0.5, 0.5, AXES)
                     grid = np.clip((y + 4) / 8 * (1 << BITS), 0, (1 << BITS) - 1)
-                    m = len(rows)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(m, o, np.int32)), pa.array(np.full(m, n, np.int32)), pa.array(hilbert_key(grid, BITS)),
-                         pa.array(nodes[rows])], ["pass", "length", "key", "node"])
+                        [pa.array(np.full(len(at), o, np.int32)), pa.array((n * RANGES + part).astype(np.int32)),
+                         pa.array(hilbert_key(grid, BITS)[at]), pa.array(nodes[rows][at]), pa.array(role)],
+                        ["pass", "length", "key", "node", "query"])
     return apply
 
 
@@ -149,21 +160,25 @@ def _truth(sets: DataFrame, k: int) -> DataFrame:
 
 def _gaps(placed: DataFrame, truth: DataFrame) -> list[tuple[int, int]]:
     """(least distance in blocks over all orderings, how many true neighbours have it), sorted."""
-    asker = placed.join(F.broadcast(truth), F.col("node") == F.col("asker")).select(
-        "asker", "target", "pass", F.col("block").alias("at"))
-    target = placed.join(F.broadcast(truth.select("target").distinct()), F.col("node") == F.col("target")).select("target", "pass", "block")
-    gaps = asker.join(target, ["target", "pass"]).groupBy("asker", "target").agg(F.min(F.abs(F.col("at") - F.col("block"))).alias("gap"))
+    asker = placed.where("query = 1").join(F.broadcast(truth), F.col("node") == F.col("asker")).select(
+        "asker", "target", "pass", "length", F.col("block").alias("at"))
+    target = placed.where("query = 0").join(F.broadcast(truth.select("target").distinct()), F.col("node") == F.col("target")).select(
+        "target", "pass", "length", "block")
+    gaps = asker.join(target, ["target", "pass", "length"]).groupBy("asker", "target").agg(F.min(F.abs(F.col("at") - F.col("block"))).alias("gap"))
     return [(r["gap"], r["count"]) for r in gaps.groupBy("gap").count().orderBy("gap").collect()]
 
 
 def _place(sets: DataFrame, truth: DataFrame, centre: dict[int, np.ndarray], orderings: int, block: int,
            seed: int) -> tuple[DataFrame, int]:
     """All rows in as many orderings as the probes need, and how many blocks on either side a query meets."""
+    ranges: dict[int, list[int]] = {}
+    for r in sets.select(F.size("vector").alias("n"), "range").distinct().collect():  # RANGES a length at most
+        ranges.setdefault(r["n"], []).append(r["range"])
     placed, done = None, 0
     while True:
-        keys = sets.select("node", "vector").mapInArrow(
-            _curves(centre, range(done, orderings), seed), "pass int, length int, key long, node long")
-        more = in_blocks(keys, block, "curves")
+        keys = sets.select("node", "vector", "range", "query").mapInArrow(
+            _curves(centre, ranges, range(done, orderings), seed), "pass int, length int, key long, node long, query int")
+        more = in_blocks(keys, block, "curves", "query")
         placed, done = more if placed is None else placed.unionByName(more), orderings
         gaps = _gaps(placed, truth)
         total = sum(n for _, n in gaps)
@@ -191,8 +206,14 @@ def search(embeddings: DataFrame, is_query: Column, k: int = K, orderings: int =
     first = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     least = rows.withColumn("nth", first).where(F.col("nth") <= k + 1).groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     asked = rows.where("query").select(F.col("vector").alias("v")).distinct()
-    sets = stage(least.join(asked, F.col("vector") == F.col("v"), "left").select(
-        F.xxhash64("vector").alias("node"), "vector", "ids", F.col("v").isNotNull().alias("query")), "vectors")
+    classes = least.join(asked, F.col("vector") == F.col("v"), "left").select(
+        F.xxhash64("vector").alias("node"), "vector", "ids", F.col("v").isNotNull().alias("query"),
+        F.sqrt(F.aggregate("vector", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double"))).alias("norm"))
+    sets = stage(classes, "vectors")
+    greatest = F.broadcast(sets.groupBy(F.size("vector").alias("of")).agg(F.max("norm").alias("most")))  # one row a length
+    part = F.least(F.floor(F.log(F.col("most") / F.col("norm")) / np.log(RATIO)), F.lit(RANGES - 1))
+    sets = sets.join(greatest, F.size("vector") == F.col("of")).select(
+        "node", "vector", "ids", "query", F.coalesce(part, F.lit(RANGES - 1)).cast("int").alias("range"))
     sample = sets.orderBy(F.hash("node"), "node").limit(FIT_ROWS).select("vector").toArrow()
     centre = {}
     if sample.num_rows:
@@ -200,10 +221,10 @@ def search(embeddings: DataFrame, is_query: Column, k: int = K, orderings: int =
             x = x / np.linalg.norm(x, axis=1, keepdims=True)
             centre[n] = (x.mean(0), np.maximum(x.std(0), 1e-9))
     placed, reach = _place(sets, _truth(sets, k), centre, orderings, block, seed)
-    placed = placed.join(sets.select("node", "vector", "query"), "node")
-    own = placed.select("pass", "length", "block", F.lit(0).alias("query"), "node", "vector")
+    placed = placed.join(sets.select("node", "vector"), "node")
+    own = placed.where("query = 0").select("pass", "length", "block", F.lit(0).alias("query"), "node", "vector")
     near = F.sequence(F.col("block") - reach, F.col("block") + reach)
-    ask = placed.where("query").select("pass", "length", F.explode(near).alias("block"), F.lit(1).alias("query"), "node", "vector")
+    ask = placed.where("query = 1").select("pass", "length", F.explode(near).alias("block"), F.lit(1).alias("query"), "node", "vector")
     found = own.unionByName(ask).groupBy("pass", "length", "block").applyInArrow(_windows(k), "asker long, node long, score double")
     merged = found.groupBy("asker", "node").agg(F.max("score").alias("score"))
     ids = sets.select("node", "ids")

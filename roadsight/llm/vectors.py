@@ -49,13 +49,13 @@ def by_length(batch, at: int):
         yield n, rows, matrix(batch.column(at).take(pa.array(rows)))
 
 
-def in_blocks(keys: DataFrame, block: int, name: str) -> DataFrame:
-    """(pass, length, key, node) to (node, pass, length, block): blocks of equally many rows in key order.
+def in_blocks(keys: DataFrame, block: int, name: str, *more: str) -> DataFrame:
+    """(pass, length, key, node, more) to (node, pass, length, block, more): blocks of equally many rows in key order.
 
     One ranking serves all passes.  Ranks do not depend on how keys are spread, so ties and
     crowded places give no larger block.  Ties stand in another order in every pass, so that rows
     of one crowded place do not always miss the same others.
     """
-    order = [F.col("pass"), F.col("length"), F.col("key"), F.xxhash64("node", "pass"), F.col("node")]
+    order = [F.col("pass"), F.col("length"), F.col("key"), F.xxhash64("node", "pass"), F.col("node"), *map(F.col, more)]
     ranked = with_rank(keys, order, "rank")
-    return stage(ranked.select("node", "pass", "length", F.floor(F.col("rank") / block).alias("block")), name)
+    return stage(ranked.select("node", "pass", "length", F.floor(F.col("rank") / block).alias("block"), *more), name)

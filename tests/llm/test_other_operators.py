@@ -112,6 +112,21 @@ def test_hilbert_recall_holds_as_rows_outgrow_the_blocks(spark):
     assert len(true & set(zip(got.query_id, got.vec_id))) >= 0.9 * len(true)
 
 
+def test_hilbert_search_ranks_by_product_of_unequal_norms(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((6000, 32))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True) * np.exp(0.5 * rng.standard_normal((6000, 1)))).astype(np.float32)
+    x[17] *= 1e-30
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = hilbert_ann.search(df, F.col("vec_id") % 20 == 0, block=64).toPandas()
+    asked = np.arange(0, 6000, 20)
+    s = x[asked].astype(np.float64) @ x.T.astype(np.float64)
+    s[np.arange(len(asked)), asked] = -np.inf
+    true = {(int(q), int(j)) for q, row in zip(asked, np.argsort(-s, axis=1)[:, :20]) for j in row}
+    assert len(true & set(zip(got.query_id, got.vec_id))) >= 0.9 * len(true)
+    assert got.groupby("query_id").size().eq(20).all()
+
+
 def test_hilbert_curve_visits_neighbours():
     grid = np.stack(np.meshgrid(np.arange(8), np.arange(8), indexing="ij"), -1).reshape(-1, 2)
     path = grid[np.argsort(hilbert_ann.hilbert_key(grid, 3))]
