@@ -12,6 +12,8 @@ of their own.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -48,15 +50,23 @@ def _fast(ranks_path: str):
 
 @lru_cache(maxsize=2)
 def _whole(json_path: str):
-    """The tokenizer itself, loaded only where the encoder refuses a text."""
+    """The tokenizer itself, loaded only for texts with an added token and where the encoder refuses a text."""
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(json_path)
-    whole.encode_special_tokens = True  # their strings in a text are ordinary text
-    return whole
+    return Tokenizer.from_file(json_path)
+
+
+@lru_cache(maxsize=2)
+def _added(json_path: str):
+    """Finds the strings that the tokenizer takes as tokens of their own, which the ranks do not know."""
+    with open(json_path, encoding="utf-8") as f:
+        strings = [token["content"] for token in json.load(f).get("added_tokens") or []]
+    return re.compile("|".join(map(re.escape, strings)) or r"(?!)").search
 
 
 def encode(text: str, ranks_path: str, json_path: str) -> np.ndarray:
+    if _added(json_path)(text):
+        return np.array([*_whole(json_path).encode(text, add_special_tokens=False).ids, 0], np.uint32)
     try:
         ids = _fast(ranks_path).encode_ordinary(text)
     except BaseException as error:  # the pattern engine panics on some very long runs

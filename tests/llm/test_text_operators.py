@@ -103,6 +103,17 @@ def test_packing(spark):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
+def test_packing_takes_added_tokens_as_the_tokenizer_does(spark):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "<|endoftext|><|endoftext|>a", "<|endoftext", "plain"]
+    rows = packing.pack_documents(frame(spark, [(i, t, None) for i, t in enumerate(texts)]), keep_ids=True).toPandas().set_index("doc_id")
+    assert list(rows.ids[0]) == [87, 220, 50256, 331, 0]
+    for i, t in enumerate(texts):
+        assert list(rows.ids[i]) == whole.encode(t, add_special_tokens=False).ids + [0]
+
+
 def test_best_fit_takes_the_tightest_room():
     rng = np.random.default_rng(2)
     lengths = np.sort(rng.integers(1, 101, 500))[::-1]
