@@ -28,7 +28,7 @@ no rows.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roadsight.llm.common import (binary_parts, components, mix, small_side, space_words, stage, with_rank)
 
@@ -117,10 +117,10 @@ def _chunks(buckets: int):
                 _, first = np.unique(prints, return_index=True)  # equal sets count once a chunk
                 alone = np.zeros(len(prints), bool)
                 alone[first] = True
-                ids = part.column(0)
+                ids, rows_of = part.column(0), part.column(2).to_numpy()
                 known = np.array(ids.is_valid().to_pylist(), bool)
                 rows = [(0, number % buckets, number, ids.fill_null(0).to_numpy().astype("<i8").tobytes(),
-                         np.stack([sizes, known], 1).astype("<i8").tobytes(), prints.tobytes())]
+                         np.stack([sizes, known, rows_of], 1).astype("<i8").tobytes(), prints.tobytes())]
                 use = alone[own]
                 tokens, own = tokens[use], own[use].astype("<u2")
                 order = np.argsort(tokens, kind="stable")
@@ -174,12 +174,12 @@ def _documents(batches):
 
     for batch in batches:
         for chunk, a, b, c in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            sizes = np.frombuffer(b, "<i8").reshape(-1, 2)
+            sizes = np.frombuffer(b, "<i8").reshape(-1, 3)
             ids = pa.array(np.frombuffer(a, "<i8"), mask=sizes[:, 1] == 0)
             n = len(sizes)
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(sizes[:, 0]), pa.array(np.frombuffer(c, "<i8")), pa.array(np.full(n, chunk)),
-                 pa.array(np.arange(n, dtype=np.int32))], ["doc_id", "n", "print", "chunk", "place"])
+                 pa.array(np.arange(n, dtype=np.int32)), pa.array(sizes[:, 2])], ["doc_id", "n", "print", "chunk", "place", "row"])
 
 
 CANDIDATE = ("print long, n long, single binary, pair binary, weight long, subsets long, scans long, shared binary")
@@ -359,13 +359,19 @@ def links(candidates: DataFrame, limit: int | None = None, light: int = LIGHT) -
     return light_links.unionByName(_heavy_links(heavy, candidates))
 
 
+def _row_key() -> Column:
+    """Tells rows apart by id and text; rows with both equal are interchangeable."""
+    text = F.col("text").cast("binary")
+    return F.xxhash64(F.col("doc_id").cast("long"), text, F.col("doc_id").isNull(), text.isNull()).alias("row")
+
+
 def classes_and_links(docs: DataFrame, buckets: int = BUCKETS, limit: int | None = None,
                       light: int = LIGHT) -> tuple[DataFrame, DataFrame]:
     """(documents with set size and class, links between classes)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), _row_key())
     counted = stage(texts.mapInArrow(_chunks(buckets), CHUNKS).groupBy("bucket").applyInArrow(_shared, CHUNKS), "shingles")
     rows = counted.where("kind = 0").select("chunk", "a", "b", "c").mapInArrow(
-        _documents, "doc_id long, n long, print long, chunk long, place int")
+        _documents, "doc_id long, n long, print long, chunk long, place int, row long")
     rows = stage(rows, "sets")
     classes = rows.where("n > 0").groupBy("print", "n").agg(F.min(F.struct("chunk", "place")).alias("r")).select(
         "print", "n", "r.chunk", "r.place")
@@ -375,27 +381,44 @@ def classes_and_links(docs: DataFrame, buckets: int = BUCKETS, limit: int | None
     return rows, links(candidates, limit, light)
 
 
-def join(docs: DataFrame, buckets: int = BUCKETS, limit: int | None = None, light: int = LIGHT) -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id."""
+def _joined(docs: DataFrame, buckets: int, limit: int | None, light: int) -> DataFrame:
+    """One row a document: doc_id, n_shingles, component_id, its row key and that of the row to keep.
+
+    ``first`` is the component's row with the smallest id, then the smallest row key; for rows without id
+    it is the smallest of theirs.  It is null for documents that link with nothing.
+    """
     rows, found = classes_and_links(docs, buckets, limit, light)
     roots = components(found).withColumnRenamed("node", "print")
-    classes = rows.where("n > 0").groupBy("print", "n").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("m"))
+    classes = rows.where("n > 0").groupBy("print", "n").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("m"),
+                                                            F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row"))).alias("first"),
+                                                            F.min(F.when(F.col("doc_id").isNull(), F.col("row"))).alias("bare"))
     rooted = stage(classes.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print")), "rooted")
-    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.sum("m").alias("m")).where("m > 1")
-    named = rooted.select("print", "n", "root").join(lows.select("root", "component_id"), "root").select(
-        F.col("print").alias("p"), F.col("n").alias("s"), "component_id")
+    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.sum("m").alias("m"), F.min("first").alias("first"), F.min("bare").alias("bare")).where("m > 1")
+    named = rooted.select("print", "n", "root").join(lows.select("root", "component_id", F.col("first.row").alias("first"), "bare"), "root").select(
+        F.col("print").alias("p"), F.col("n").alias("s"), "component_id", "first", "bare")
     return rows.join(named, (F.col("print") == F.col("p")) & (F.col("n") == F.col("s")), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "row",
+        F.when(F.col("doc_id").isNull(), F.col("bare")).otherwise(F.col("first")).alias("first"))
+
+
+def join(docs: DataFrame, buckets: int = BUCKETS, limit: int | None = None, light: int = LIGHT) -> DataFrame:
+    """One row a document: doc_id, n_shingles, component_id."""
+    return _joined(docs, buckets, limit, light).drop("row", "first")
 
 
 def keep_one(docs: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
-    """The documents with one of each linked group kept (the smallest id), all columns as they were."""
-    joined = stage(join(docs), "joined")
-    gone = joined.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    rest = docs.join(small_side(gone, gone.count(), broadcast_rows), F.col("doc_id") == F.col("__gone"), "left_anti")
-    twice = joined.where("doc_id = component_id and n_shingles > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    """The documents with one of each linked group kept, all columns as they were.
+
+    Kept is the row with the smallest id, and of the rows without id, which nothing names, one beside it.
+    Rows are told apart by id and text, so a repeated id drops no text that links with nothing.
+    """
+    joined = stage(_joined(docs, BUCKETS, None, LIGHT).select("row", "first").where("first is not null"), "joined")
+    gone = joined.where("row <> first").select(F.col("row").alias("__gone")).distinct()
+    rest = docs.join(small_side(gone, gone.count(), broadcast_rows), _row_key() == F.col("__gone"), "left_anti")
+    twice = joined.where("row = first").groupBy("row").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     if twice.isEmpty():
         return rest
-    several = small_side(twice.select(F.col("doc_id").alias("__twice")), twice.count(), broadcast_rows)
-    once = rest.join(several, F.col("doc_id") == F.col("__twice"), "left_semi").dropDuplicates(["doc_id"])
-    return rest.join(several, F.col("doc_id") == F.col("__twice"), "left_anti").unionByName(once)
+    several = small_side(twice.select(F.col("row").alias("__twice")), twice.count(), broadcast_rows)
+    once = (rest.join(several, _row_key() == F.col("__twice"), "left_semi").withColumn("__row", _row_key())
+            .dropDuplicates(["__row"]).drop("__row"))
+    return rest.join(several, _row_key() == F.col("__twice"), "left_anti").unionByName(once)

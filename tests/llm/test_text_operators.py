@@ -76,6 +76,20 @@ def test_ngram_join_edges(spark):
     assert ngram_join.join(docs.limit(0)).count() == 0
 
 
+def test_keep_one_goes_by_rows_and_not_by_ids(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(20)) for c in "abc")
+    rows = [(None, one, "s"), (None, one, "s"), (None, one + " z", "s"), (7, two, "s"), (8, two, "s"), (8, three, "s"),
+            (8, None, "s"), (8, None, "s"), (None, "", "s"), (3, "q " + three.upper(), "s")]
+    kept = ngram_join.keep_one(frame(spark, rows)).collect()
+    texts = sorted((r.doc_id or -1, r.text or "") for r in kept)
+    assert [t for t in texts if t[1][:1] == "a"] in ([(-1, one)], [(-1, one + " z")])
+    assert [t for t in texts if t[1][:1] != "a"] == sorted([(7, two), (3, "q " + three.upper()), (8, ""), (8, ""), (-1, "")])
+    bare = ngram_join.keep_one(frame(spark, [(None, two, "s")] * 4 + [(7, two, "s")])).collect()
+    assert len([r for r in bare if r.doc_id == 7]) == 1 and len(bare) <= 2
+    lone = ngram_join.keep_one(frame(spark, [(1, one, "s"), (2, one, "s"), (2, two, "s"), (2, three, "s")])).collect()
+    assert sorted((r.doc_id, r.text) for r in lone) == [(1, one), (2, two), (2, three)]
+
+
 def test_long_text_is_hashed_like_its_words(spark):
     from roadsight.llm.common import space_words
     text = ("x" * 700_000 + " " + "ab cd " * 200_000).encode()
