@@ -3,11 +3,12 @@
 Each pass gives a vector the concatenated signs of its products with random directions, orders all
 vectors by that string and compares each with its neighbours in the order: blocks of ``BLOCK``
 consecutive vectors meet themselves and the block before, so every vector sees at least ``BLOCK``
-neighbours on either side.  Verified pairs (cosine in double precision) of all passes are united.
+neighbours on either side.  Verified pairs (cosine in double precision) of all passes are united to
+components, to which a block gives at most one edge a row.
 
-Equal vectors are one class, counted with their number, so copies are never paired.  A pair that an
-earlier pass has compared already is left out, which each row tells from its blocks of all passes;
-so counts need no list of pairs, and a block returns at most one edge and one count a row.
+Links are then counted within each component, every row against every other that can link with it, so
+no window bounds ``n_links``: it is exact wherever the component is whole.  Large components are counted
+by pairs of chunks.  Equal vectors are one class, counted with their number, so copies are never paired.
 
 Vectors that are null, empty, zero or hold null or non-finite components link with nothing, as do
 vectors of different lengths.  Rows without vec_id take part; their component is the smallest id
@@ -21,10 +22,12 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from roadsight.llm.common import components, stage
+from roadsight.llm.common import components, small_side, stage, with_rank
 from roadsight.llm.vectors import by_length, classes, in_blocks, matrix, valid, vector_of
 
 LEAST, PASSES, BLOCK, SIGNS = 0.95, 8, 1024, 48
+#: Components of more than a block that are broadcast at most.
+BROADCAST = 100_000
 
 
 def _signs(passes: int, seed: int):
@@ -47,12 +50,10 @@ def _signs(passes: int, seed: int):
 
 def _compare(least: float):
     def apply(key, table):
-        """Links of a block's own rows among themselves and with the block before."""
+        """One edge a linked row, for the links of a block's own rows among themselves and with the block before."""
         import pyarrow as pa
 
         nodes, own = table["node"].to_numpy(), table["own"].to_numpy()
-        count, order = table["m"].to_numpy(), int(table["pass"][0].as_py())
-        blocks = matrix(table["blocks"]).astype(np.int64)
         x = matrix(table["vector"])
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         mine = np.flatnonzero(own)
@@ -60,10 +61,6 @@ def _compare(least: float):
         i = mine[i]
         use = (i < j) | ~own[j]
         i, j = i[use], j[use]
-        if order:
-            new = (np.abs(blocks[i, :order] - blocks[j, :order]) > 1).all(1)
-            i, j = i[new], j[new]
-        found = np.bincount(i, count[j], len(nodes)) + np.bincount(j, count[i], len(nodes))
         near = np.arange(len(nodes))
         while True:  # smallest neighbour until nothing moves: one edge a row
             low = near.copy()
@@ -73,25 +70,96 @@ def _compare(least: float):
             if (low == near).all():
                 break
             near = low
-        some = np.flatnonzero(found)
-        return pa.table([pa.array(nodes[some]), pa.array(nodes[near[some]]), pa.array(found[some].astype(np.int64))],
-                        names=["u", "v", "links"])
+        some = np.unique(np.concatenate([i, j]))
+        return pa.table([pa.array(nodes[some]), pa.array(nodes[near[some]])], names=["u", "v"])
     return apply
 
 
+def _links(x: np.ndarray, y: np.ndarray | None, mx: np.ndarray, my: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted link counts of the rows of x and of y, or of x with itself."""
+    of_x, of_y = np.zeros(len(x)), np.zeros(0 if y is None else len(y))
+    other, weight = (x, mx) if y is None else (y, my)
+    for at in range(0, len(x), 512):
+        s = x[at:at + 512] @ other.T >= least
+        if y is None:
+            s[np.arange(len(s)), np.arange(at, at + len(s))] = False
+        else:
+            of_y += mx[at:at + 512] @ s
+        of_x[at:at + 512] = s @ weight
+    return of_x, of_y
+
+
+def _count(least: float):
+    def apply(key, table):
+        """Links of a bucket of whole components (i < 0), or of two chunks of one component."""
+        import pyarrow as pa
+
+        table = table.combine_chunks()
+        x, m, root = matrix(table["vector"]), table["m"].to_numpy().astype(np.float64), table["root"].to_numpy()
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        i, j, chunk = table["i"][0].as_py(), table["j"][0].as_py(), table["chunk"].to_numpy()
+        found = np.zeros(len(x))
+        if i < 0:
+            order = np.argsort(root, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(root[order])) + 1):
+                found[rows] = _links(x[rows], None, m[rows], None, least)[0]
+        elif i == j:
+            found = _links(x, None, m, None, least)[0]
+        else:
+            a, b = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+            found[a], found[b] = _links(x[a], x[b], m[a], m[b], least)
+        return pa.table([table["node"], pa.array(found.astype(np.int64))], names=["u", "links"])
+    return apply
+
+
+def _counts(linked: DataFrame, least: float, block: int) -> DataFrame:
+    """(u, links): exact link counts within each component of ``linked`` (node, root, m, vector).
+
+    Components of up to ``block`` rows are counted whole, many to a task.  Larger ones are ordered by the
+    angle to a pivot and cut into chunks; every two chunks whose angles let them link are a task.
+    """
+    schema, task = "u long, links long", ["root", "node", "m", "vector", "chunk", "i", "j"]
+    sizes = stage(linked.groupBy("root").agg(F.count(F.lit(1)).alias("g")).where(F.col("g") > block), "crowded")
+    n = sizes.count()
+    rare = linked.join(small_side(sizes, n, BROADCAST), "root", "left_anti") if n else linked
+    buckets = max(1, -(-linked.count() // (4 * block)))
+    none = F.lit(-1).cast("long")
+    rare = rare.withColumns({"chunk": none, "i": none, "j": none})
+    counts = (rare.select(*task, F.pmod(F.xxhash64("root"), F.lit(buckets)).alias("bucket"), F.size("vector").alias("length"))
+              .groupBy("bucket", "length").applyInArrow(_count(least), schema))
+    if not n:
+        return counts
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda t, x: t + x)
+    pivots = linked.where("node = root").select("root", F.col("vector").alias("p"))
+    pivots = small_side(sizes.join(pivots, "root"), n, BROADCAST)
+    cosine = dot(F.col("vector"), F.col("p")) / F.sqrt(dot(F.col("vector"), F.col("vector"))) / F.sqrt(dot(F.col("p"), F.col("p")))
+    angles = linked.join(pivots, "root").select("root", "node", "g", F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))).alias("angle"))
+    ranked = stage(with_rank(angles, [F.col("root"), F.col("angle"), F.col("node")], "rank"), "angles")
+    starts = small_side(ranked.groupBy("root").agg(F.min("rank").alias("start")), n, BROADCAST)
+    rows = F.greatest(F.lit(block), F.least(F.lit(16 * block), F.floor(16 * F.sqrt("g"))))
+    numbered = stage(ranked.join(starts, "root").select("root", "node", "angle", F.floor((F.col("rank") - F.col("start")) / rows).alias("chunk")), "chunks")
+    spans = numbered.groupBy("root", "chunk").agg(F.min("angle").alias("lo"), F.max("angle").alias("hi"))
+    left = spans.select("root", F.col("chunk").alias("i"), F.col("hi").alias("hi_i"))
+    right = spans.select("root", F.col("chunk").alias("j"), F.col("lo").alias("lo_j"))
+    pairs = left.join(right, "root").where((F.col("i") <= F.col("j")) & (F.col("lo_j") - F.col("hi_i") <= float(np.arccos(least)) + 1e-6))
+    sides = pairs.select("root", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("chunk"))
+    dealt = numbered.select("root", "node", "chunk").join(linked.select("node", "m", "vector"), "node").join(sides, ["root", "chunk"])
+    return counts.unionByName(dealt.select(*task).groupBy("root", "i", "j").applyInArrow(_count(least), schema))
+
+
 def dedup(embeddings: DataFrame, least: float = LEAST, passes: int = PASSES, block: int = BLOCK, seed: int = 5) -> DataFrame:
     """One row a vector: vec_id, n_links, component_id, kept."""
     sets = stage(classes(embeddings, F.count(F.lit(1)).alias("m"), F.min("vec_id").alias("low")), "vectors")
     keys = sets.select("node", "vector").mapInArrow(_signs(passes, seed), "pass int, length int, key long, node long")
-    placed = in_blocks(keys, block, "projections")
-    all_blocks = placed.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("pass", "block"))).alias("b")).select(
-        "node", F.transform("b", lambda x: x["block"]).alias("blocks"))
-    rows = placed.join(sets.join(all_blocks, "node").select("node", "vector", "m", "blocks"), "node")
+    rows = in_blocks(keys, block, "projections").join(sets.select("node", "vector"), "node")
     meet = rows.withColumn("at", F.explode(F.array(F.col("block"), F.col("block") + 1))).withColumn("own", F.col("at") == F.col("block"))
-    found = stage(meet.select("pass", "length", "at", "own", "node", "m", "blocks", "vector").groupBy("pass", "length", "at")
-                  .applyInArrow(_compare(least), "u long, v long, links long"), "links")
-    roots = components(found.select("u", "v")).withColumnRenamed("node", "r_node")
-    counts = found.groupBy("u").agg(F.sum("links").alias("links"))
+    found = stage(meet.select("pass", "length", "at", "own", "node", "vector").groupBy("pass", "length", "at")
+                  .applyInArrow(_compare(least), "u long, v long"), "links")
+    roots = components(found)
+    linked = stage(roots.join(sets.select("node", "m", "vector"), "node"), "linked")
+    counts = _counts(linked, least, block).groupBy("u").agg(F.sum("links").alias("links"))
+    roots = roots.withColumnRenamed("node", "r_node")
     known = (sets.select("node", "m", "low").join(counts, F.col("node") == F.col("u"), "left")
              .join(roots, F.col("node") == F.col("r_node"), "left").withColumn("root", F.coalesce("root", "node")))
     known = stage(known.select("node", "root", "low", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links")), "known")

@@ -81,6 +81,18 @@ def test_embedding_dedup(spark):
     assert embed_dedup.dedup(df.limit(0)).count() == 0
 
 
+def test_embedding_dedup_counts_groups_wider_than_its_windows(spark):
+    rng = np.random.default_rng(10)
+    x = rng.standard_normal((1500, 32))
+    x[100:800] = x[100] + 0.2 * rng.standard_normal((700, 32))
+    x[900:905] = x[900] + 0.1 * rng.standard_normal((5, 32))
+    x[800:803] = x[150]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = embed_dedup.dedup(df, block=32).toPandas().set_index("vec_id").sort_index()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert (got.n_links == (u @ u.T >= 0.95).sum(1) - 1).all()
+
+
 def test_hilbert_search(spark):
     x = vectors()
     df = embeddings(spark, x)
