@@ -13,8 +13,9 @@ by pairs of chunks.  Equal vectors are one class, counted with their number, so
 Vectors that are null, empty, zero or hold null or non-finite components link with nothing, as do
 vectors of different lengths.  Rows without vec_id take part; their component is the smallest id
 reachable, if any.  An empty table gives no rows.  Recall: a pair at the least cosine of 0.95 agrees
-on a sign with a chance of 0.9, and on the few signs that bound a block in one of the passes almost
-surely; links are never wrong.
+on a sign with a chance of 0.9; the signs it must share grow with log2(rows / ``BLOCK``), so passes are
+added with the rows until the chance that none brings a pair together is ``MISS`` at most, taking rows
+as spread evenly over the signs and passes as independent.  Links are never wrong.
 """
 
 from __future__ import annotations
@@ -28,6 +29,14 @@ from roadsight.llm.vectors import by_length, classes, in_blocks, matrix, valid,
 LEAST, PASSES, BLOCK, SIGNS = 0.95, 8, 1024, 48
 #: Components of more than a block that are broadcast at most.
 BROADCAST = 100_000
+#: Bound on the chance that all passes miss a pair at the least cosine.
+MISS = 0.005
+
+
+def passes_for(rows: int, least: float, block: int) -> int:
+    """How many passes keep the chance to miss a pair at cosine ``least`` within ``MISS``."""
+    meet = (1 - np.arccos(least) / np.pi) ** np.log2(max(rows / block, 1))
+    return 1 if meet >= 1 else int(np.ceil(np.log(MISS) / np.log1p(-meet)))
 
 
 def _signs(passes: int, seed: int):
@@ -149,8 +158,9 @@ def _counts(linked: DataFrame, least: float, block: int) -> DataFrame:
 
 
 def dedup(embeddings: DataFrame, least: float = LEAST, passes: int = PASSES, block: int = BLOCK, seed: int = 5) -> DataFrame:
-    """One row a vector: vec_id, n_links, component_id, kept."""
+    """One row a vector: vec_id, n_links, component_id, kept.  ``passes`` is the least number of them."""
     sets = stage(classes(embeddings, F.count(F.lit(1)).alias("m"), F.min("vec_id").alias("low")), "vectors")
+    passes = max(passes, passes_for(sets.count(), least, block))
     keys = sets.select("node", "vector").mapInArrow(_signs(passes, seed), "pass int, length int, key long, node long")
     rows = in_blocks(keys, block, "projections").join(sets.select("node", "vector"), "node")
     meet = rows.withColumn("at", F.explode(F.array(F.col("block"), F.col("block") + 1))).withColumn("own", F.col("at") == F.col("block"))

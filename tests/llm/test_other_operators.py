@@ -93,6 +93,19 @@ def test_embedding_dedup_counts_groups_wider_than_its_windows(spark):
     assert (got.n_links == (u @ u.T >= 0.95).sum(1) - 1).all()
 
 
+def test_embedding_dedup_passes_grow_with_the_rows(spark):
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((8000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.standard_normal((400, 32))
+    side -= (side * x[:400]).sum(1, keepdims=True) * x[:400]
+    x[400:800] = 0.9505 * x[:400] + np.sqrt(1 - 0.9505 ** 2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = embed_dedup.dedup(df, passes=2, block=32).toPandas().set_index("vec_id")
+    assert (got.n_links[:400] >= 1).sum() >= 392
+    assert embed_dedup.passes_for(80_000, 0.95, 1024) == 8 < embed_dedup.passes_for(1_000_000, 0.95, 1024)
+
+
 def test_hilbert_search(spark):
     x = vectors()
     df = embeddings(spark, x)
