@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadsight.llm import (embed_dedup, fixity, hilbert_ann, license_scan, mixing, ngram_join, packing, quality_fm,
-                           surrogates, url_cascade)
+from roadsight.llm import (dual_tree, embed_dedup, fixity, hilbert_ann, language_mix, license_scan, mixing, ngram_join,
+                           packing, quality_fm, surrogates, url_cascade, whitening)
 from roadsight.llm.common import table
 
 
@@ -54,9 +54,24 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replaced.select("doc_id", "text", F.coalesce(F.array_join("__kinds", ","), F.lit("")).alias("kinds"))
 
 
+def op11_bidiagonal_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_mix.identify(docs, language_mix.learn(docs)).drop("mixture")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_merkle_fixity, op2_factorisation_machine, op3_bloom_cascade, op4_hilbert_curves,
                             op5_sorted_projections, op6_best_fit_packing, op7_splitting_tree, op8_suffix_automaton,
-                            op9_heavy_light_join, op10_surrogates)}
+                            op9_heavy_light_join, op10_surrogates, op11_bidiagonal_whitening,
+                            op12_dual_tree_search, op13_language_mixture)}
 
-SQL: dict[str, str] = {"op1_merkle_fixity": fixity.AUDIT_SQL, "op3_bloom_cascade": url_cascade.JUDGE_SQL}
+SQL: dict[str, str] = {"op1_merkle_fixity": fixity.AUDIT_SQL, "op3_bloom_cascade": url_cascade.JUDGE_SQL,
+                       "op12_dual_tree_search": dual_tree.SEARCH_SQL}
