@@ -547,7 +547,7 @@ def q_stream_scan(spark, d):
     from roadsight.streaming.harness import replay, run_to_table
     src = tb.traffic_lines(spark, d).withColumn("_t", F.split("value", ",").getItem(0).cast("long"))
     path, _ = replay(src, "_t", "lines", slices=4, fmt="text")
-    s = stream_traffic(spark, "text", path, "strict", maxFilesPerTrigger=1)
+    s = stream_traffic(spark, "text", path, "strict", maxFilesPerTrigger=spark.sparkContext.defaultParallelism)
     return run_to_table(s, "stream-scan")
 
 

@@ -11,8 +11,7 @@ SPEEDING_COLUMNS = ["car", "monitor_id", "road_id", "real_speed", "limit_speed",
 
 
 def _limit_side(limits: DataFrame, max_broadcast_rows: int | None) -> DataFrame:
-    # Only two columns travel; the checkpoint table is broadcast when its row
-    # count is proven small, else the join is a shuffle join on monitor_id.
+    # Only two columns travel; how they do is the planner's choice (bounded_broadcast).
     side = limits.select("monitor_id", F.col("speed_limit").alias("limit_speed"))
     return bounded_broadcast(side, max_broadcast_rows)
 

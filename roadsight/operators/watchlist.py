@@ -18,8 +18,8 @@ SUSPECTED_CLONE = "嫌疑套牌车"   # fixed value: watch-list text for a suspe
 def listed_passes(traffic: DataFrame, watch: DataFrame,
                   max_broadcast_rows: int | None = None) -> DataFrame:
     """Passes of cars on the watch list (semi join: list duplicates never
-    multiply passes).  The distinct car list is broadcast only when its size
-    is proven small; a large list is a shuffle semi join."""
+    multiply passes).  Small lists are broadcast, large ones shuffled, as the
+    planner finds (``bounded_broadcast``)."""
     cars = bounded_broadcast(watch.select("car").distinct(), max_broadcast_rows)
     return traffic.join(cars, "car", "left_semi")
 

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when a bounded-cost count proves it has at
-# most this many rows; otherwise the join stays a shuffle join (AQE may still
-# turn it into a broadcast from runtime statistics).
+# Bound for inputs of unknown size; see bounded_broadcast.
 DEFAULT_BROADCAST_ROWS = 1_000_000
-# Session setting overriding the bound (executor memory decides what is safe).
+# Session setting that asks for a counted bound (executor memory decides what is safe).
 BROADCAST_ROWS_CONF = "spark.roadsight.broadcastMaxRows"
 
 
@@ -22,15 +20,27 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def size_known(df: DataFrame) -> bool:
+    """True when Catalyst can estimate the size of ``df`` (tables and files, not rows of the
+    program or a JDBC table).  Planning only, no job."""
+    default = df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < default
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when its size is proven small, else ``df`` unchanged.
+    """``df``, with a broadcast hint where its size was asked to be counted and is small.
 
-    ``max_rows`` defaults to the session setting ``spark.roadsight.broadcastMaxRows``
-    (1,000,000 when unset)."""
+    A side whose size Catalyst can estimate gets no hint and costs no job: the planner's
+    threshold and AQE's runtime sizes choose the join.  Rows are counted (at most the bound)
+    only where ``max_rows`` or the session setting ``spark.roadsight.broadcastMaxRows`` asks
+    for it, or where nothing is known of the size (bound 1,000,000 rows)."""
     if df.isStreaming:
         return df
     if max_rows is None:
-        max_rows = int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
+        asked = df.sparkSession.conf.get(BROADCAST_ROWS_CONF, None)
+        if asked is None and size_known(df):
+            return df
+        max_rows = DEFAULT_BROADCAST_ROWS if asked is None else int(asked)
     return F.broadcast(df) if fits(df, max_rows) else df
 
 

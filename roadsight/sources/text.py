@@ -4,7 +4,9 @@ A traffic line is ``action_time,monitor_id,camera_id,car,speed,road_id,area_id``
 fields after the seventh are ignored.  ``mode="strict"`` fails the job on a
 short or non-numeric line, ``mode="permissive"`` yields NULLs and keeps the raw
 line in ``_corrupt_record``.  Parsing is pure column expressions, so it runs
-inside whole-stage codegen on batch and streaming frames alike.
+inside whole-stage codegen on batch and streaming frames alike.  The split line is
+the output of a one-row generator: later expressions refer to it as a column, so
+no optimizer rule repeats the split, or the expressions that build the line, a field.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ def _parse(lines: DataFrame, col: str, schema: T.StructType, mode: str) -> DataF
     if mode not in ("strict", "permissive"):
         raise ValueError(f"mode must be 'strict' or 'permissive', got {mode!r}")
     strict = mode == "strict"
-    parts = F.split(F.col(col), ",")
+    lines = lines.select(col, F.explode(F.array(F.split(F.col(col), ","))).alias("_parts"))
+    parts = F.col("_parts")
     n = len(schema.fields)
     short = F.size(parts) < n
     out, bad = [], short

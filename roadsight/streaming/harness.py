@@ -1,9 +1,10 @@
 """Replay bounded tables as streams and run a streaming query to completion.
 
-``replay`` writes a table as time-ordered slices (one file per slice, written
-in time order, so the file source's modification-time order is event-time
-order) plus one far-future *sentinel* row that moves the watermark past every
-real row; ``maxFilesPerTrigger=1`` makes each slice one micro-batch.
+``replay`` writes a table as time-ordered slices (the same number of files a slice,
+slices written in time order, so the file source's modification-time order is
+event-time order) plus one far-future *sentinel* row that moves the watermark past
+every real row; ``maxFilesPerTrigger`` makes each slice one micro-batch, which is
+written and read by as many tasks as it has files.
 The sentinel must pass every filter of the query under test (Catalyst pushes
 filters that do not touch the event-time column below the watermark node, so
 a filtered-out sentinel would never reach it).  ``run_to_table`` runs a query with ``Trigger.AvailableNow`` into a parquet
@@ -42,26 +43,31 @@ def replay(df: DataFrame, ts: str, name: str, slices: int = 6, sentinel: dict |
 
     ``sentinel`` gives column values for the flush row (its ``ts`` is set one
     day after the last row).  Returns ``(folder, streaming DataFrame)``.
+
+    Every slice has the same number of files, at most the session's parallelism:
+    rows are dealt round-robin, and a source partition that holds as many rows as
+    there are files reaches each of them.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, f"stream-{name}")
-    df = df.persist()   # the slices below are written from one computation
     bounds = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     lo, hi = bounds.lo, bounds.hi
     width = max((hi - lo + 1) // slices + 1, 1)
     sl = df.withColumn("_slice", F.call_function("div", F.col(ts) - F.lit(lo), F.lit(width)))
+    most = (sl.groupBy("_slice", F.spark_partition_id().alias("_p")).count()
+              .groupBy("_slice").agg(F.max("count").alias("most")).orderBy("_slice").collect())  # a row a slice
+    files = max(1, min(spark.sparkContext.defaultParallelism, *(r.most for r in most)))
     writer_cols = df.columns  # text replay writes only the ``value`` column
-    for i in range(slices):
-        part = sl.filter(F.col("_slice") == i).select(*writer_cols).coalesce(1)
+    for r in most:
+        part = sl.filter(F.col("_slice") == r["_slice"]).select(*writer_cols).repartition(files)
         _write(part, path, fmt)
     if sentinel is not None:
         row = {c: None for c in writer_cols}
         row.update(sentinel)
         row[ts] = hi + SENTINEL_DELAY_MS
-        flush = spark.createDataFrame([tuple(row[c] for c in writer_cols)], df.schema)
+        flush = spark.createDataFrame([tuple(row[c] for c in writer_cols)], df.schema).coalesce(1)
         _write(flush, path, fmt)
-    df.unpersist()
-    reader = spark.readStream.option("maxFilesPerTrigger", 1)
+    reader = spark.readStream.option("maxFilesPerTrigger", files)
     if fmt == "text":
         return path, reader.text(path)
     return path, reader.schema(df.schema).parquet(path)
