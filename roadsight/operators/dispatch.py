@@ -102,8 +102,8 @@ def pair_rule(timeout_ms: int):
     return rule
 
 
-def tagged_union(violations: DataFrame, actions: DataFrame) -> DataFrame:
-    """Both inputs as one record stream: ``car, t, seq, kind ('v'|'p')`` + payload.
+def tagged_union(violations: DataFrame, actions: DataFrame, more: tuple | list = ()) -> DataFrame:
+    """Both inputs as one record stream: ``car, t, seq, kind ('v'|'p')`` + payload (+ columns ``more``).
 
     Where either input has no ``seq``, both are ordered by their records (:func:`with_seq`).
     """
@@ -111,10 +111,10 @@ def tagged_union(violations: DataFrame, actions: DataFrame) -> DataFrame:
         violations, actions = with_seq(violations.drop("seq")), with_seq(actions.drop("seq"))
     v = violations.select("car", F.col("create_time").alias("t"), "seq", F.lit("v").alias("kind"),
                           "violation", F.lit(None).cast("string").alias("police_id"),
-                          F.lit(None).cast("string").alias("action_status"))
+                          F.lit(None).cast("string").alias("action_status"), *more)
     p = actions.select("car", F.col("action_time").alias("t"), "seq", F.lit("p").alias("kind"),
                        F.lit(None).cast("string").alias("violation"), "police_id",
-                       "action_status")
+                       "action_status", *more)
     return v.unionByName(p)
 
 

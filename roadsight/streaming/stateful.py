@@ -232,6 +232,221 @@ class DangerousCarProcessor(_Buffered):
             self.handle.registerTimer(recent[-1][0] + self.within_ms)
 
 
+# --- a hot key's machine in buckets -------------------------------------------------------------
+#
+# Both machines above hold at most one record, and a record that follows either uses the held one
+# up or takes its place.  So a run of records leaves one of two traces, whatever was held before it:
+# its first record is held (trace 0), or its first record used up the held one (trace 1).  A bucket
+# of a key is run both ways where it lies; only what the two traces differ in, and the record each
+# leaves held, travels to the step that knows what was held before.
+
+
+class CloneRule:
+    """Held pass + next pass within ``gap_ms``: a warning, nothing held."""
+
+    record, time = CLONE_INPUT, "action_time"
+    result = CLONE_OUTPUT
+
+    def __init__(self, gap_ms: int = 10_000, distinct_monitors: bool = False):
+        self.gap_ms, self.distinct_monitors = gap_ms, distinct_monitors
+
+    def uses(self, held, rec) -> bool:
+        return rec[0] - held[0] < self.gap_ms and not (
+            self.distinct_monitors and rec[2] is not None and rec[2] == held[2])
+
+    def used(self, car, held, rec):
+        return (car, held[2], rec[2], held[0], rec[0], CLONE_MESSAGE)
+
+    def replaced(self, car, held, rec):
+        return None
+
+    def expired(self, car, held):
+        return None
+
+    def incomplete(self, rec):
+        """A record without car."""
+        return None
+
+    def expires(self, held) -> int:
+        """First time at which the held record can do nothing any more."""
+        return held[0] + self.gap_ms
+
+
+class PairRule:
+    """Pending record + record of the other kind within ``timeout_ms``: a pair, nothing pending."""
+
+    record, time = PAIR_INPUT, "t"
+    result = PAIR_OUTPUT
+
+    def __init__(self, timeout_ms: int = 5_000):
+        self.timeout_ms = timeout_ms
+
+    def uses(self, held, rec) -> bool:
+        return rec[2] != held[2] and rec[0] - held[0] <= self.timeout_ms
+
+    def used(self, car, held, rec):
+        v, p = (held, rec) if held[2] == "v" else (rec, held)
+        return ("matched", None, car, v[3], v[0], p[4], p[5], p[0])
+
+    def replaced(self, car, held, rec):
+        same = rec[2] == held[2] and rec[0] - held[0] <= self.timeout_ms
+        return tuple(PairingProcessor._lone(car, held, "superseded" if same else "expired"))
+
+    def expired(self, car, held):
+        return tuple(PairingProcessor._lone(car, held, "expired"))
+
+    def incomplete(self, rec):
+        return tuple(PairingProcessor._lone(None, rec, "incomplete"))
+
+    def expires(self, held) -> int:
+        return held[0] + self.timeout_ms + 1
+
+
+def trace(rule, car, held, records) -> tuple[list, list]:
+    """What ``records`` put out after ``held``, as (records before it, row); and what is held after each."""
+    out, states = [], []
+    for i, rec in enumerate(records):
+        if held is None:
+            row, held = None, rec
+        elif rule.uses(held, rec):
+            row, held = rule.used(car, held, rec), None
+        else:
+            row, held = rule.replaced(car, held, rec), rec
+        if row is not None:
+            out.append((i, row))
+        states.append(held)
+    return out, states
+
+
+def part_schema(rule, tie: T.DataType) -> T.StructType:
+    """Rows from buckets to the chain: finished rows, or a bucket's first record with both traces."""
+    row, record = T.StructType.fromDDL(rule.result), with_tie(rule.record, tie)
+    both = T.StructType([T.StructField("rows", T.ArrayType(row)), T.StructField("held", record)])
+    return T.StructType([
+        T.StructField("car", T.StringType()), T.StructField("bucket", T.LongType()),
+        T.StructField("lane", T.LongType()), T.StructField("event_time", T.TimestampType()),
+        T.StructField("row", row), T.StructField("first", record), T.StructField("traces", T.ArrayType(both))])
+
+
+def _moment(ms: int):
+    import datetime
+    return datetime.datetime.fromtimestamp(ms / 1000, datetime.timezone.utc)
+
+
+def _values(struct) -> tuple | None:
+    """A nested struct's values: structs inside a row arrive as dictionaries."""
+    return None if struct is None else tuple(struct.values() if isinstance(struct, dict) else struct)
+
+
+class BucketTraces(StatefulProcessor):
+    """A (car, bucket): all its records, both traces once the watermark has passed the bucket's end.
+
+    From where both traces hold the same, rows are finished: they leave on a lane of their own
+    (``lane`` = bucket), beside the chain (``lane`` -1).
+    """
+
+    def __init__(self, rule, width_ms: int, tie: T.DataType):
+        self.rule, self.width_ms, self.schema = rule, width_ms, with_tie(rule.record, tie)
+        self.names = T.StructType.fromDDL(rule.result).fieldNames()
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.buf = handle.getListState("records", self.schema)
+
+    def handleInputRows(self, key, rows, timerValues):
+        names = self.schema.fieldNames()
+        recs = [tuple(r[n] for n in names) for r in rows]
+        if recs:
+            self.buf.appendList(recs)
+            self.handle.registerTimer((key[1] + 1) * self.width_ms + 1)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        recs = sorted((tuple(r) for r in self.buf.get()), key=lambda r: (r[0], r[1]))
+        if not recs:
+            return
+        self.buf.clear()
+        car, bucket = key
+        now = _moment(timerValues.getCurrentWatermarkInMs())
+        if car is None:
+            for row in filter(None, map(self.rule.incomplete, recs)):
+                yield Row(car=None, bucket=bucket, lane=bucket, event_time=now, row=dict(zip(self.names, row)), first=None, traces=None)
+            return
+        out0, states0 = trace(self.rule, car, None, recs)
+        out1, states1 = trace(self.rule, car, None, recs[1:])
+        out1 = [(i + 1, row) for i, row in out1]
+        states1 = [None] + states1
+        same = next((i for i, (x, y) in enumerate(zip(states0, states1)) if x == y), len(recs))
+        named = lambda row: dict(zip(self.names, row))
+        fields = self.schema.fieldNames()
+        record = lambda r: None if r is None else dict(zip(fields, r))
+        for i, row in out0:
+            if i > same:
+                yield Row(car=car, bucket=bucket, lane=bucket, event_time=now, row=named(row), first=None, traces=None)
+        traces = [{"rows": [named(row) for i, row in out if i <= same], "held": record(states[-1])}
+                  for out, states in ((out0, states0), (out1, states1))]
+        yield Row(car=car, bucket=bucket, lane=-1, event_time=now, row=None, first=record(recs[0]), traces=traces)
+
+    def close(self) -> None:
+        pass
+
+
+class ChainTraces(StatefulProcessor):
+    """A car: its buckets in order, each by the trace that fits what is held; state is that one record.
+
+    Buckets arrive whole and in order, as all that a step of the watermark closes come in one micro-batch.
+    """
+
+    def __init__(self, rule, width_ms: int, tie: T.DataType):
+        self.rule, self.width_ms, self.schema = rule, width_ms, with_tie(rule.record, tie)
+        self.names = T.StructType.fromDDL(rule.result).fieldNames()
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", self.schema)
+
+    def _closed(self, held) -> int:
+        """Watermark at which every bucket is closed that may hold a record within the held one's reach."""
+        return ((self.rule.expires(held) - 1) // self.width_ms + 1) * self.width_ms + 1
+
+    def handleInputRows(self, key, rows, timerValues):
+        car, lane = key
+        result = Row(*self.names)
+        if lane >= 0:  # finished in their bucket
+            for r in rows:
+                yield result(*_values(r["row"]))
+            return
+        held = before = self.held.get()
+        held = None if held is None else tuple(held)
+        for r in sorted(rows, key=lambda r: r["bucket"]):
+            first, uses, row = _values(r["first"]), False, None
+            if held is not None:
+                uses = self.rule.uses(held, first)
+                row = self.rule.used(car, held, first) if uses else self.rule.replaced(car, held, first)
+            if row is not None:
+                yield result(*row)
+            rows_of, left = _values(r["traces"][int(uses)])
+            for row in rows_of:
+                yield result(*_values(row))
+            held = _values(left)
+        if held is not None:
+            self.held.update(held)
+            self.handle.registerTimer(self._closed(held))
+        elif before is not None:
+            self.held.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        held = self.held.get()
+        if held is not None and self._closed(held) <= timerValues.getCurrentWatermarkInMs():
+            self.held.clear()
+            row = self.rule.expired(key[0], tuple(held))
+            if row is not None:
+                yield Row(*self.names)(*row)
+
+    def close(self) -> None:
+        pass
+
+
 # Ship these processors to Python workers by value: executors then need no
 # installed copy of this package (only pyspark itself).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

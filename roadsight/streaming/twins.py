@@ -15,8 +15,8 @@ from roadsight.operators.dispatch import P_COLS, _alert, tagged_union
 from roadsight.operators.speed import speeding
 from roadsight.plans.sequence import with_seq
 from roadsight.streaming.stateful import (
-    CLONE_OUTPUT, PAIR_OUTPUT, ClonedPlateProcessor, DangerousCarProcessor, PairingProcessor,
-    danger_output,
+    CLONE_OUTPUT, PAIR_OUTPUT, BucketTraces, ChainTraces, ClonedPlateProcessor, CloneRule,
+    DangerousCarProcessor, PairingProcessor, PairRule, danger_output, part_schema,
 )
 
 TRAFFIC_DELAY = "5 seconds"
@@ -87,16 +87,48 @@ def violation_action_interval_stream(violations: DataFrame, actions: DataFrame,
     return _alert(j.select("car", "violation", "create_time", *P_COLS))
 
 
-def cloned_plate_stream(traffic: DataFrame, gap_ms: int = 10_000, distinct_monitors: bool = False) -> DataFrame:
+#: Width of the buckets that a car's machine is run in; results wait for the end of their bucket.
+KEY_BUCKET_MS = 60_000
+
+
+def _in_buckets(records: DataFrame, rule, width_ms: int) -> DataFrame:
+    """A keyed machine in two steps: (car, bucket) runs both traces of its records, the car chains them.
+
+    State and work of a hot car lie in its buckets; the chain keeps one record a car.
+    """
+    tie = records.schema["seq"].dataType
+    bucket = F.floor(F.col(rule.time) / F.lit(width_ms)).cast("long")
+    parts = records.withColumn("bucket", bucket).groupBy("car", "bucket").transformWithState(
+        BucketTraces(rule, width_ms, tie), part_schema(rule, tie), "Append", "EventTime", eventTimeColumnName="event_time")
+    return parts.groupBy("car", "lane").transformWithState(ChainTraces(rule, width_ms, tie), rule.result, "Append", "EventTime")
+
+
+def cloned_plate_stream(traffic: DataFrame, gap_ms: int = 10_000, distinct_monitors: bool = False,
+                        key_bucket_ms: int | None = KEY_BUCKET_MS) -> DataFrame:
+    """Cloned plates; ``key_bucket_ms=None`` keys the state by car alone and reports as soon as the
+    watermark has passed a record, which suits streams without hot cars."""
     src = watermarked(with_seq(traffic)).select("car", "action_time", "seq", "monitor_id", "event_time")
+    if key_bucket_ms is not None:
+        return _in_buckets(src, CloneRule(gap_ms, distinct_monitors), key_bucket_ms)
     processor = ClonedPlateProcessor(gap_ms, distinct_monitors).order_by(src.schema["seq"].dataType)
     return src.groupBy("car").transformWithState(processor, CLONE_OUTPUT, "Append", "EventTime")
 
 
-def pair_violation_action_stream(violations: DataFrame, actions: DataFrame,
-                                 timeout_ms: int = 5_000) -> DataFrame:
-    u = tagged_union(violations, actions)
-    u = u.withColumn("event_time", event_time("t")).withWatermark("event_time", DISPATCH_DELAY)
+def _dispatch_union(violations: DataFrame, actions: DataFrame) -> DataFrame:
+    """Both inputs as one record stream, each under its own watermark (the slower one counts)."""
+    if "seq" not in violations.columns or "seq" not in actions.columns:
+        violations, actions = with_seq(violations.drop("seq")), with_seq(actions.drop("seq"))
+    marked = [df.withColumn("event_time", event_time(ts)).withWatermark("event_time", DISPATCH_DELAY)
+              for df, ts in ((violations, "create_time"), (actions, "action_time"))]
+    return tagged_union(*marked, more=["event_time"])
+
+
+def pair_violation_action_stream(violations: DataFrame, actions: DataFrame, timeout_ms: int = 5_000,
+                                 key_bucket_ms: int | None = KEY_BUCKET_MS) -> DataFrame:
+    """One-to-one pairing; ``key_bucket_ms`` as for :func:`cloned_plate_stream`."""
+    u = _dispatch_union(violations, actions)
+    if key_bucket_ms is not None:
+        return _in_buckets(u, PairRule(timeout_ms), key_bucket_ms)
     processor = PairingProcessor(timeout_ms).order_by(u.schema["seq"].dataType)
     return u.groupBy("car").transformWithState(processor, PAIR_OUTPUT, "Append", "EventTime")
 
