@@ -649,3 +649,69 @@ def q_area_vehicle_running_stream(spark, d):
     # the change log's last update per (window, area) is the final count
     last = latest_by_key(updates, ["start_time", "end_time", "area_id"], "_batch")
     return last.drop("_batch").filter(F.col("area_id") != SENTINEL)
+
+
+@register("violation_action_full_stream", REGISTRY["violation_action_full"][1])
+def q_violation_action_full_stream(spark, d):
+    from roadsight.streaming.harness import not_sentinel, run_to_table
+    from roadsight.streaming.twins import classify_violation_action_stream
+    v, p = _sentinel_dispatch(spark, d, "interval-full")
+    return not_sentinel(run_to_table(classify_violation_action_stream(v, p), "interval-full"))
+
+
+# Two loads of a dimension: the first holds half of the feed, the second some of the rest, so that
+# keys change, are new, and vanish.  The stream is stopped and started anew between the two; the
+# second load is due at the first batch after that.
+_HALVES_SQL = """, halves AS (
+  SELECT *, least((action_time - lo) // ((hi - lo + 1) // 2 + 1), 1) AS half
+  FROM passes, (SELECT min(action_time) AS lo, max(action_time) AS hi FROM passes))"""
+
+
+def _refreshed(spark, d, name, loads, key, start):
+    """Replay the passes in two halves with a restart between; ``loads`` are the dimension's two loads."""
+    from roadsight.session import scratch_dir
+    from roadsight.streaming.dimensions import VersionedDimension, batch_folders
+    from roadsight.streaming.harness import replay
+    passes = tb.passes(spark, d)
+    lo, hi = passes.agg(F.min("action_time"), F.max("action_time")).first()
+    half = F.call_function("div", F.col("action_time") - F.lit(lo), F.lit((hi - lo + 1) // 2 + 1))
+    root, path = scratch_dir(spark, name), None
+    for i, load in enumerate(loads):
+        path, stream = replay(passes.where(half == i), "action_time", name, slices=2, path=path)
+        dim = VersionedDimension(spark, f"{root}/dimension", lambda load=load: load, key,
+                                 refresh_seconds=3600, clock=lambda i=i: i * 3600.0)
+        start(stream, dim, batch_folders(f"{root}/data"), f"{root}/checkpoint", availableNow=True).awaitTermination()
+    return spark.read.parquet(f"{root}/data").drop("_batch_id")
+
+
+@register("out_of_speed_refresh_stream", W("passes", "limits_feed") + _HALVES_SQL + """
+, split AS (SELECT max(load_seq) // 2 AS m FROM limits_feed)
+, one AS (SELECT monitor_id, speed_limit FROM (
+    SELECT *, row_number() OVER (PARTITION BY monitor_id ORDER BY load_seq DESC) AS rn
+    FROM limits_feed, split WHERE speed_limit > 0 AND load_seq <= m) WHERE rn = 1)
+, two AS (SELECT monitor_id, speed_limit FROM (
+    SELECT *, row_number() OVER (PARTITION BY monitor_id ORDER BY load_seq DESC) AS rn
+    FROM limits_feed, split WHERE speed_limit > 0 AND load_seq > m AND load_seq % 3 = 0) WHERE rn = 1)
+, versions AS (SELECT 0 AS half, * FROM one UNION ALL SELECT 1, * FROM two
+               UNION ALL SELECT 1, * FROM one WHERE monitor_id NOT IN (SELECT monitor_id FROM two))
+SELECT p.car, p.monitor_id, p.road_id, p.speed AS real_speed, l.speed_limit AS limit_speed, p.action_time
+FROM halves p JOIN versions l ON p.monitor_id = l.monitor_id AND p.half = l.half
+WHERE p.speed > l.speed_limit * 1.1e0""")
+def q_out_of_speed_refresh_stream(spark, d):
+    from roadsight.streaming.dimensions import out_of_speed_refreshed
+    feed = tb.limits_feed(spark, d).where("speed_limit > 0")
+    middle = tb.limits_feed(spark, d).agg(F.max("load_seq")).first()[0] // 2
+    loads = [latest_by_key(rows, "monitor_id", "load_seq") for rows in (
+        feed.where(F.col("load_seq") <= middle), feed.where((F.col("load_seq") > middle) & (F.col("load_seq") % 3 == 0)))]
+    return _refreshed(spark, d, "speed-refresh", loads, "monitor_id", out_of_speed_refreshed)
+
+
+@register("car_track_refresh_stream", W("passes", "watch_list") + _HALVES_SQL + f"""
+SELECT {_ROW_KEY_SQL} AS row_key, {_TRACK} FROM halves
+WHERE car IN (SELECT car FROM watch_list WHERE violation = '嫌疑套牌车')
+   OR half = 1 AND car IN (SELECT car FROM watch_list WHERE violation LIKE '%9次')""")
+def q_car_track_refresh_stream(spark, d):
+    from roadsight.streaming.dimensions import track_listed_cars_refreshed
+    watch = tb.watch_list(spark, d)
+    loads = [watch.where("violation = '嫌疑套牌车'"), watch.where("violation LIKE '%9次'")]
+    return _refreshed(spark, d, "track-refresh", loads, "car", track_listed_cars_refreshed).drop("seq")

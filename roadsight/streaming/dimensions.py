@@ -6,8 +6,12 @@ now and then (the source jobs reload hourly), ``RefreshingDimension`` keeps
 the last load persisted and reloads it inside ``foreachBatch`` once it is
 older than ``refresh_seconds``.  Rows of the new load win per key; keys that
 vanished from the source keep their last row (``latest_by_key`` over the
-previous and the new load).  Each load is checkpointed; join it with a
-size-checked broadcast (``bounded_broadcast``).
+previous and the new load).  Each load is checkpointed.
+
+``VersionedDimension`` keeps its loads in a folder beside the query's checkpoint, one
+version a load, and notes for every micro-batch which version it used.  A restarted
+query so goes on with the keys of all earlier loads, and a batch that is run again
+joins the same version as the first time.
 """
 
 from __future__ import annotations
@@ -15,9 +19,10 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadsight.operators import speed, watchlist
 from roadsight.session import checkpoint_root
 from roadsight.sources.dims import latest_by_key
 
@@ -45,11 +50,91 @@ class RefreshingDimension:
         return self.current.drop("_load")
 
 
-def join_with_refreshing_dimension(stream: DataFrame, dim: RefreshingDimension,
+class VersionedDimension:
+    """A dimension in versions below the folder ``path`` (shared storage), for a query's micro-batches.
+
+    ``loads/<version>`` is a version's rows, ``uses/<batch>-<version>-<loaded at>`` says which
+    version a batch joined.  A version is written whole before a batch names it; one without a
+    naming batch is left over from a crash and written again.  The last ``keep`` uses and their
+    versions are kept, older ones removed.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, loader: Callable[[], DataFrame], key: str | list[str],
+                 refresh_seconds: float = 3600, clock: Callable[[], float] = time.time, keep: int = 100):
+        self.spark, self.path, self.loader, self.key = spark, path.rstrip("/"), loader, key
+        self.refresh_seconds, self.clock, self.keep = refresh_seconds, clock, keep
+
+    def _folder(self, name: str):
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(sc._jsc.hadoopConfiguration()), path
+
+    def _uses(self) -> list[tuple[int, int, int]]:
+        """(batch, version, time of the load in ms) of the batches so far, in order."""
+        fs, path = self._folder("uses")
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        return sorted(tuple(map(int, n.split("-"))) for n in names)
+
+    def _read(self, version: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/loads/{version}")
+
+    def for_batch(self, batch_id: int) -> DataFrame:
+        """The rows that micro-batch ``batch_id`` joins: one a key, the last load's where it has the key."""
+        uses = self._uses()
+        for batch, version, _ in uses:
+            if batch == batch_id:  # the batch runs again
+                return self._read(version).drop("_load")
+        now = int(self.clock() * 1000)
+        last = uses[-1] if uses else None
+        if last is not None and now - last[2] < self.refresh_seconds * 1000:
+            version, loaded = last[1], last[2]
+        else:
+            version, loaded = batch_id, now
+            fresh = self.loader().withColumn("_load", F.lit(version).cast("long"))
+            rows = fresh if last is None else self._read(last[1]).unionByName(fresh)
+            latest_by_key(rows, self.key, "_load").write.mode("overwrite").parquet(f"{self.path}/loads/{version}")
+        fs, use = self._folder(f"uses/{batch_id}-{version}-{loaded}")
+        fs.mkdirs(use)
+        self._forget(uses + [(batch_id, version, loaded)])
+        return self._read(version).drop("_load")
+
+    def _forget(self, uses: list[tuple[int, int, int]]) -> None:
+        old, rest = uses[:-self.keep], {version for _, version, _ in uses[-self.keep:]}
+        for batch, version, loaded in old:
+            for name in [f"uses/{batch}-{version}-{loaded}"] + ([] if version in rest else [f"loads/{version}"]):
+                fs, path = self._folder(name)
+                fs.delete(path, True)
+
+
+def join_with_refreshing_dimension(stream: DataFrame, dim: RefreshingDimension | VersionedDimension,
                                    transform: Callable[[DataFrame, DataFrame], DataFrame],
-                                   sink: Callable[[DataFrame, int], None], checkpoint: str):
+                                   sink: Callable[[DataFrame, int], None], checkpoint: str, **trigger):
     """Run ``transform(batch, dimension)`` per micro-batch and hand the result
     to ``sink(df, batch_id)``; returns the started query."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        sink(transform(batch, dim.get()), batch_id)
-    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).start()
+        rows = dim.for_batch(batch_id) if isinstance(dim, VersionedDimension) else dim.get()
+        sink(transform(batch, rows), batch_id)
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def out_of_speed_refreshed(traffic: DataFrame, limits: VersionedDimension, sink: Callable[[DataFrame, int], None],
+                           checkpoint: str, ratio: float = 1.1, **trigger):
+    """Over-limit passes against limits that are loaded again while the stream runs."""
+    return join_with_refreshing_dimension(traffic, limits, lambda batch, rows: speed.out_of_speed(batch, rows, ratio),
+                                          sink, checkpoint, **trigger)
+
+
+def track_listed_cars_refreshed(traffic: DataFrame, watch: VersionedDimension, sink: Callable[[DataFrame, int], None],
+                                checkpoint: str, **trigger):
+    """Track rows of listed cars against a watch list that is loaded again while the stream runs."""
+    def tracks(batch: DataFrame, rows: DataFrame) -> DataFrame:
+        return watchlist.with_row_key(watchlist.to_track(watchlist.listed_passes(batch, rows)))
+    return join_with_refreshing_dimension(traffic, watch, tracks, sink, checkpoint, **trigger)
+
+
+def batch_folders(path: str) -> Callable[[DataFrame, int], None]:
+    """A sink of one folder a micro-batch below ``path``: a batch that runs again replaces its own."""
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/_batch_id={batch_id}")
+    return write

@@ -38,8 +38,9 @@ def _state_store(spark: SparkSession, rocksdb: bool) -> None:
 
 
 def replay(df: DataFrame, ts: str, name: str, slices: int = 6, sentinel: dict | None = None,
-           fmt: str = "parquet") -> tuple[str, DataFrame]:
-    """Write ``df`` as ``slices`` time slices (+ sentinel) into a fresh folder.
+           fmt: str = "parquet", path: str | None = None) -> tuple[str, DataFrame]:
+    """Write ``df`` as ``slices`` time slices (+ sentinel) into a fresh folder, or behind
+    what an earlier replay wrote to the folder ``path``.
 
     ``sentinel`` gives column values for the flush row (its ``ts`` is set one
     day after the last row).  Returns ``(folder, streaming DataFrame)``.
@@ -49,7 +50,7 @@ def replay(df: DataFrame, ts: str, name: str, slices: int = 6, sentinel: dict |
     there are files reaches each of them.
     """
     spark = df.sparkSession
-    path = scratch_dir(spark, f"stream-{name}")
+    path = path or scratch_dir(spark, f"stream-{name}")
     bounds = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     lo, hi = bounds.lo, bounds.hi
     width = max((hi - lo + 1) // slices + 1, 1)
@@ -94,9 +95,11 @@ class _StreamingConf:
 
     def __enter__(self):
         conf = self.spark.conf
-        keys = ["spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass"]
+        changelog = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+        keys = ["spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass", changelog]
         self.saved = {k: conf.get(k, None) for k in keys}
         conf.set("spark.sql.shuffle.partitions", str(self.spark.sparkContext.defaultParallelism))
+        conf.set(changelog, "true")  # a batch uploads its changes, not the whole store
         _state_store(self.spark, self.rocksdb)
         return self
 

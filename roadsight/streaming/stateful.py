@@ -12,6 +12,7 @@ source jobs, which have no allowed lateness).
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import Row
 from pyspark.sql import types as T
@@ -447,6 +448,78 @@ class ChainTraces(StatefulProcessor):
         pass
 
 
+FULL_INPUT = T.StructType(PAIR_INPUT.fields + [T.StructField("_own", T.BooleanType()), T.StructField("_hit", T.BooleanType())])
+FULL_OUTPUT = ("outcome string, car string, violation string, create_time long, "
+               "police_id string, action_status string, action_time long")
+
+
+class IntervalOuterProcessor(StatefulProcessor):
+    """Full outer interval match of one (car, bucket), each record owned by one bucket.
+
+    A bucket also holds copies of the records of its neighbours that its own can match, so every
+    record is judged once, by its owner, on all it can match: an owned violation puts out its
+    pairs, or itself alone; an owned action only itself where nothing matches.  A record is judged
+    when the watermark has passed all times it can match, and kept while another may need it.
+    """
+
+    def __init__(self, lower_ms: int, upper_ms: int):
+        self.lower, self.upper = lower_ms, upper_ms
+        self.names = T.StructType.fromDDL(FULL_OUTPUT).fieldNames()
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.buf = handle.getListState("records", FULL_INPUT)
+
+    def _due(self, r) -> int:
+        """Watermark beyond which the record's matches have all arrived (``_hit`` marks it as judged)."""
+        return (r[0] + max(self.upper, 0) if r[2] == "v" else r[0] + max(-self.lower, 0)) + 1
+
+    def _gone(self, r) -> int:
+        """Watermark beyond which no record that could match it is unjudged."""
+        span = self.upper - self.lower
+        return r[0] + max(self.upper, 0) + span + 1 if r[2] == "v" else r[0] + max(-self.lower, 0) + span + 1
+
+    def handleInputRows(self, key, rows, timerValues):
+        names = FULL_INPUT.fieldNames()
+        recs = [tuple(r[n] for n in names) for r in rows]
+        if recs:
+            self.buf.appendList(recs)
+            self.handle.registerTimer(min(self._due(r) for r in recs))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm, car = timerValues.getCurrentWatermarkInMs(), key[0]
+        recs = sorted((tuple(r) for r in self.buf.get()), key=lambda r: r[0])
+        if not recs:
+            return
+        sides = {kind: [r for r in recs if r[2] == kind] for kind in ("v", "p")}
+        times = {kind: [r[0] for r in side] for kind, side in sides.items()}
+        result, left = Row(*self.names), []
+        for r in recs:
+            if r[6] and not r[7] and self._due(r) <= wm:
+                is_v = r[2] == "v"
+                lo, hi = (r[0] + self.lower, r[0] + self.upper) if is_v else (r[0] - self.upper, r[0] - self.lower)
+                other = "p" if is_v else "v"
+                found = [] if car is None else sides[other][bisect_left(times[other], lo):bisect_right(times[other], hi)]
+                if is_v:
+                    for p in found:
+                        yield result("matched", car, r[3], r[0], p[4], p[5], p[0])
+                    if not found:
+                        yield result("violation_only", car, r[3], r[0], None, None, None)
+                elif not found:
+                    yield result("action_only", car, None, None, r[4], r[5], r[0])
+                r = r[:7] + (True,)
+            if self._gone(r) > wm:
+                left.append(r)
+        self.buf.clear()
+        if left:
+            self.buf.put(left)
+            self.handle.registerTimer(min(self._gone(r) if r[7] or not r[6] else self._due(r) for r in left))
+
+    def close(self) -> None:
+        pass
+
+
 # Ship these processors to Python workers by value: executors then need no
 # installed copy of this package (only pyspark itself).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

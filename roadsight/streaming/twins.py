@@ -15,8 +15,8 @@ from roadsight.operators.dispatch import P_COLS, _alert, tagged_union
 from roadsight.operators.speed import speeding
 from roadsight.plans.sequence import with_seq
 from roadsight.streaming.stateful import (
-    CLONE_OUTPUT, PAIR_OUTPUT, BucketTraces, ChainTraces, ClonedPlateProcessor, CloneRule,
-    DangerousCarProcessor, PairingProcessor, PairRule, danger_output, part_schema,
+    CLONE_OUTPUT, FULL_INPUT, FULL_OUTPUT, PAIR_OUTPUT, BucketTraces, ChainTraces, ClonedPlateProcessor, CloneRule,
+    DangerousCarProcessor, IntervalOuterProcessor, PairingProcessor, PairRule, danger_output, part_schema,
 )
 
 TRAFFIC_DELAY = "5 seconds"
@@ -133,6 +133,27 @@ def pair_violation_action_stream(violations: DataFrame, actions: DataFrame, time
     return u.groupBy("car").transformWithState(processor, PAIR_OUTPUT, "Append", "EventTime")
 
 
+def classify_violation_action_stream(violations: DataFrame, actions: DataFrame, lower_ms: int = 0,
+                                     upper_ms: int = 10_000, key_bucket_ms: int = 10 * 60_000) -> DataFrame:
+    """Full outer interval join in a stream: ``matched`` / ``violation_only`` / ``action_only``.
+
+    Keyed by (car, time bucket): a record is owned by its bucket and copied into the next and the
+    one before where those hold times it can match, so a hot car spreads over its buckets and no
+    copy reports a false lone record (:class:`IntervalOuterProcessor`).
+    """
+    reach = max(abs(lower_ms), abs(upper_ms))
+    width = max(key_bucket_ms, reach)
+    u = _dispatch_union(violations, actions)
+    span = F.sequence(F.floor((F.col("t") - F.lit(reach)) / F.lit(width)), F.floor((F.col("t") + F.lit(reach)) / F.lit(width)))
+    u = (u.withColumn("_b", F.explode(span))
+          .withColumn("_own", F.col("_b") == F.floor(F.col("t") / F.lit(width)))
+          .withColumn("_hit", F.lit(False)))
+    cols = ["car", "_b", *FULL_INPUT.fieldNames(), "event_time"]
+    u = u.withColumn("seq", F.lit(0).cast("long")).select(*cols)   # order within a time plays no part here
+    return u.groupBy("car", "_b").transformWithState(
+        IntervalOuterProcessor(lower_ms, upper_ms), FULL_OUTPUT, "Append", "EventTime")
+
+
 def dangerous_car_stream(passes_with_limit: DataFrame, times: int = 3, within_ms: int = 120_000,
                          ratio: float = 1.2, key_bucket_ms: int = 30 * 60 * 1000,
                          emit: str = "longest") -> DataFrame:
