@@ -253,8 +253,7 @@ def q_area_vehicle_bitmap_built(spark, d):
     """Counts read back from the bitmaps themselves."""
     from roadsight.operators.flow import area_vehicles_bitmap
     built = area_vehicles_bitmap(tb.passes(spark, d), "30 seconds", 1 << 25, materialize=True)
-    bits = F.aggregate("bitmap", F.lit(0).cast("long"), lambda n, x: n + F.bitmap_count(x["bits"]))
-    return built.withColumn("car_count", bits.cast("int")).drop("bitmap")
+    return built.drop("bitmap")   # the count is read from the bitmap
 
 
 @register("area_vehicle_approx_bound", W("passes") + """
@@ -670,7 +669,8 @@ _HALVES_SQL = """, halves AS (
 def _refreshed(spark, d, name, loads, key, start):
     """Replay the passes in two halves with a restart between; ``loads`` are the dimension's two loads."""
     from roadsight.session import scratch_dir
-    from roadsight.streaming.dimensions import VersionedDimension, batch_folders
+    from roadsight.streaming.batches import batch_folders
+    from roadsight.streaming.dimensions import VersionedDimension
     from roadsight.streaming.harness import replay
     passes = tb.passes(spark, d)
     lo, hi = passes.agg(F.min("action_time"), F.max("action_time")).first()
@@ -715,3 +715,105 @@ def q_car_track_refresh_stream(spark, d):
     watch = tb.watch_list(spark, d)
     loads = [watch.where("violation = '嫌疑套牌车'"), watch.where("violation LIKE '%9次'")]
     return _refreshed(spark, d, "track-refresh", loads, "car", track_listed_cars_refreshed).drop("seq")
+
+
+@register("area_vehicle_running_records_stream", REGISTRY["area_vehicle_running"][1])
+def q_area_vehicle_running_records_stream(spark, d):
+    from roadsight.streaming.harness import SENTINEL, run_to_table
+    from roadsight.streaming.twins import area_vehicles_running_records_stream
+    s = _sentinel_traffic(spark, d, "area-records")
+    out = run_to_table(area_vehicles_running_records_stream(s), "area-records")
+    return out.filter(F.col("area_id") != SENTINEL)
+
+
+@register("area_vehicle_bitmap_stream", REGISTRY["area_vehicle_bitmap"][1])
+def q_area_vehicle_bitmap_stream(spark, d):
+    """Counts read back from the bitmaps that the stream gathered."""
+    from roadsight.operators.flow import bitmap_count
+    from roadsight.streaming.harness import SENTINEL, run_to_table
+    from roadsight.streaming.twins import area_vehicles_bitmap_stream
+    s = _sentinel_traffic(spark, d, "area-bitmap").drop("seq")
+    out = run_to_table(area_vehicles_bitmap_stream(s), "area-bitmap").filter(F.col("area_id") != SENTINEL)
+    return out.withColumn("car_count", bitmap_count("bitmap").cast("int")).drop("bitmap")
+
+
+@register("track_batches_stream", REGISTRY["track_batches"][1])
+def q_track_batches_stream(spark, d):
+    """Listed cars' tracks in write batches of 20 over the borders of micro-batches."""
+    from roadsight.operators.watchlist import listed_passes, to_track, with_row_key
+    from roadsight.session import scratch_dir
+    from roadsight.streaming.batches import batch_folders, count_windows, run_batches
+    from roadsight.streaming.harness import replay
+    _, stream = replay(tb.passes(spark, d), "action_time", "track-batches")
+    tracks = with_row_key(to_track(listed_passes(stream, tb.watch_list(spark, d))))
+    root = scratch_dir(spark, "track-batches")
+    body = count_windows(spark, root, 20, ["action_time", "seq"], batch_folders(f"{root}/data"))
+    run_batches(tracks, body, f"{root}/checkpoint", availableNow=True).awaitTermination()
+    return spark.read.parquet(f"{root}/data").drop("_batch_id", "seq")
+
+
+# Passes that arrive out of order: up to 20 s after their own time.
+_ARRIVED_SQL = W("passes") + ", arrived AS (SELECT *, (action_time + (seq * 7919) % 20000) * 1000000 + seq AS arrival FROM passes)"
+
+
+def _arrived(spark, d):
+    late = F.col("action_time") + (F.col("seq") * 7919) % 20000
+    return tb.passes(spark, d).withColumn("arrival", late * 1_000_000 + F.col("seq"))
+
+
+@register("late_rows", _ARRIVED_SQL + f"""
+SELECT {_TRAFFIC7}, seq, arrival, seen AS max_seen_time FROM (
+  SELECT *, max(action_time) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM arrived)
+WHERE seen - 5000 > action_time""")
+def q_late_rows(spark, d):
+    from roadsight.streaming.twins import late_rows
+    return late_rows(_arrived(spark, d), arrival="arrival", bucket=600_000 * 1_000_000)
+
+
+@register("late_rows_stream", _ARRIVED_SQL + f"""
+, sliced AS (SELECT *, (arrival - lo) // ((hi - lo + 1) // 6 + 1) AS slice
+             FROM arrived, (SELECT min(arrival) AS lo, max(arrival) AS hi FROM arrived))
+, marks AS (SELECT slice, max(max(action_time)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 5000 AS mark
+            FROM sliced GROUP BY slice)
+SELECT {_TRAFFIC7}, seq, arrival, coalesce(action_time <= mark, false) AS late FROM sliced JOIN marks USING (slice)""")
+def q_late_rows_stream(spark, d):
+    """All rows of an out-of-order stream, from the two outputs of the split."""
+    from roadsight.session import scratch_dir
+    from roadsight.streaming.batches import batch_folders, run_batches, split_late
+    from roadsight.streaming.harness import replay
+    _, stream = replay(_arrived(spark, d), "arrival", "late")
+    root = scratch_dir(spark, "late")
+    body = split_late(spark, root, batch_folders(f"{root}/on_time"), batch_folders(f"{root}/late"))
+    run_batches(stream, body, f"{root}/checkpoint", availableNow=True).awaitTermination()
+    sides = [spark.read.parquet(f"{root}/{name}").drop("_batch_id").withColumn("late", F.lit(name == "late"))
+             for name in ("on_time", "late")]
+    return sides[0].unionByName(sides[1])
+
+
+@register("area_vehicle_ingest_stream", _HALVES_SQL.replace(", halves", W("passes") + ", halves", 1) + """
+, sliced AS (SELECT h.*, half * 2 + (action_time - a) // ((b - a + 1) // 2 + 1) AS batch
+             FROM halves h JOIN (SELECT half, min(action_time) AS a, max(action_time) AS b FROM halves GROUP BY half) USING (half))
+SELECT start_time, start_time + 30000 AS end_time, area_id, cast(count(DISTINCT car) AS integer) AS car_count
+FROM (SELECT area_id, car, (1700000000000 + 20000 * batch) // 30000 * 30000 AS start_time FROM sliced) GROUP BY start_time, area_id""")
+def q_area_vehicle_ingest_stream(spark, d):
+    """Passes stamped as they arrive, 20 s a micro-batch by a given clock, with a restart on the way."""
+    from roadsight.session import scratch_dir
+    from roadsight.streaming.batches import run_batches, stamp_arrivals
+    from roadsight.streaming.harness import SENTINEL, replay, run_to_table
+    from roadsight.streaming.twins import area_vehicles_ingest_stream
+    passes = tb.passes(spark, d)
+    lo, hi = passes.agg(F.min("action_time"), F.max("action_time")).first()
+    half = F.call_function("div", F.col("action_time") - F.lit(lo), F.lit((hi - lo + 1) // 2 + 1))
+    root, path, ticks = scratch_dir(spark, "ingest"), None, iter(range(10))
+    flush = {c: SENTINEL for c in ("monitor_id", "camera_id", "car", "road_id", "area_id")} | dict(speed=0.0, seq=-1)
+    for i in (0, 1):
+        path, stream = replay(passes.where(half == i), "action_time", "ingest", slices=2, path=path,
+                              sentinel=flush if i else None)
+        body = stamp_arrivals(spark, root, clock=lambda: 1_700_000_000 + 20 * next(ticks))
+        run_batches(stream, body, f"{root}/checkpoint", availableNow=True).awaitTermination()
+    stored = spark.read.parquet(f"{root}/data")
+    flushed = stored.where(F.col("car") == SENTINEL).withColumn("arrival_time", F.col("arrival_time") + 86_400_000)
+    flushed.drop("_batch_id").write.parquet(f"{root}/data/_batch_id=99")   # closes the last window
+    stamped = spark.readStream.schema(stored.schema).parquet(f"{root}/data")
+    out = run_to_table(area_vehicles_ingest_stream(stamped), "ingest")
+    return out.filter(F.col("area_id") != SENTINEL)

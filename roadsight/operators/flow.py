@@ -152,6 +152,48 @@ def area_vehicles(traffic: DataFrame, window: str = "30 seconds", distinct: str
     return out.withColumn("alert_text", _area_text("car_count"))
 
 
+#: A chunk of 32,768 bits with at most so many set holds their offsets (2 bytes each); others hold 4 KiB of bits.
+SPARSE_BITS = 2048
+
+
+def containers(chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """Chunks ``(keys, bucket, positions array<int>)`` as containers ``(keys, bucket, offsets, bits)``:
+    sorted offsets where few bits are set, else the chunk's bits."""
+    small = F.size("positions") <= SPARSE_BITS
+    offsets = F.sort_array("positions")
+    sparse = chunks.where(small).select(*keys, "bucket", offsets.alias("offsets"), F.lit(None).cast("binary").alias("bits"))
+    dense = (chunks.where(~small).select(*keys, "bucket", F.explode("positions").alias("_p")).groupBy(*keys, "bucket")
+             .agg(F.bitmap_construct_agg("_p").alias("bits"))
+             .select(*keys, "bucket", F.lit(None).cast("array<int>").alias("offsets"), "bits"))
+    return sparse.unionByName(dense)
+
+
+def bitmap_count(bitmap: str | F.Column) -> F.Column:
+    """Set bits of a bitmap: an array of containers (``offsets``, and ``bits`` where it has them)."""
+    def size(x):
+        return F.when(x["offsets"].isNotNull(), F.size(x["offsets"]).cast("long")).otherwise(F.bitmap_count(x["bits"]))
+    return F.aggregate(bitmap, F.lit(0).cast("long"), lambda n, x: n + F.coalesce(size(x), F.lit(0).cast("long")))
+
+
+def merge_bitmaps(bitmaps: DataFrame, keys: list[str]) -> DataFrame:
+    """Bitmaps of rows with equal ``keys`` as one: ``(keys, bitmap)``.
+
+    Offsets are joined as sets; where a chunk is dense on either side, its offsets become
+    bits and are combined with the others.
+    """
+    c = bitmaps.select(*keys, F.explode("bitmap").alias("_c")).select(*keys, "_c.bucket", "_c.offsets", "_c.bits")
+    dense = c.where("bits IS NOT NULL").select(*keys, "bucket", "bits")
+    sparse = c.where("bits IS NULL").select(*keys, "bucket", F.explode("offsets").alias("_p"))
+    at = [*keys, "bucket"]
+    where_dense = dense.select(*at).distinct()
+    raised = sparse.join(where_dense, at, "left_semi").groupBy(*at).agg(F.bitmap_construct_agg("_p").alias("bits"))
+    both = dense.unionByName(raised).groupBy(*at).agg(F.bitmap_or_agg("bits").alias("bits"))
+    lists = sparse.join(where_dense, at, "left_anti").groupBy(*at).agg(F.collect_set("_p").alias("positions"))
+    merged = containers(lists, keys).unionByName(
+        both.select(*at, F.lit(None).cast("array<int>").alias("offsets"), "bits"))
+    return merged.groupBy(*keys).agg(F.collect_list(F.struct("bucket", "offsets", "bits")).alias("bitmap"))
+
+
 def area_vehicles_bitmap(traffic: DataFrame, window: str = "30 seconds",
                          num_bits: int = 1 << 25, materialize: bool = False) -> DataFrame:
     """Distinct vehicles per area and window through a one-hash bitmap of
@@ -161,10 +203,11 @@ def area_vehicles_bitmap(traffic: DataFrame, window: str = "30 seconds",
     The count of set bits is the number of distinct bit offsets, computed as a
     two-phase distinct aggregate over offsets (each task drops repeated
     offsets before the shuffle; at most ``num_bits`` values per group, so state
-    is bounded by the bitmap size).  ``materialize=True`` instead builds the
-    bitmap itself with Spark's bitmap aggregates (4 KiB chunks of 32,768 bits,
-    merged map-side) and also returns the chunks as ``bitmap`` (array of
-    ``struct(bucket, bits)``), e.g. to export to a bitmap store.
+    is bounded by the bitmap size).  ``materialize=True`` also returns the bitmap
+    itself as ``bitmap`` (array of ``struct(bucket, offsets, bits)``, see
+    :func:`containers`), e.g. to export to a bitmap store or for
+    :func:`merge_bitmaps`: positions are gathered per chunk of 32,768 bits,
+    map-side first, so what is shuffled follows the bits that are set.
     """
     t = _with_event_time(traffic).withColumn("_o", bitmap_offset("car", num_bits))
     if not materialize:
@@ -172,14 +215,11 @@ def area_vehicles_bitmap(traffic: DataFrame, window: str = "30 seconds",
                 .agg(F.count_distinct("_o").cast("int").alias("car_count"))
                 .select(*window_bounds_ms(), "area_id", "car_count"))
         return out.withColumn("alert_text", _area_text("car_count"))
-    chunks = (t.groupBy(F.window("event_time", window), "area_id",
-                        F.bitmap_bucket_number("_o").alias("_bucket"))
-               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_o")).alias("_bits")))
-    out = (chunks.groupBy("window", "area_id")
-                 .agg(F.sum(F.bitmap_count("_bits")).cast("int").alias("car_count"),
-                      F.collect_list(F.struct(F.col("_bucket").alias("bucket"),
-                                              F.col("_bits").alias("bits"))).alias("bitmap"))
-                 .select(*window_bounds_ms(), "area_id", "car_count", "bitmap"))
+    chunks = (t.groupBy(F.window("event_time", window), "area_id", F.bitmap_bucket_number("_o").alias("bucket"))
+               .agg(F.collect_set(F.bitmap_bit_position("_o").cast("int")).alias("positions")))
+    out = (containers(chunks, ["window", "area_id"]).groupBy("window", "area_id")
+           .agg(F.collect_list(F.struct("bucket", "offsets", "bits")).alias("bitmap"))
+           .select(*window_bounds_ms(), "area_id", bitmap_count("bitmap").cast("int").alias("car_count"), "bitmap"))
     return out.withColumn("alert_text", _area_text("car_count"))
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from roadsight.operators import speed, watchlist
 from roadsight.session import checkpoint_root
 from roadsight.sources.dims import latest_by_key
+from roadsight.streaming.ledger import BatchLedger
 
 
 class RefreshingDimension:
@@ -53,57 +54,43 @@ class RefreshingDimension:
 class VersionedDimension:
     """A dimension in versions below the folder ``path`` (shared storage), for a query's micro-batches.
 
-    ``loads/<version>`` is a version's rows, ``uses/<batch>-<version>-<loaded at>`` says which
-    version a batch joined.  A version is written whole before a batch names it; one without a
-    naming batch is left over from a crash and written again.  The last ``keep`` uses and their
-    versions are kept, older ones removed.
+    ``loads/<version>`` is a version's rows; a ledger says which version a batch joined and when it
+    was loaded.  A version is written whole before a batch names it; one without a naming batch is
+    left over from a crash and written again.  The last ``keep`` batches' versions are kept.
     """
 
     def __init__(self, spark: SparkSession, path: str, loader: Callable[[], DataFrame], key: str | list[str],
                  refresh_seconds: float = 3600, clock: Callable[[], float] = time.time, keep: int = 100):
         self.spark, self.path, self.loader, self.key = spark, path.rstrip("/"), loader, key
         self.refresh_seconds, self.clock, self.keep = refresh_seconds, clock, keep
-
-    def _folder(self, name: str):
-        sc = self.spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path.getFileSystem(sc._jsc.hadoopConfiguration()), path
-
-    def _uses(self) -> list[tuple[int, int, int]]:
-        """(batch, version, time of the load in ms) of the batches so far, in order."""
-        fs, path = self._folder("uses")
-        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-        return sorted(tuple(map(int, n.split("-"))) for n in names)
+        self.uses, self.loads = BatchLedger(spark, f"{self.path}/uses"), BatchLedger(spark, f"{self.path}/loads")
 
     def _read(self, version: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/loads/{version}")
 
     def for_batch(self, batch_id: int) -> DataFrame:
         """The rows that micro-batch ``batch_id`` joins: one a key, the last load's where it has the key."""
-        uses = self._uses()
-        for batch, version, _ in uses:
-            if batch == batch_id:  # the batch runs again
-                return self._read(version).drop("_load")
-        now = int(self.clock() * 1000)
-        last = uses[-1] if uses else None
-        if last is not None and now - last[2] < self.refresh_seconds * 1000:
-            version, loaded = last[1], last[2]
-        else:
-            version, loaded = batch_id, now
-            fresh = self.loader().withColumn("_load", F.lit(version).cast("long"))
-            rows = fresh if last is None else self._read(last[1]).unionByName(fresh)
-            latest_by_key(rows, self.key, "_load").write.mode("overwrite").parquet(f"{self.path}/loads/{version}")
-        fs, use = self._folder(f"uses/{batch_id}-{version}-{loaded}")
-        fs.mkdirs(use)
-        self._forget(uses + [(batch_id, version, loaded)])
-        return self._read(version).drop("_load")
-
-    def _forget(self, uses: list[tuple[int, int, int]]) -> None:
-        old, rest = uses[:-self.keep], {version for _, version, _ in uses[-self.keep:]}
-        for batch, version, loaded in old:
-            for name in [f"uses/{batch}-{version}-{loaded}"] + ([] if version in rest else [f"loads/{version}"]):
-                fs, path = self._folder(name)
-                fs.delete(path, True)
+        own, last = self.uses.before(batch_id)
+        if own is None:
+            now = int(self.clock() * 1000)
+            if last is not None and now - last[2] < self.refresh_seconds * 1000:
+                own = (batch_id, *last[1:])
+            else:
+                own = (batch_id, batch_id, now)
+                fresh = self.loader().withColumn("_load", F.lit(batch_id).cast("long"))
+                rows = fresh if last is None else self._read(last[1]).unionByName(fresh)
+                latest_by_key(rows, self.key, "_load").write.mode("overwrite").parquet(f"{self.path}/loads/{batch_id}")
+            self.uses.note(*own)
+            self._forget()
+        return self._read(own[1]).drop("_load")
+
+    def _forget(self) -> None:
+        uses = self.uses.entries()
+        kept = {use[1] for use in uses[-self.keep:]}
+        for use in uses[:-self.keep]:
+            self.uses.forget(use)
+            if use[1] not in kept:
+                self.loads.forget((use[1],))
 
 
 def join_with_refreshing_dimension(stream: DataFrame, dim: RefreshingDimension | VersionedDimension,
@@ -131,10 +118,3 @@ def track_listed_cars_refreshed(traffic: DataFrame, watch: VersionedDimension, s
     def tracks(batch: DataFrame, rows: DataFrame) -> DataFrame:
         return watchlist.with_row_key(watchlist.to_track(watchlist.listed_passes(batch, rows)))
     return join_with_refreshing_dimension(traffic, watch, tracks, sink, checkpoint, **trigger)
-
-
-def batch_folders(path: str) -> Callable[[DataFrame, int], None]:
-    """A sink of one folder a micro-batch below ``path``: a batch that runs again replaces its own."""
-    def write(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/_batch_id={batch_id}")
-    return write

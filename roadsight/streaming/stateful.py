@@ -520,6 +520,92 @@ class IntervalOuterProcessor(StatefulProcessor):
         pass
 
 
+class TopRows(StatefulProcessor):
+    """The ``n`` fastest checkpoints of a window, or of one of its lanes; holds ``n`` rows while it reads.
+
+    The averages of a window come in one micro-batch, when the watermark closes it, so nothing is
+    kept between batches.
+    """
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def init(self, handle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues):
+        import heapq
+        now = _moment(timerValues.getCurrentWatermarkInMs())
+        best = heapq.nsmallest(self.n, rows, key=lambda r: (-r["avg_speed"] if r["avg_speed"] is not None else float("inf"), r["monitor_id"]))
+        for rank, r in enumerate(best, 1):
+            yield Row(start_time=r["start_time"], end_time=r["end_time"], rank=rank, monitor_id=r["monitor_id"],
+                      avg_speed=r["avg_speed"], car_count=r["car_count"], event_time=now)
+
+    def close(self) -> None:
+        pass
+
+
+TOP_OUTPUT = ("start_time long, end_time long, rank int, monitor_id string, avg_speed double, car_count int, "
+              "event_time timestamp")
+
+RUNNING_INPUT = T.StructType([T.StructField("action_time", T.LongType()), T.StructField("seq", T.LongType()),
+                              T.StructField("car", T.StringType())])
+
+
+class RunningCountProcessor(_Buffered):
+    """An (area, window): passes in event order, each with the distinct cars up to it.
+
+    Keeps the cars of the window and the passes that the watermark has not reached; all of it goes
+    when the window is over.
+    """
+
+    schema = RUNNING_INPUT
+    ts_field = "action_time"
+
+    def __init__(self, window_ms: int):
+        self.window_ms = window_ms
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.cars = handle.getMapState("cars", T.StructType([T.StructField("car", T.StringType())]),
+                                       T.StructType([T.StructField("at", T.LongType())]))
+        self.total = handle.getValueState("total", T.StructType([T.StructField("n", T.LongType())]))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm = timerValues.getCurrentWatermarkInMs()
+        area, start = key
+        end = start + self.window_ms
+        ready = self._take_ready(wm)
+        held = self.total.get()
+        n, new = (held[0] if held is not None else 0), set()
+        known = {k[0] for k in self.cars.keys()} if held is not None else set()
+        for t, seq, car in ready:
+            is_new = car is not None and car not in known
+            if is_new:
+                n += 1
+                known.add(car)
+                new.add(car)
+            yield Row(start_time=start, end_time=end, area_id=area, car=car, action_time=t, seq=seq,
+                      is_new=is_new, running_count=n)
+        if wm >= end:
+            if held is not None:
+                self.cars.clear()
+                self.total.clear()
+        elif ready:
+            for car in new:
+                self.cars.updateValue((car,), (n,))
+            self.total.update((n,))
+            self.handle.registerTimer(end + 1)
+
+
+def running_output(tie: T.DataType) -> T.StructType:
+    return T.StructType([
+        T.StructField("start_time", T.LongType()), T.StructField("end_time", T.LongType()),
+        T.StructField("area_id", T.StringType()), T.StructField("car", T.StringType()),
+        T.StructField("action_time", T.LongType()), T.StructField("seq", tie),
+        T.StructField("is_new", T.BooleanType()), T.StructField("running_count", T.LongType())])
+
+
 # Ship these processors to Python workers by value: executors then need no
 # installed copy of this package (only pyspark itself).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

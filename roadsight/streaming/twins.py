@@ -9,14 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadsight.functions.exprs import micros, event_time, half_up_mean, window_bounds_ms
+from roadsight.functions.exprs import bitmap_offset, micros, event_time, half_up_mean, window_bounds_ms
 from roadsight.operators import danger as danger_ops
 from roadsight.operators.dispatch import P_COLS, _alert, tagged_union
 from roadsight.operators.speed import speeding
 from roadsight.plans.sequence import with_seq
 from roadsight.streaming.stateful import (
     CLONE_OUTPUT, FULL_INPUT, FULL_OUTPUT, PAIR_OUTPUT, BucketTraces, ChainTraces, ClonedPlateProcessor, CloneRule,
-    DangerousCarProcessor, IntervalOuterProcessor, PairingProcessor, PairRule, danger_output, part_schema,
+    DangerousCarProcessor, IntervalOuterProcessor, PairingProcessor, PairRule, RunningCountProcessor, TOP_OUTPUT,
+    TopRows, danger_output, part_schema, running_output,
 )
 
 TRAFFIC_DELAY = "5 seconds"
@@ -24,6 +25,7 @@ DISPATCH_DELAY = "2 seconds"
 
 
 def watermarked(traffic: DataFrame, ts: str = "action_time", delay: str = TRAFFIC_DELAY) -> DataFrame:
+    """``event_time`` with a watermark of ``delay``; ``"0 seconds"`` is right for rows in ascending order."""
     return traffic.withColumn("event_time", event_time(ts)).withWatermark("event_time", delay)
 
 
@@ -39,20 +41,21 @@ def avg_speed_stream(traffic: DataFrame, window: str = "5 minutes", slide: str =
     return g.select(*(["window"] if keep_window else []), *out)
 
 
-def top_n_stream(traffic: DataFrame, n: int = 3) -> DataFrame:
-    """Chained stateful aggregation: per-window top ``n`` of the averages.
+#: Lanes that a window's checkpoints are dealt to before the last choice.
+TOP_LANES = 16
 
-    The second aggregation keys on the window (an event-time column), so it
-    also finalises by watermark; its state per window is the list of
-    checkpoint averages of that window.
-    """
-    avg = avg_speed_stream(traffic, keep_window=True)
-    item = F.struct((-F.col("avg_speed")).alias("neg"), "monitor_id", "avg_speed", "car_count")
-    top = (avg.groupBy("window")
-              .agg(F.slice(F.sort_array(F.collect_list(item)), 1, n).alias("_top")))
-    return top.select(*window_bounds_ms(), F.posexplode("_top").alias("_p", "_x")).select(
-        "start_time", "end_time", (F.col("_p") + 1).alias("rank"), "_x.monitor_id",
-        "_x.avg_speed", "_x.car_count")
+
+def top_n_stream(traffic: DataFrame, n: int = 3, lanes: int = TOP_LANES) -> DataFrame:
+    """Per-window top ``n`` of the averages in two steps: the ``n`` best of each lane of a
+    window's checkpoints, then the ``n`` best of those.  Each step reads its rows once and holds
+    ``n`` of them; no list of a window's averages is kept."""
+    avg = avg_speed_stream(traffic)
+    lane = F.pmod(F.xxhash64("monitor_id"), F.lit(lanes))
+    some = avg.withColumn("_lane", lane).groupBy("start_time", "end_time", "_lane").transformWithState(
+        TopRows(n), TOP_OUTPUT, "Append", "EventTime", eventTimeColumnName="event_time")
+    top = some.groupBy("start_time", "end_time").transformWithState(
+        TopRows(n), TOP_OUTPUT, "Append", "EventTime")
+    return top.drop("event_time")
 
 
 def area_vehicles_stream(traffic: DataFrame, window: str = "30 seconds") -> DataFrame:
@@ -217,3 +220,41 @@ def area_vehicles_running_stream(traffic: DataFrame, window: str = "30 seconds")
     dedup = t.dropDuplicates(["window", "area_id", "car"])
     g = dedup.groupBy("window", "area_id").agg(F.count(F.lit(1)).cast("int").alias("car_count"))
     return g.select(*window_bounds_ms(), "area_id", "car_count")
+
+
+def area_vehicles_running_records_stream(traffic: DataFrame, window_ms: int = 30_000) -> DataFrame:
+    """A running distinct-vehicle count for every pass, in event order (the per-element trigger).
+
+    Same rows as ``flow.area_vehicles_running``; keyed by (area, window), of which the state keeps the
+    cars and the passes that the watermark has not passed.
+    """
+    t = watermarked(with_seq(traffic))
+    src = t.withColumn("start_time", F.col("action_time") - F.pmod("action_time", F.lit(window_ms))).select(
+        "area_id", "start_time", "action_time", "seq", "car", "event_time")
+    tie = src.schema["seq"].dataType
+    processor = RunningCountProcessor(window_ms).order_by(tie)
+    return src.groupBy("area_id", "start_time").transformWithState(processor, running_output(tie), "Append", "EventTime")
+
+
+def area_vehicles_bitmap_stream(traffic: DataFrame, window: str = "30 seconds", num_bits: int = 1 << 25) -> DataFrame:
+    """Distinct vehicles per area and window from bitmaps whose state follows the bits that are set.
+
+    State is a set of positions a chunk of 32,768 bits; finished chunks become containers
+    (:func:`roadsight.operators.flow.containers`) and are gathered a window.
+    """
+    t = watermarked(traffic).withColumn("_o", bitmap_offset("car", num_bits))
+    chunks = t.groupBy(F.window("event_time", window), "area_id", F.bitmap_bucket_number("_o").alias("bucket")).agg(
+        F.collect_set(F.bitmap_bit_position("_o").cast("int")).alias("_set"))
+    out = chunks.groupBy("window", "area_id").agg(
+        F.sum(F.size("_set")).cast("int").alias("car_count"),
+        F.collect_list(F.struct("bucket", F.sort_array("_set").alias("offsets"), F.lit(None).cast("binary").alias("bits"))).alias("bitmap"))
+    from roadsight.operators.flow import _area_text
+    return out.select(*window_bounds_ms(), "area_id", "car_count", "bitmap").withColumn("alert_text", _area_text("car_count"))
+
+
+def area_vehicles_ingest_stream(stamped: DataFrame, window: str = "30 seconds") -> DataFrame:
+    """Distinct vehicles per area and window of ingestion, over rows that ``stamp_arrivals`` stored."""
+    marked = watermarked(stamped, "arrival_time", "0 seconds")
+    dedup = marked.withColumn("window", F.window("event_time", window)).dropDuplicates(["window", "area_id", "car"])
+    g = dedup.groupBy("window", "area_id").agg(F.count(F.lit(1)).cast("int").alias("car_count"))
+    return g.select(*window_bounds_ms(), "area_id", "car_count")
