@@ -6,13 +6,12 @@ disorder), violation / police-action watermarks 2 s on each input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadsight.functions.exprs import bitmap_offset, micros, event_time, half_up_mean, window_bounds_ms
 from roadsight.operators import danger as danger_ops
 from roadsight.operators.dispatch import P_COLS, _alert, tagged_union
-from roadsight.operators.speed import speeding
 from roadsight.plans.sequence import with_seq
 from roadsight.streaming.stateful import (
     CLONE_OUTPUT, FULL_INPUT, FULL_OUTPUT, PAIR_OUTPUT, BucketTraces, ChainTraces, ClonedPlateProcessor, CloneRule,
@@ -22,6 +21,7 @@ from roadsight.streaming.stateful import (
 
 TRAFFIC_DELAY = "5 seconds"
 DISPATCH_DELAY = "2 seconds"
+ASCENDING = "0 seconds"
 
 
 def watermarked(traffic: DataFrame, ts: str = "action_time", delay: str = TRAFFIC_DELAY) -> DataFrame:
@@ -107,10 +107,12 @@ def _in_buckets(records: DataFrame, rule, width_ms: int) -> DataFrame:
 
 
 def cloned_plate_stream(traffic: DataFrame, gap_ms: int = 10_000, distinct_monitors: bool = False,
-                        key_bucket_ms: int | None = KEY_BUCKET_MS) -> DataFrame:
-    """Cloned plates; ``key_bucket_ms=None`` keys the state by car alone and reports as soon as the
+                        key_bucket_ms: int | None = KEY_BUCKET_MS, delay: str = ASCENDING) -> DataFrame:
+    """Cloned plates.  The source job takes times as ascending; pass a ``delay`` for rows out of order.
+
+    ``key_bucket_ms=None`` keys the state by car alone and reports as soon as the
     watermark has passed a record, which suits streams without hot cars."""
-    src = watermarked(with_seq(traffic)).select("car", "action_time", "seq", "monitor_id", "event_time")
+    src = watermarked(with_seq(traffic), delay=delay).select("car", "action_time", "seq", "monitor_id", "event_time")
     if key_bucket_ms is not None:
         return _in_buckets(src, CloneRule(gap_ms, distinct_monitors), key_bucket_ms)
     processor = ClonedPlateProcessor(gap_ms, distinct_monitors).order_by(src.schema["seq"].dataType)
@@ -159,7 +161,7 @@ def classify_violation_action_stream(violations: DataFrame, actions: DataFrame,
 
 def dangerous_car_stream(passes_with_limit: DataFrame, times: int = 3, within_ms: int = 120_000,
                          ratio: float = 1.2, key_bucket_ms: int = 30 * 60 * 1000,
-                         emit: str = "longest") -> DataFrame:
+                         emit: str = "longest", condition: Column | None = None) -> DataFrame:
     """Longest match ending at each speeding pass, or with ``emit="all"`` every match.
 
     State is keyed by (car, ``key_bucket_ms`` time bucket), so a hot car is
@@ -168,11 +170,12 @@ def dangerous_car_stream(passes_with_limit: DataFrame, times: int = 3, within_ms
     if emit not in ("all", "longest"):
         raise ValueError("emit must be 'all' or 'longest'")
     # The watermark tracks all passes (as the source job assigns it before the
-    # pattern).  Catalyst would move the speeding condition below the watermark
-    # unless it depends on the event time, so a zero made of that is added.
+    # pattern).  Catalyst would move the pattern's condition below the watermark
+    # unless it depends on the event time, so it hangs on a zero made of that.
     marked = watermarked(with_seq(passes_with_limit))
     nothing = F.pmod(F.unix_millis("event_time"), F.lit(1))
-    sp = marked.where(F.col("real_speed") > F.col("limit_speed") * F.lit(ratio) + nothing).select(
+    fast = danger_ops.speeding_by(ratio) if condition is None else condition
+    sp = marked.where(F.when(nothing == 0, fast)).select(
         "car", "action_time", "seq", "monitor_id", "real_speed", "limit_speed",
         micros("real_speed").alias("micros"), "event_time")
     # Key = (car, bucket of key_bucket_ms >= within_ms): a pass is owned by its
