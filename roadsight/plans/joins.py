@@ -21,10 +21,11 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 
 def size_known(df: DataFrame) -> bool:
-    """True when Catalyst can estimate the size of ``df`` (tables and files, not rows of the
-    program or a JDBC table).  Planning only, no job."""
+    """True when Catalyst knows the size of all that ``df`` reads (tables and files, not rows of
+    the program or a JDBC table).  Planning only, no job."""
     default = df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < default
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return all(int(str(leaves.apply(i).stats().sizeInBytes())) < default for i in range(leaves.size()))
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:

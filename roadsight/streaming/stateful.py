@@ -50,6 +50,11 @@ def with_tie(schema: T.StructType, tie: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(f.name, tie if f.name == "seq" else f.dataType) for f in schema.fields])
 
 
+def _names(columns: str) -> list[str]:
+    """Column names of a plain ``name type, ...`` text (workers have no session to parse it)."""
+    return [c.split()[0] for c in columns.split(",")]
+
+
 def danger_output(tie: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("car", T.StringType()),
                          T.StructField("events", T.ArrayType(with_tie(DANGER_EVENT, tie)))])
@@ -348,7 +353,7 @@ class BucketTraces(StatefulProcessor):
 
     def __init__(self, rule, width_ms: int, tie: T.DataType):
         self.rule, self.width_ms, self.schema = rule, width_ms, with_tie(rule.record, tie)
-        self.names = T.StructType.fromDDL(rule.result).fieldNames()
+        self.names = _names(rule.result)
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -400,7 +405,7 @@ class ChainTraces(StatefulProcessor):
 
     def __init__(self, rule, width_ms: int, tie: T.DataType):
         self.rule, self.width_ms, self.schema = rule, width_ms, with_tie(rule.record, tie)
-        self.names = T.StructType.fromDDL(rule.result).fieldNames()
+        self.names = _names(rule.result)
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -464,7 +469,7 @@ class IntervalOuterProcessor(StatefulProcessor):
 
     def __init__(self, lower_ms: int, upper_ms: int):
         self.lower, self.upper = lower_ms, upper_ms
-        self.names = T.StructType.fromDDL(FULL_OUTPUT).fieldNames()
+        self.names = _names(FULL_OUTPUT)
 
     def init(self, handle) -> None:
         self.handle = handle
