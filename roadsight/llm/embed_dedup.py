@@ -12,10 +12,13 @@ by pairs of chunks.  Equal vectors are one class, counted with their number, so
 
 Vectors that are null, empty, zero or hold null or non-finite components link with nothing, as do
 vectors of different lengths.  Rows without vec_id take part; their component is the smallest id
-reachable, if any.  An empty table gives no rows.  Recall: a pair at the least cosine of 0.95 agrees
-on a sign with a chance of 0.9; the signs it must share grow with log2(rows / ``BLOCK``), so passes are
-added with the rows until the chance that none brings a pair together is ``MISS`` at most, taking rows
-as spread evenly over the signs and passes as independent.  Links are never wrong.
+reachable, if any.  An empty table gives no rows.
+
+Signs are taken of unit vectors less their mean direction, as embeddings that lie in a cone would
+share most signs otherwise.  Recall: passes are added until probes meet.  Probes are rows of a bounded
+sample (``SAMPLE``), each with a made-up partner at the least cosine; how far two keys lie apart among all
+rows is read off the sample, and the number of passes is such that the mean chance of a probe to stay
+unmet in all of them is ``MISS`` at most.  Every row is indexed.  Links are never wrong.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ LEAST, PASSES, BLOCK, SIGNS = 0.95, 8, 1024, 48
 BROADCAST = 100_000
 #: Bound on the chance that all passes miss a pair at the least cosine.
 MISS = 0.005
+#: Rows, about, that the mean direction and the number of passes are taken from; probes and passes measured.
+SAMPLE, PROBES, MEASURED = 32_768, 512, 64
 
 
 def passes_for(rows: int, least: float, block: int) -> int:
@@ -39,18 +44,57 @@ def passes_for(rows: int, least: float, block: int) -> int:
     return 1 if meet >= 1 else int(np.ceil(np.log(MISS) / np.log1p(-meet)))
 
 
-def _signs(passes: int, seed: int):
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _keys(x: np.ndarray, mean: np.ndarray | None, passes: int, seed: int) -> np.ndarray:
+    """Concatenated signs of the rows of x, one key a pass; the first passes are the same whatever their number."""
+    weights = np.left_shift(np.int64(1), np.arange(SIGNS, dtype=np.int64)[::-1])
+    centred = _unit(x) if mean is None else _unit(x) - mean
+    out = np.empty((len(x), passes), np.int64)
+    for k in range(passes):
+        planes = np.random.default_rng([seed, x.shape[1], k]).standard_normal((x.shape[1], SIGNS))
+        out[:, k] = ((centred @ planes) > 0) @ weights
+    return out
+
+
+def survey(sets: DataFrame, rows: int, least: float, block: int, seed: int) -> tuple[dict[int, np.ndarray], int]:
+    """Mean direction of the vectors of each length, and how many passes keep missed probes within ``MISS``."""
+    share = max(1, rows // SAMPLE)
+    some = sets.where(F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(share)) == 0).select("vector").toArrow()  # about SAMPLE rows
+    means, passes = {}, 1
+    for n, _, x in (g for batch in some.combine_chunks().to_batches() for g in by_length(batch, 0)):
+        means[n] = _unit(x).mean(0)
+        rng = np.random.default_rng([seed, n, 1])
+        probes = _unit(x[rng.permutation(len(x))[:PROBES]])
+        side = rng.standard_normal(probes.shape)
+        side -= (side * probes).sum(1, keepdims=True) * probes
+        if n < 2 or len(x) * share <= block:
+            continue
+        partners = least * probes + np.sqrt(1 - least * least) * _unit(side)
+        keys, a, b = (np.sort(_keys(x, means[n], MEASURED, seed), axis=0), _keys(probes, means[n], MEASURED, seed),
+                      _keys(partners, means[n], MEASURED, seed))
+        met = np.zeros(len(probes))
+        for k in range(MEASURED):
+            apart = np.abs(np.searchsorted(keys[:, k], a[:, k]) - np.searchsorted(keys[:, k], b[:, k])) * share
+            met += apart < block
+        chance = (met + 0.5) / (MEASURED + 1)
+        own = 1
+        while np.mean((1 - chance) ** own) > MISS:
+            own += 1
+        passes = max(passes, own)
+    return means, passes
+
+
+def _signs(passes: int, seed: int, means: dict[int, np.ndarray]):
     def apply(batches):
         import pyarrow as pa
 
-        planes: dict[int, np.ndarray] = {}
-        weights = np.left_shift(np.int64(1), np.arange(SIGNS, dtype=np.int64)[::-1])
         for batch in batches:
             nodes = batch.column(0).to_numpy()
             for n, rows, x in by_length(batch, 1):
-                if n not in planes:
-                    planes[n] = np.random.default_rng([seed, n]).standard_normal((n, passes * SIGNS))
-                key = ((x @ planes[n]).reshape(len(rows), passes, SIGNS) > 0) @ weights
+                key = _keys(x, means.get(n), passes, seed)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.tile(np.arange(passes, dtype=np.int32), len(rows))), pa.array(np.full(len(rows) * passes, n, np.int32)),
                      pa.array(key.reshape(-1)), pa.array(np.repeat(nodes[rows], passes))], ["pass", "length", "key", "node"])
@@ -160,8 +204,10 @@ def _counts(linked: DataFrame, least: float, block: int) -> DataFrame:
 def dedup(embeddings: DataFrame, least: float = LEAST, passes: int = PASSES, block: int = BLOCK, seed: int = 5) -> DataFrame:
     """One row a vector: vec_id, n_links, component_id, kept.  ``passes`` is the least number of them."""
     sets = stage(classes(embeddings, F.count(F.lit(1)).alias("m"), F.min("vec_id").alias("low")), "vectors")
-    passes = max(passes, passes_for(sets.count(), least, block))
-    keys = sets.select("node", "vector").mapInArrow(_signs(passes, seed), "pass int, length int, key long, node long")
+    rows = sets.count()
+    means, needed = survey(sets, rows, least, block, seed)
+    passes = max(passes, passes_for(rows, least, block), needed)
+    keys = sets.select("node", "vector").mapInArrow(_signs(passes, seed, means), "pass int, length int, key long, node long")
     rows = in_blocks(keys, block, "projections").join(sets.select("node", "vector"), "node")
     meet = rows.withColumn("at", F.explode(F.array(F.col("block"), F.col("block") + 1))).withColumn("own", F.col("at") == F.col("block"))
     found = stage(meet.select("pass", "length", "at", "own", "node", "vector").groupBy("pass", "length", "at")
