@@ -75,10 +75,19 @@ class Automaton:
             for place, word in enumerate(words):
                 last = self._extend(last, word, ends)
                 ends[last].add((t, place))
-        for state in sorted(range(len(self.link)), key=self.length.__getitem__, reverse=True):
-            if self.link[state] >= 0:
-                ends[self.link[state]] |= ends[state]
-        self.ends = [sorted(e) for e in ends]
+        self.own_ends, self.below = [sorted(e) for e in ends], [[] for _ in self.link]
+        for state, link in enumerate(self.link):
+            if link >= 0:
+                self.below[link].append(state)
+
+    def ends(self, state: int) -> list[tuple[int, int]]:
+        """All (template, place) where the state's passages end: its own and those of the link tree below it."""
+        found, work = [], [state]
+        while work:
+            at = work.pop()
+            found += self.own_ends[at]
+            work += self.below[at]
+        return found
 
     def _new(self, length: int, ends, follow=None) -> int:
         self.next.append(dict(follow or {}))
@@ -173,24 +182,51 @@ class Scanner:
         """Chained spans (label, first word, past the last word, share of the template covered)."""
         by_template: dict[int, list[tuple[int, int, int]]] = {}
         for start, size, state in self.matches(words):
-            for t, end in self.automaton.ends[state]:
+            for t, end in self.automaton.ends(state):
                 by_template.setdefault(t, []).append((start, end - size + 1, size))
-        out = []
-        for t, found in by_template.items():
-            chain = None  # first word, past the last word, past the last template word, covered words
-            for start, place, size in sorted(found):
-                if chain and 0 <= start - chain[1] <= MAX_GAP and place >= chain[2]:
-                    chain = (chain[0], start + size, place + size, chain[3] + size)
-                elif chain and start < chain[1]:
-                    if size > chain[3]:  # a longer passage over the same words
-                        chain = (start, start + size, place + size, size)
-                else:
-                    if chain:
-                        out.append((self.labels[t], chain[0], chain[1], chain[3] / self.sizes[t]))
-                    chain = (start, start + size, place + size, size)
-            if chain:
-                out.append((self.labels[t], chain[0], chain[1], chain[3] / self.sizes[t]))
-        return out
+        return [(self.labels[t], first, past, covered / self.sizes[t])
+                for t, found in sorted(by_template.items()) for first, past, covered in chains(found)]
+
+
+def chains(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The best chain of matches (start, place, size) of one template, then the best ones on either side of it.
+
+    In a chain every match goes on behind the one before, in the text and in the template, at most
+    ``MAX_GAP`` words later in the text; where two overlap, the later counts without the shared words.
+    Chains are (first word, past the last word, template words covered), in order.
+    """
+    out, work = [], [sorted(set(found))]
+    while work:
+        run = work.pop()
+        if not run:
+            continue
+        first, past, covered = best_chain(run)
+        out.append((first, past, covered))
+        work.append([m for m in run if m[0] + m[2] <= first])
+        work.append([m for m in run if m[0] >= past])
+    return sorted(out)
+
+
+def best_chain(run: list[tuple[int, int, int]]) -> tuple[int, int, int]:
+    """Dynamic programming over matches by start: the most covered words, then the earliest chain."""
+    run = sorted(run)
+    longest = max(size for _, _, size in run)
+    best: list[tuple[int, int]] = []  # covered words and first word (negative) of the best chain that ends here
+    for i, (start, place, size) in enumerate(run):
+        own = (size, -start)
+        for k in range(i - 1, -1, -1):
+            start_k, place_k, size_k = run[k]
+            if start_k + longest + MAX_GAP < start:
+                break
+            end, place_end = start_k + size_k, place_k + size_k
+            if start > end + MAX_GAP or place < place_k or start + size <= end or place + size <= place_end:
+                continue
+            new = size - max(0, end - start, place_end - place)
+            if new > 0:
+                own = max(own, (best[k][0] + new, best[k][1]))
+        best.append(own)
+    at = max(range(len(run)), key=lambda i: (best[i][0], best[i][1], -run[i][0]))
+    return -best[at][1], run[at][0] + run[at][2], best[at][0]
 
 
 SCAN = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
@@ -213,8 +249,10 @@ def scan(docs: DataFrame, templates=tuple(TEMPLATES), base=tuple(BASE.items()))
                 ",".join(sorted(low)), ",".join(sorted(low | {s[0] for s in kept})), max(high, 0.5) if low else high,
                 [dict(zip(("label", "first", "past", "cover"), s)) for s in kept])
 
+    shared = docs.sparkSession.sparkContext.broadcast(Scanner(templates, base))  # built once; as large as the templates
+
     def apply(batches):
-        scanner = Scanner(templates, base)
+        scanner = shared.value
         names = [f.split()[0] for f in SCAN.split(", ")]
         types = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64(), span_type]
         for batch in batches:
