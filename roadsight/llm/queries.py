@@ -21,7 +21,8 @@ def op2_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_cascade.judge(table(spark, sf_dir, "pages"), url_cascade.spam_host)
+    pages = table(spark, sf_dir, "pages")
+    return url_cascade.judge(pages, url_cascade.listed_hosts(pages))
 
 
 def op4_hilbert_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
