@@ -162,7 +162,7 @@ def with_rank(df: DataFrame, by: list[Column], name: str, parts: int | None = No
 EDGE = StructType([StructField("u", LongType()), StructField("v", LongType())])
 
 
-def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(u long, v long)``: one row (node, root) a node that has an edge.
 
     Alternating large-star and small-star rounds; the smallest node of a component is its root.
@@ -172,7 +172,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     edges = edges.where("u is not null and v is not null and u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges, last = stage(edges, "edges"), None
-    for _ in range(max_rounds):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("m", "u").alias("m"))
         large = (both.where("v > u").join(low, F.col("u") == F.col("w"))
@@ -187,4 +187,3 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         last = now
-    raise RuntimeError("components did not settle")

@@ -384,8 +384,8 @@ def classes_and_links(docs: DataFrame, buckets: int = BUCKETS, limit: int | None
 def _joined(docs: DataFrame, buckets: int, limit: int | None, light: int) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, its row key and that of the row to keep.
 
-    ``first`` is the component's row with the smallest id, then the smallest row key; for rows without id
-    it is the smallest of theirs.  It is null for documents that link with nothing.
+    ``first`` is the component's row with the smallest id, then the smallest row key; rows without id come
+    last.  It is null for documents that link with nothing.
     """
     rows, found = classes_and_links(docs, buckets, limit, light)
     roots = components(found).withColumnRenamed("node", "print")
@@ -398,7 +398,7 @@ def _joined(docs: DataFrame, buckets: int, limit: int | None, light: int) -> Dat
         F.col("print").alias("p"), F.col("n").alias("s"), "component_id", "first", "bare")
     return rows.join(named, (F.col("print") == F.col("p")) & (F.col("n") == F.col("s")), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "row",
-        F.when(F.col("doc_id").isNull(), F.col("bare")).otherwise(F.col("first")).alias("first"))
+        F.coalesce("first", "bare").alias("first"))
 
 
 def join(docs: DataFrame, buckets: int = BUCKETS, limit: int | None = None, light: int = LIGHT) -> DataFrame:
@@ -409,7 +409,7 @@ def join(docs: DataFrame, buckets: int = BUCKETS, limit: int | None = None, ligh
 def keep_one(docs: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
     """The documents with one of each linked group kept, all columns as they were.
 
-    Kept is the row with the smallest id, and of the rows without id, which nothing names, one beside it.
+    Kept is the row with the smallest id; a row without id only where no row of its group has one.
     Rows are told apart by id and text, so a repeated id drops no text that links with nothing.
     """
     joined = stage(_joined(docs, BUCKETS, None, LIGHT).select("row", "first").where("first is not null"), "joined")
