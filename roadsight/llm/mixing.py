@@ -224,5 +224,8 @@ def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     shards = F.when(F.col("__size") == 0, F.array(F.lit(None).cast("int"))).otherwise(shards)
     every = single.unionByName(several).select("__doc", "__i", F.posexplode(shards).alias("__pass", "shard"))
     mixed = F.xxhash64("__i", "__pass", F.lit(seed))
-    return (every.repartition(F.coalesce(F.col("shard").cast("long"), F.pmod(mixed, F.lit(1 << 20)))).sortWithinPartitions("shard", mixed)
+    # ranges of (shard, place): equal partitions whatever the number and size of the shards
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = every.withColumn("__place", mixed)
+    return (every.repartitionByRange(parts, "shard", "__place").sortWithinPartitions("shard", "__place")
             .select(*[F.col("__doc")[c].alias(c) for c in names]))
