@@ -300,7 +300,7 @@ def search(documents: DataFrame, items: DataFrame) -> DataFrame:
             continue
         weights = np.array([math.floor(1000 * math.log((2 * n + 2) / (2 * d + 1))) for d in df.tolist()], np.int64)
         tree = item_tree(np.repeat(np.arange(len(rows)), sizes), place, times, len(rows), weights)
-        seeds = terms.where(F.pmod(F.xxhash64("doc_id", "n", "terms"), F.lit(-(-n // SEEDS))) == 0)
+        seeds = terms.where(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(-(-n // SEEDS))) == 0)
         floors = np.zeros(len(rows), np.int64)
         for r in _search(seeds, tree, (n, length), floors).where(F.col("rank") == K).collect():
             floors[r["item"]] = r["score"]
