@@ -2,7 +2,8 @@
 
 A document's set holds its distinct shingles of five words (fewer words: the whole sequence as one);
 two documents link when |A n B| / |A u B| >= 0.75.  Results are exact up to hash collisions of
-64-bit set and 56-bit shingle fingerprints.
+64-bit set and of shingle fingerprints, which are 56 bits where frequencies are counted (a bucket and
+48 bits in it) and 48 bits where the shingles of two sets are compared.
 
 1. One pass over the texts makes shingle fingerprints.  They travel packed, 8 bytes a shingle, to
    hash buckets, where every shingle's document frequency is counted over all documents; equal sets
@@ -33,7 +34,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from roadsight.llm.common import (binary_parts, components, mix, small_side, space_words, stage, with_rank)
 
 WORDS = 5
-BUCKETS = 1024
+#: Least number of buckets; beyond it there are as many as keep so many shingles a bucket and a task.
+BUCKETS, PER_BUCKET, PER_TASK = 1024, 1 << 19, 1 << 21
+#: Bytes of text for a shingle, at least.
+BYTES_A_SHINGLE = 5
 #: Documents and shingles of a chunk that travels together.
 CHUNK_DOCS, CHUNK_SHINGLES = 4096, 1 << 20
 LIGHT = 32
@@ -365,11 +369,20 @@ def _row_key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), text, F.col("doc_id").isNull(), text.isNull()).alias("row")
 
 
-def classes_and_links(docs: DataFrame, buckets: int = BUCKETS, limit: int | None = None,
+def _bucketing(texts: DataFrame) -> tuple[int, int]:
+    """Buckets (a power of two) and tasks for the shingles of ``texts``, by the size of all texts."""
+    most = (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BYTES_A_SHINGLE
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(BUCKETS, 1 << max(0, most // PER_BUCKET).bit_length()), max(tasks, -(-most // PER_TASK))
+
+
+def classes_and_links(docs: DataFrame, buckets: int | None = None, limit: int | None = None,
                       light: int = LIGHT) -> tuple[DataFrame, DataFrame]:
     """(documents with set size and class, links between classes)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), _row_key())
-    counted = stage(texts.mapInArrow(_chunks(buckets), CHUNKS).groupBy("bucket").applyInArrow(_shared, CHUNKS), "shingles")
+    most, tasks = _bucketing(texts)
+    pieces = texts.mapInArrow(_chunks(buckets or most), CHUNKS).repartition(tasks, "bucket")
+    counted = stage(pieces.groupBy("bucket").applyInArrow(_shared, CHUNKS), "shingles")
     rows = counted.where("kind = 0").select("chunk", "a", "b", "c").mapInArrow(
         _documents, "doc_id long, n long, print long, chunk long, place int, row long")
     rows = stage(rows, "sets")
@@ -381,7 +394,7 @@ def classes_and_links(docs: DataFrame, buckets: int = BUCKETS, limit: int | None
     return rows, links(candidates, limit, light)
 
 
-def _joined(docs: DataFrame, buckets: int, limit: int | None, light: int) -> DataFrame:
+def _joined(docs: DataFrame, buckets: int | None, limit: int | None, light: int) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, its row key and that of the row to keep.
 
     ``first`` is the component's row with the smallest id, then the smallest row key; rows without id come
@@ -401,7 +414,7 @@ def _joined(docs: DataFrame, buckets: int, limit: int | None, light: int) -> Dat
         F.coalesce("first", "bare").alias("first"))
 
 
-def join(docs: DataFrame, buckets: int = BUCKETS, limit: int | None = None, light: int = LIGHT) -> DataFrame:
+def join(docs: DataFrame, buckets: int | None = None, limit: int | None = None, light: int = LIGHT) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id."""
     return _joined(docs, buckets, limit, light).drop("row", "first")
 
@@ -412,7 +425,7 @@ def keep_one(docs: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
     Kept is the row with the smallest id; a row without id only where no row of its group has one.
     Rows are told apart by id and text, so a repeated id drops no text that links with nothing.
     """
-    joined = stage(_joined(docs, BUCKETS, None, LIGHT).select("row", "first").where("first is not null"), "joined")
+    joined = stage(_joined(docs, None, None, LIGHT).select("row", "first").where("first is not null"), "joined")
     gone = joined.where("row <> first").select(F.col("row").alias("__gone")).distinct()
     rest = docs.join(small_side(gone, gone.count(), broadcast_rows), _row_key() == F.col("__gone"), "left_anti")
     twice = joined.where("row = first").groupBy("row").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
