@@ -237,8 +237,10 @@ def cores(described_: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     taken_by = F.when(F.col("kind") == "person", F.regexp_extract("canonical", r"([^|]*)$", 1)).otherwise(F.col("canonical"))
     known = real.select("kind", taken_by.alias("value")).distinct()
     todo, done, attempt = real, None, 0
+    parts = int(described_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while done is None or not todo.isEmpty():
-        drawn = todo.withColumn("stream", _stream(attempt, key)).withColumn("core", _core(attempt))
+        # few bytes, much work: one small file would be one task
+        drawn = todo.repartition(parts, "kind", "canonical").withColumn("stream", _stream(attempt, key)).withColumn("core", _core(attempt))
         value = F.when(F.col("kind") == "person", F.lower("core")).otherwise(F.col("core"))
         one = drawn.groupBy("kind", value.alias("value")).agg(F.min(F.struct("canonical", "core")).alias("w"))
         one = one.join(known, ["kind", "value"], "left_anti")
