@@ -4,8 +4,10 @@ Pages become WARC records: a header, the URL and the payload, each with its offs
 A manifest row is (archive, offset, length, digest).  Leaves hash the records of one ordered offset
 range of ``LEAF`` bytes, inner nodes the hashes of ``FANOUT`` ranges below, roots a whole archive.
 The audit compares the roots of two replicas, then only the children of nodes that differ, down to
-the records.  A node has a bounded number of children, whatever the archive's size; payloads are
-hashed where they are read and never shuffled.
+the records.  Levels are added until the root of the largest archive has at most ``FANOUT`` children, so
+every node's are bounded, whatever the archive's size; payloads are hashed where they are read and
+never shuffled.  An id that very many records share makes a large archive, which is cut into sorted
+ranges for its offsets.
 
 Null URLs and texts count as empty.  Records without id go to loose archives by their digest.
 Exact repetitions of a record are one record (a revisit, as WARC calls it).  Equal or empty replicas
@@ -21,7 +23,7 @@ from pyspark.sql.window import Window
 
 from roadsight.llm.common import stage
 
-LEAF, FANOUT, LEVELS = 1 << 16, 64, 4
+LEAF, FANOUT = 1 << 16, 64
 ARCHIVE_IDS, LOOSE = 4096, 4096
 
 
@@ -35,12 +37,29 @@ def record(url: Column, payload: Column) -> Column:
 def manifest(records: DataFrame) -> DataFrame:
     """(page_id, length, digest, any more columns) to the same with archive and offset.
 
-    Offsets are running sums inside an archive, which holds a bounded range of ids.
+    Offsets are running sums inside an archive, which holds a bounded range of ids.  They run within
+    sorted ranges of rows first, on top of the sums of an archive's earlier ranges, so an archive of
+    any size passes no single task.  The ranges are written, so both passes see the same ones.
     """
     archive = F.coalesce(F.floor(F.col("page_id") / ARCHIVE_IDS), -1 - F.pmod(F.xxhash64("digest"), F.lit(LOOSE)))
-    order = Window.partitionBy("archive").orderBy(F.col("page_id").asc_nulls_last(), "digest")
-    return (records.dropDuplicates(["page_id", "digest"]).withColumn("archive", archive.cast("long"))
-            .withColumn("offset", (F.sum("length").over(order) - F.col("length")).cast("long")))
+    parts = max(2, int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    order = [F.col("page_id").asc_nulls_last(), F.col("digest")]
+    ranged = stage(records.dropDuplicates(["page_id", "digest"]).withColumn("archive", archive.cast("long"))
+                   .repartitionByRange(parts, F.col("archive"), *order).withColumn("__range", F.spark_partition_id()), "ranges")
+    starts = ranged.groupBy("archive", "__range").agg(F.sum("length").alias("__size"))
+    starts = starts.withColumn("__start", F.sum("__size").over(Window.partitionBy("archive").orderBy("__range")) - F.col("__size")
+                               ).drop("__size")  # at most one row a range and archive
+    inner = F.sum("length").over(Window.partitionBy("archive", "__range").orderBy(*order)) - F.col("length")
+    return (ranged.withColumn("__inner", inner).join(starts, ["archive", "__range"])
+            .withColumn("offset", (F.col("__start") + F.col("__inner")).cast("long")).drop("__range", "__inner", "__start"))
+
+
+def levels_for(size: int) -> int:
+    """Levels a tree needs for ``size`` bytes, so that its root has at most ``FANOUT`` children."""
+    levels = 2
+    while LEAF * FANOUT ** (levels - 1) < size:
+        levels += 1
+    return levels
 
 
 def tree(manifests: DataFrame) -> list[DataFrame]:
@@ -50,12 +69,13 @@ def tree(manifests: DataFrame) -> list[DataFrame]:
     """
     entry = F.struct(F.col("offset").alias("at"), F.concat_ws(":", "offset", "length", "digest").alias("h"))
     rows = manifests.select("replica", "archive", F.floor(F.col("offset") / LEAF).alias("node"), entry.alias("e"))
+    top = levels_for(manifests.agg(F.max(F.col("offset") + F.col("length"))).first()[0] or 0)
     levels = []
-    for k in range(LEVELS):
+    for k in range(top):
         hashed = rows.groupBy("replica", "archive", "node").agg(
             F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["h"]), "\n"), 256).alias("hash"))
         levels.append(stage(hashed, f"tree{k}"))
-        up = F.lit(0).cast("long") if k == LEVELS - 2 else F.floor(F.col("node") / FANOUT)
+        up = F.lit(0).cast("long") if k == top - 2 else F.floor(F.col("node") / FANOUT)
         rows = levels[-1].select("replica", "archive", up.alias("up"), F.struct(F.col("node").alias("at"), F.col("hash").alias("h")).alias("e")
                                  ).withColumnRenamed("up", "node")
     return levels
@@ -77,8 +97,8 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
         m.select(F.lit(i).alias("replica"), "archive", "offset", "length", "digest", "page_id") for i, m in enumerate((first, second))]), "manifests")
     levels = tree(both)
     bad = _differing(levels[-1], ["archive", "node"], "hash").select("archive", "node")
-    for k in range(LEVELS - 2, -1, -1):
-        up = F.lit(0).cast("long") if k == LEVELS - 2 else F.floor(F.col("node") / FANOUT)
+    for k in range(len(levels) - 2, -1, -1):
+        up = F.lit(0).cast("long") if k == len(levels) - 2 else F.floor(F.col("node") / FANOUT)
         below = levels[k].withColumn("up", up).join(
             bad.select("archive", F.col("node").alias("up")), ["archive", "up"], "left_semi")
         bad = _differing(below, ["archive", "node"], "hash").select("archive", "node")
