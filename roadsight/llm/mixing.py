@@ -29,6 +29,8 @@ SHARE, MOST = 1.5, 2.0
 BLOCK = 256
 #: Blocks a super block holds, so that running sums never pass one task a source.
 SUPER = 128
+#: Sources a range holds for the running sums of the targets.
+RANGE = 4096
 #: Blocks an output shard gets, about.
 SHARD_BLOCKS = 64
 
@@ -41,26 +43,29 @@ def sizes(docs: DataFrame) -> DataFrame:
 
 
 def targets(items: DataFrame) -> DataFrame:
-    """(source, source_size, n, target) by sharing round after round; each round sums up over sources."""
+    """(source, source_size, n, target): the lesser of a source's cap and its weight times one rate.
+
+    Sources stop at their caps in the order of cap / weight.  With the first k stopped, the rest share
+    (total - their caps) / (weights left) a unit of weight.  That rate rises with k as long as the next
+    source stops too, and never after, so the rate is the largest of these: two passes over sources,
+    by running sums within ranges of ``RANGE`` sources.
+    """
     per = items.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"),
                                       F.sum("copies").alias("n"))
     ranked = with_rank(per, [F.col("source").isNull(), F.col("source")], "position")
     weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.col("position") % len(WEIGHTS) + 1).cast("int"))
-    left = stage(ranked.select("source", "source_size", "n", weight.alias("weight"),
-                               (F.col("source_size") * F.lit(MOST)).alias("cap"),
-                               F.lit(None).cast("double").alias("target")), "sources")
-    total = SHARE * float(left.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0])
-    while True:
-        open_ = F.col("target").isNull()
-        fixed, weights = left.agg(F.coalesce(F.sum("target"), F.lit(0.0)),
-                                  F.coalesce(F.sum(F.when(open_, F.col("weight"))), F.lit(0.0))).first()
-        rate = max(0.0, total - fixed) / weights if weights else 0.0
-        share = F.col("weight") * F.lit(rate)
-        over = left.where(open_ & (share > F.col("cap"))).count() if weights else 0
-        if not over:
-            return left.select("source", "source_size", "n", F.coalesce("target", share).alias("target"))
-        left = stage(left.withColumn("target", F.when(open_ & (share > F.col("cap")), F.col("cap"))
-                                     .otherwise(F.col("target"))), "sources")
+    capped = ranked.withColumn("weight", weight).withColumn("cap", F.col("source_size") * F.lit(MOST))
+    placed = with_rank(capped, [F.col("cap") / F.col("weight"), F.col("position")], "place").withColumn(
+        "range", F.floor(F.col("place") / RANGE))
+    words, weights = placed.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    sums, inner = Window.orderBy("range"), Window.partitionBy("range").orderBy("place")
+    tops = placed.groupBy("range").agg(F.sum("cap").alias("c"), F.sum("weight").alias("w")).select(
+        "range", (F.sum("c").over(sums) - F.col("c")).alias("caps"), (F.sum("w").over(sums) - F.col("w")).alias("gone"))
+    rates = placed.select("range", (F.sum("cap").over(inner) - F.col("cap")).alias("c"),
+                          (F.sum("weight").over(inner) - F.col("weight")).alias("w")).join(tops, "range")
+    rate = rates.agg(F.max((F.lit(SHARE * float(words)) - F.col("caps") - F.col("c"))
+                           / (F.lit(weights) - F.col("gone") - F.col("w")))).first()[0] or 0.0
+    return placed.select("source", "source_size", "n", F.least("cap", F.col("weight") * F.lit(rate)).alias("target"))
 
 
 def _running(blocks: DataFrame) -> DataFrame:
