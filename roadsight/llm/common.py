@@ -159,9 +159,23 @@ def with_rank(df: DataFrame, by: list[Column], name: str, parts: int | None = No
             .withColumn(name, F.col("__start") + F.col("__row")).drop("__part", "__row", "__start", "__n"))
 
 
+#: Keys a node's edges are dealt to in ``components``.
+SALTS = 64
 EDGE = StructType([StructField("u", LongType()), StructField("v", LongType())])
 
 
+def _with_least(edges: DataFrame) -> DataFrame:
+    """(u, v, m): edges with the least neighbour m of u.
+
+    Edges are dealt by (u, salt of v), so a hub that many nodes point at is spread over ``SALTS`` keys;
+    only one row a salt meets at the hub itself.
+    """
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    parts = salted.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    least = parts.groupBy("u").agg(F.min("m").alias("m"))
+    return salted.join(parts.select("u", "salt").join(least, "u"), ["u", "salt"]).select("u", "v", "m")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(u long, v long)``: one row (node, root) a node that has an edge.
 
@@ -174,13 +188,9 @@ def components(edges: DataFrame) -> DataFrame:
     edges, last = stage(edges, "edges"), None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("m", "u").alias("m"))
-        large = (both.where("v > u").join(low, F.col("u") == F.col("w"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low.withColumnRenamed("u", "w"), F.col("u") == F.col("w"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
+        pairs = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))
+        small = _with_least(large).select(F.inline(pairs)).where("u <> v").distinct()
         edges = stage(small, "edges")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == last:
