@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from roadsight.llm import embed_dedup, license_scan, url_cascade
+from roadsight.llm import embed_dedup, fixity, license_scan, mixing, url_cascade
+from roadsight.llm.common import components
 
 
 def planted(rows, pairs, width, cone, seed):
@@ -95,3 +96,63 @@ def test_judge_by_a_table_of_hosts(spark):
     for max_bytes in (1 << 20, 8):
         got = {r.page_id: (r.listed, r.verdict) for r in url_cascade.judge(pages, listed, max_bytes=max_bytes).collect()}
         assert got == {0: (False, "allow"), 1: (True, "block"), 2: (False, "allow"), 3: (True, "block"), 4: (False, "block")}
+
+
+def test_one_id_of_very_many_records_is_cut_into_ranges(spark, monkeypatch):
+    monkeypatch.setattr(fixity, "LEAF", 256)
+    monkeypatch.setattr(fixity, "FANOUT", 4)
+    rows = [(7, f"http://a.org/{i}", "x" * (i % 9)) for i in range(400)] + [(None, f"http://b.org/{i}", None) for i in range(50)]
+    rows += [(i, f"http://c.org/{i}", "y") for i in range(8, 60)] + [(7, "http://a.org/1", "x")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    record = fixity.record(F.col("url"), F.col("html"))
+    placed = fixity.manifest(df.select("page_id", F.octet_length(record).cast("long").alias("length"), F.sha2(record, 256).alias("digest")))
+    got = placed.toPandas()
+    assert len(got) == 502
+    for _, archive in got.groupby("archive"):
+        archive = archive.sort_values(["page_id", "digest"])
+        assert archive.offset.tolist() == (archive.length.cumsum() - archive.length).tolist()
+    size = int((got.offset + got.length).max())
+    assert fixity.levels_for(size) > 4 and 256 * 4 ** (fixity.levels_for(size) - 1) >= size
+    other = placed.withColumn("digest", F.when(F.col("offset") == 0, F.lit("rot")).otherwise(F.col("digest")))
+    bad = fixity.audit(placed, other).collect()
+    assert len(bad) == got.archive.nunique() and {(r.offset, r.status, r.found_digest) for r in bad} == {(0, "altered", "rot")}
+    assert fixity.audit(placed, placed).count() == 0
+
+
+def brute_targets(sizes):
+    """Sharing round after round, sources by code point with null last."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(names)}
+    target, total = {}, 1.5 * sum(sizes.values())
+    while True:
+        left = [s for s in names if s not in target]
+        if not left:
+            return target
+        rate = (total - sum(target.values())) / sum(weight[s] for s in left)
+        over = [s for s in left if weight[s] * rate > 2 * sizes[s]]
+        if not over:
+            return target | {s: weight[s] * rate for s in left}
+        target |= {s: 2.0 * sizes[s] for s in over}
+
+
+@pytest.mark.parametrize("span", [3, 4096])
+def test_targets_equal_sharing_in_rounds(spark, monkeypatch, span):
+    monkeypatch.setattr(mixing, "RANGE", span)
+    rng = np.random.default_rng(8)
+    for trial in range(4):
+        sizes = {f"s{i}": int(n) for i, n in enumerate(np.exp(rng.uniform(0, 9, 4 + 9 * trial)))} | {None: 40, "empty": 0}
+        items = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, size long, copies long")
+        got = {r.source: r.target for r in mixing.targets(items).collect()}
+        want = brute_targets(sizes)
+        assert got.keys() == want.keys() and all(abs(got[s] - want[s]) <= 1e-9 * max(1, want[s]) for s in want)
+    none = spark.createDataFrame([], "source string, size long, copies long")
+    assert mixing.targets(none).count() == 0
+    zero = spark.createDataFrame([("a", 0, 3), (None, 0, 1)], "source string, size long, copies long")
+    assert {r.target for r in mixing.targets(zero).collect()} == {0.0}
+
+
+def test_components_of_a_hub_and_a_chain(spark):
+    edges = [(0, i) for i in range(1, 3000)] + [(i, i + 1) for i in range(5000, 5040)] + [(2999, 9000), (9000, 9001), (7, 7)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    want = {i: 0 for i in range(3000)} | {i: 5000 for i in range(5000, 5041)} | {9000: 0, 9001: 0}
+    assert got == want
