@@ -207,6 +207,8 @@ def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     nothing is gained or lost by them.
     """
     drawn, _, units = mix(docs, seed)
+    units = stage(units, "shards")
+    shard_count = 1 + (units.agg(F.max("shard")).first()[0] or 0)
     names = docs.columns
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__doc"),
@@ -229,8 +231,12 @@ def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     shards = F.when(F.col("__size") == 0, F.array(F.lit(None).cast("int"))).otherwise(shards)
     every = single.unionByName(several).select("__doc", "__i", F.posexplode(shards).alias("__pass", "shard"))
     mixed = F.xxhash64("__i", "__pass", F.lit(seed))
-    # ranges of (shard, place): equal partitions whatever the number and size of the shards
+    # equal shares of the line of (shard, place): equal partitions whatever the number and size of the
+    # shards, without the second run over the texts that sampled ranges would take
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     every = every.withColumn("__place", mixed)
-    return (every.repartitionByRange(parts, "shard", "__place").sortWithinPartitions("shard", "__place")
+    at = (F.col("shard") + F.col("__place") / F.lit(2.0 ** 64) + F.lit(0.5)) / F.lit(float(shard_count))
+    part = F.when(F.col("shard").isNull(), F.pmod("__place", F.lit(parts))).otherwise(
+        F.least(F.floor(at * parts), F.lit(parts - 1))).cast("int")
+    return (every.repartitionById(parts, part).sortWithinPartitions("shard", "__place")
             .select(*[F.col("__doc")[c].alias(c) for c in names]))
