@@ -156,3 +156,16 @@ def test_components_of_a_hub_and_a_chain(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     want = {i: 0 for i in range(3000)} | {i: 5000 for i in range(5000, 5041)} | {9000: 0, 9001: 0}
     assert got == want
+
+
+def test_mixed_documents_fill_all_partitions_in_order_of_their_shards(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 8)
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 6)
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("source"),
+                                    F.expr("if(id % 50 = 0, null, repeat('w ', int(id % 9) + 1))").alias("text"))
+    got = mixing.mixed_documents(docs).withColumn("part", F.spark_partition_id())
+    sizes = sorted(r["count"] for r in got.groupBy("part").count().collect())
+    assert len(sizes) == 8 and sizes[-1] <= 1.5 * sizes[0]
+    taken = {r.doc_id: (r.taken // r["size"] if r["size"] else 1) for r in mixing.taken_words(docs).collect()}
+    count = {r.doc_id: r["count"] for r in got.groupBy("doc_id").count().collect()}
+    assert count == {d: n for d, n in taken.items() if n}
