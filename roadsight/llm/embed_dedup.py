@@ -227,3 +227,17 @@ def dedup(embeddings: DataFrame, least: float = LEAST, passes: int = PASSES, blo
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("component_id", F.col("vec_id")).cast("long").alias("component_id"))
             .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
+
+
+DEDUP_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL),
+ok AS (SELECT * FROM v WHERE len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN e IF x <> 0]) > 0),
+link AS (SELECT a.vec_id AS u, b.vec_id AS v FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= {LEAST}),
+reach AS (SELECT DISTINCT u, v FROM link UNION SELECT r.u, l.v FROM reach r JOIN link l ON r.v = l.u),
+lows AS (SELECT u, min(v) AS low FROM reach GROUP BY u),
+n AS (SELECT u, count(*) AS n_links FROM link GROUP BY u)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, CAST(least(vec_id, coalesce(low, vec_id)) AS BIGINT) AS component_id,
+  vec_id <= coalesce(low, vec_id) AS kept
+FROM embeddings e LEFT JOIN n ON n.u = e.vec_id LEFT JOIN lows ON lows.u = e.vec_id
+"""

@@ -435,3 +435,21 @@ def keep_one(docs: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
     once = (rest.join(several, _row_key() == F.col("__twice"), "left_semi").withColumn("__row", _row_key())
             .dropDuplicates(["__row"]).drop("__row"))
     return rest.join(several, _row_key() == F.col("__twice"), "left_anti").unionByName(once)
+
+
+JOIN_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, len(ws) AS words, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+k AS (SELECT DISTINCT doc_id, shingle FROM (
+  SELECT doc_id, words, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS shingle
+  FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)) WHERE i <= greatest(1, words - {WORDS - 1})),
+n AS (SELECT doc_id, count(*) AS n FROM k GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS inter FROM k a JOIN k b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+link AS (SELECT u, v FROM pair JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * inter >= 75 * (a.n + b.n - inter)),
+reach AS (SELECT u, v FROM link UNION SELECT r.u, l.v FROM reach r JOIN link l ON r.v = l.u),
+lows AS (SELECT u, min(v) AS low FROM reach GROUP BY u)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, CAST(least(d.doc_id, coalesce(low, d.doc_id)) AS BIGINT) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN lows ON lows.u = d.doc_id
+"""

@@ -75,4 +75,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op12_dual_tree_search, op13_language_mixture)}
 
 SQL: dict[str, str] = {"op1_merkle_fixity": fixity.AUDIT_SQL, "op3_bloom_cascade": url_cascade.JUDGE_SQL,
+                       "op5_sorted_projections": embed_dedup.DEDUP_SQL, "op9_heavy_light_join": ngram_join.JOIN_SQL,
                        "op12_dual_tree_search": dual_tree.SEARCH_SQL}
