@@ -329,9 +329,9 @@ def part_schema(rule, tie: T.DataType) -> T.StructType:
     row, record = T.StructType.fromDDL(rule.result), with_tie(rule.record, tie)
     both = T.StructType([T.StructField("rows", T.ArrayType(row)), T.StructField("held", record)])
     return T.StructType([
-        T.StructField("car", T.StringType()), T.StructField("bucket", T.LongType()),
-        T.StructField("lane", T.LongType()), T.StructField("event_time", T.TimestampType()),
-        T.StructField("row", row), T.StructField("first", record), T.StructField("traces", T.ArrayType(both))])
+        T.StructField("cars", T.LongType()), T.StructField("car", T.StringType()), T.StructField("bucket", T.LongType()),
+        T.StructField("lane", T.LongType()), T.StructField("row", row), T.StructField("first", record),
+        T.StructField("traces", T.ArrayType(both))])
 
 
 def _moment(ms: int):
@@ -349,19 +349,56 @@ class BucketTraces(StatefulProcessor):
 
     From where both traces hold the same, rows are finished: they leave on a lane of their own
     (``lane`` = bucket), beside the chain (``lane`` -1).
+
+    :meth:`of_batches` does this for buckets that an aggregation has gathered, many to a call; as a
+    processor it gathers the records of a bucket itself, at a call and some state requests a bucket.
     """
 
     def __init__(self, rule, width_ms: int, tie: T.DataType):
         self.rule, self.width_ms, self.schema = rule, width_ms, with_tie(rule.record, tie)
-        self.names = _names(rule.result)
+        self.names, self.fields = _names(rule.result), self.schema.fieldNames()
 
     def init(self, handle) -> None:
         self.handle = handle
         self.buf = handle.getListState("records", self.schema)
 
+    def parts(self, car, bucket: int, recs: list):
+        """What a bucket's records, in order, hand on."""
+        names, fields, rule = self.names, self.fields, self.rule
+        if car is None:
+            for row in filter(None, map(rule.incomplete, recs)):
+                yield dict(car=None, bucket=bucket, lane=bucket, row=dict(zip(names, row)), first=None, traces=None)
+            return
+        out0, states0 = trace(rule, car, None, recs)
+        out1, states1 = trace(rule, car, None, recs[1:])
+        out1 = [(i + 1, row) for i, row in out1]
+        states1 = [None] + states1
+        same = next((i for i, (x, y) in enumerate(zip(states0, states1)) if x == y), len(recs))
+        for i, row in out0:
+            if i > same:
+                yield dict(car=car, bucket=bucket, lane=bucket, row=dict(zip(names, row)), first=None, traces=None)
+        traces = [{"rows": [dict(zip(names, row)) for i, row in out if i <= same],
+                   "held": None if states[-1] is None else dict(zip(fields, states[-1]))}
+                  for out, states in ((out0, states0), (out1, states1))]
+        yield dict(car=car, bucket=bucket, lane=-1, row=None, first=dict(zip(fields, recs[0])), traces=traces)
+
+    def of_batches(self, batches, schema):
+        """Arrow batches of (cars, car, bucket, records in order) to parts of the Arrow ``schema``."""
+        import pyarrow as pa
+        for batch in batches:
+            lists = batch.column("records")
+            flat = list(zip(*[c.to_pylist() for c in lists.flatten().flatten()]))
+            rows, at = [], 0
+            for cars, car, bucket, n in zip(*[batch.column(c).to_pylist() for c in ("cars", "car", "bucket")],
+                                            lists.value_lengths().to_pylist()):
+                for part in self.parts(car, bucket, flat[at:at + n]):
+                    part["cars"] = cars
+                    rows.append(part)
+                at += n
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
     def handleInputRows(self, key, rows, timerValues):
-        names = self.schema.fieldNames()
-        recs = [tuple(r[n] for n in names) for r in rows]
+        recs = [tuple(r[n] for n in self.fields) for r in rows]
         if recs:
             self.buf.appendList(recs)
             self.handle.registerTimer((key[1] + 1) * self.width_ms + 1)
@@ -372,82 +409,75 @@ class BucketTraces(StatefulProcessor):
         if not recs:
             return
         self.buf.clear()
-        car, bucket = key
         now = _moment(timerValues.getCurrentWatermarkInMs())
-        if car is None:
-            for row in filter(None, map(self.rule.incomplete, recs)):
-                yield Row(car=None, bucket=bucket, lane=bucket, event_time=now, row=dict(zip(self.names, row)), first=None, traces=None)
-            return
-        out0, states0 = trace(self.rule, car, None, recs)
-        out1, states1 = trace(self.rule, car, None, recs[1:])
-        out1 = [(i + 1, row) for i, row in out1]
-        states1 = [None] + states1
-        same = next((i for i, (x, y) in enumerate(zip(states0, states1)) if x == y), len(recs))
-        named = lambda row: dict(zip(self.names, row))
-        fields = self.schema.fieldNames()
-        record = lambda r: None if r is None else dict(zip(fields, r))
-        for i, row in out0:
-            if i > same:
-                yield Row(car=car, bucket=bucket, lane=bucket, event_time=now, row=named(row), first=None, traces=None)
-        traces = [{"rows": [named(row) for i, row in out if i <= same], "held": record(states[-1])}
-                  for out, states in ((out0, states0), (out1, states1))]
-        yield Row(car=car, bucket=bucket, lane=-1, event_time=now, row=None, first=record(recs[0]), traces=traces)
+        for part in self.parts(*key, recs):
+            yield Row(event_time=now, **part)
 
     def close(self) -> None:
         pass
 
 
 class ChainTraces(StatefulProcessor):
-    """A car: its buckets in order, each by the trace that fits what is held; state is that one record.
+    """Some cars: each car's buckets in order, each by the trace that fits what is held; state is that one record a car.
 
     Buckets arrive whole and in order, as all that a step of the watermark closes come in one micro-batch.
+    Every key costs some requests to the state store, so a key is a group of cars, not one.
     """
 
     def __init__(self, rule, width_ms: int, tie: T.DataType):
-        self.rule, self.width_ms, self.schema = rule, width_ms, with_tie(rule.record, tie)
+        self.rule, self.width_ms = rule, width_ms
+        self.schema = T.StructType([T.StructField("car", T.StringType()), *with_tie(rule.record, tie).fields])
         self.names = _names(rule.result)
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", self.schema)
+        self.held = handle.getListState("held", self.schema)
 
     def _closed(self, held) -> int:
         """Watermark at which every bucket is closed that may hold a record within the held one's reach."""
         return ((self.rule.expires(held) - 1) // self.width_ms + 1) * self.width_ms + 1
 
+    def _keep(self, held: dict) -> None:
+        if held:
+            self.held.put([(car, *record) for car, record in held.items()])
+            self.handle.registerTimer(min(map(self._closed, held.values())))
+        else:
+            self.held.clear()
+
     def handleInputRows(self, key, rows, timerValues):
-        car, lane = key
         result = Row(*self.names)
-        if lane >= 0:  # finished in their bucket
+        if key[1] >= 0:  # finished in their bucket
             for r in rows:
                 yield result(*_values(r["row"]))
             return
-        held = before = self.held.get()
-        held = None if held is None else tuple(held)
+        held = {r[0]: tuple(r[1:]) for r in self.held.get()}
         for r in sorted(rows, key=lambda r: r["bucket"]):
-            first, uses, row = _values(r["first"]), False, None
-            if held is not None:
-                uses = self.rule.uses(held, first)
-                row = self.rule.used(car, held, first) if uses else self.rule.replaced(car, held, first)
+            car, first, uses, row = r["car"], _values(r["first"]), False, None
+            before = held.pop(car, None)
+            if before is not None:
+                uses = self.rule.uses(before, first)
+                row = self.rule.used(car, before, first) if uses else self.rule.replaced(car, before, first)
             if row is not None:
                 yield result(*row)
             rows_of, left = _values(r["traces"][int(uses)])
             for row in rows_of:
                 yield result(*_values(row))
-            held = _values(left)
-        if held is not None:
-            self.held.update(held)
-            self.handle.registerTimer(self._closed(held))
-        elif before is not None:
-            self.held.clear()
+            if left is not None:
+                held[car] = _values(left)
+        self._keep(held)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        held = self.held.get()
-        if held is not None and self._closed(held) <= timerValues.getCurrentWatermarkInMs():
-            self.held.clear()
-            row = self.rule.expired(key[0], tuple(held))
+        now, left, any_gone = timerValues.getCurrentWatermarkInMs(), {}, False
+        for car, *record in self.held.get():
+            if self._closed(record) > now:
+                left[car] = record
+                continue
+            any_gone = True
+            row = self.rule.expired(car, tuple(record))
             if row is not None:
                 yield Row(*self.names)(*row)
+        if any_gone:
+            self._keep(left)
 
     def close(self) -> None:
         pass

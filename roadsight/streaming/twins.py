@@ -94,16 +94,30 @@ def violation_action_interval_stream(violations: DataFrame, actions: DataFrame,
 KEY_BUCKET_MS = 60_000
 
 
+#: Groups that cars are dealt to in the chain of their buckets.
+CAR_GROUPS = 1024
+
+
 def _in_buckets(records: DataFrame, rule, width_ms: int) -> DataFrame:
-    """A keyed machine in two steps: (car, bucket) runs both traces of its records, the car chains them.
+    """A keyed machine in three steps: an aggregation gathers the records of a (car, bucket), both traces of
+    them are run where they lie, and each car chains its buckets.
 
-    State and work of a hot car lie in its buckets; the chain keeps one record a car.
+    State and work of a hot car lie in its buckets; the chain keeps one record a car.  Records never go
+    to Python's state one by one: they rest in the aggregation until the watermark closes their bucket.
     """
-    tie = records.schema["seq"].dataType
-    bucket = F.floor(F.col(rule.time) / F.lit(width_ms)).cast("long")
-    parts = records.withColumn("bucket", bucket).groupBy("car", "bucket").transformWithState(
-        BucketTraces(rule, width_ms, tie), part_schema(rule, tie), "Append", "EventTime", eventTimeColumnName="event_time")
-    return parts.groupBy("car", "lane").transformWithState(ChainTraces(rule, width_ms, tie), rule.result, "Append", "EventTime")
+    from functools import partial
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    tie, fields = records.schema["seq"].dataType, rule.record.fieldNames()
+    whole = records.groupBy(F.window("event_time", f"{width_ms} milliseconds").alias("bucket"), "car").agg(
+        F.sort_array(F.collect_list(F.struct(*fields))).alias("records"))
+    whole = whole.select(
+        F.pmod(F.xxhash64("car"), F.lit(CAR_GROUPS)).cast("long").alias("cars"), "car",
+        F.call_function("div", F.unix_millis(F.col("bucket.start")), F.lit(width_ms)).alias("bucket"), "records")
+    schema = part_schema(rule, tie)
+    run = partial(BucketTraces(rule, width_ms, tie).of_batches, schema=to_arrow_schema(schema))
+    parts = whole.mapInArrow(run, schema)
+    return parts.groupBy("cars", "lane").transformWithState(ChainTraces(rule, width_ms, tie), rule.result, "Append", "EventTime")
 
 
 def cloned_plate_stream(traffic: DataFrame, gap_ms: int = 10_000, distinct_monitors: bool = False,

@@ -143,6 +143,45 @@ def test_bucketed_pairing_machine_equals_the_fold(seed, width):
     assert short == want
 
 
+def grouped(rule, records, width, steps=5):
+    """Run records ``(car, *record)`` as the streams do: buckets in Arrow batches, all cars in one key of the chain."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    tie, fields = T.LongType(), rule.record.fieldNames()
+    at, schema = fields.index(rule.time) + 1, to_arrow_schema(S.part_schema(rule, tie))
+    whole = T.StructType([T.StructField("cars", T.LongType()), T.StructField("car", T.StringType()),
+                          T.StructField("bucket", T.LongType()), T.StructField("records", T.ArrayType(S.with_tie(rule.record, tie)))])
+    buckets = defaultdict(list)
+    for r in sorted(records, key=lambda r: (r[at], r[2])):
+        buckets[(r[at] // width, r[0])].append(dict(zip(fields, r[1:])))
+    last, first, chain, out = max(b for b, _ in buckets), S.BucketTraces(rule, width, tie), Keyed(lambda: S.ChainTraces(rule, width, tie)), []
+    for step in range(steps + 1):
+        lo, hi = ((last + 1) * i // steps for i in (step, step + 1))
+        rows = [dict(cars=0, car=car, bucket=b, records=recs) for (b, car), recs in buckets.items() if lo <= b < hi]
+        random.Random(step).shuffle(rows)
+        batch = pa.RecordBatch.from_pylist([{}, *rows], schema=to_arrow_schema(whole)).slice(1)    # with an offset, as Arrow allows
+        lanes = defaultdict(list)
+        for part in next(first.of_batches([batch], schema)).to_pylist():
+            lanes[(part["cars"], part["lane"])].append(part)
+        out += chain.batch(lanes, hi * width if step < steps else 10 ** 12)
+    return out, chain
+
+
+def one_key_left_empty(machine):
+    return [k for k in machine.keys if k[1] == -1] == [(0, -1)] and all(
+        not s.value for _, states, _ in machine.keys.values() for s in states)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cars_that_share_a_key_of_the_clone_chain_equal_the_fold(spark, seed):
+    rng = random.Random(seed)
+    cars = ["hot"] * 100 + [f"c{i}" for i in range(200)]
+    rows = [(t * 300 + rng.randrange(300), f"m{rng.randrange(3)}", rng.choice(cars), 50.0, t) for t in range(3_000)]
+    got, chain = grouped(S.CloneRule(), [(car, t, seq, m) for t, m, car, _, seq in rows], 60_000)
+    assert {(r.car, r.first_monitor, r.second_monitor, r.first_time, r.warning_time) for r in got} == fold_clone(rows)
+    assert one_key_left_empty(chain)
+
+
 def test_records_without_car_are_incomplete():
     got, _ = chained(S.PairRule(), [(None, 1_000, 1, "v", "x", None, None), (None, 1_500, 2, "p", None, "J", "s")], 60_000, 1)
     assert sorted((r.outcome, r.reason) for r in got) == [("unmatched_action", "incomplete"), ("unmatched_violation", "incomplete")]
