@@ -182,6 +182,19 @@ def test_cars_that_share_a_key_of_the_clone_chain_equal_the_fold(spark, seed):
     assert one_key_left_empty(chain)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_cars_that_share_a_key_of_the_pairing_chain_equal_the_fold(spark, seed):
+    rng = random.Random(seed)
+    cars = ["hot"] * 100 + [f"c{i}" for i in range(200)]
+    recs = [(rng.choice(cars), t * 200 + rng.randrange(200), t, rng.choice("vp")) for t in range(3_000)]
+    got, chain = grouped(S.PairRule(), [(car, t, seq, kind, f"v{seq}", f"p{seq}", "s") for car, t, seq, kind in recs], 60_000)
+    assert len(got) == len({tuple(r) for r in got})
+    short = {(r.outcome, r.reason, r.car, r.create_time, r.action_time) if r.outcome == "matched" else
+             (r.outcome, r.reason, r.car, r.create_time if r.create_time is not None else r.action_time) for r in got}
+    want = {w if w[0] == "matched" else (w[0], w[1], w[2], [x for x in w[3:] if x is not None][0]) for w in fold_pairing(recs)}
+    assert short == want and one_key_left_empty(chain)
+
+
 def test_records_without_car_are_incomplete():
     got, _ = chained(S.PairRule(), [(None, 1_000, 1, "v", "x", None, None), (None, 1_500, 2, "p", None, "J", "s")], 60_000, 1)
     assert sorted((r.outcome, r.reason) for r in got) == [("unmatched_action", "incomplete"), ("unmatched_violation", "incomplete")]
