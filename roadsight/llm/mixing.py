@@ -33,6 +33,8 @@ SUPER = 128
 RANGE = 4096
 #: Blocks an output shard gets, about.
 SHARD_BLOCKS = 64
+#: Blocks, sources and items of blocks at an edge, together, whose decisions are broadcast to the texts.
+DECISIONS = 500_000
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -91,6 +93,11 @@ def _edge(key, pdf):
     return pdf[["source", "block", "doc_id", "size", "copies", "full"]].assign(extra=extra)
 
 
+def _block(order, n):
+    """Block of an item with the hash ``order`` in a source of ``n`` documents."""
+    return F.pmod(order, F.greatest(F.lit(1), F.ceil(n / BLOCK)))
+
+
 def draws(items: DataFrame, per_source: DataFrame, seed: int = 17) -> DataFrame:
     """How often the mix takes each item: (source, block, doc_id, size, copies, full, extra).
 
@@ -102,7 +109,7 @@ def draws(items: DataFrame, per_source: DataFrame, seed: int = 17) -> DataFrame:
         F.round("target").cast("long").alias("words_goal"), "source_size")
     placed = (items.join(goal, F.col("source").eqNullSafe(F.col("s")))
               .withColumn("order", F.xxhash64("doc_id", "size", F.lit(seed)))
-              .withColumn("block", F.pmod("order", F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK))))
+              .withColumn("block", _block(F.col("order"), F.col("n")))
               .withColumn("super", F.floor(F.col("block") / SUPER))
               .withColumn("goal", F.col("words_goal") - F.col("full") * F.col("source_size"))
               .select("source", "block", "super", "doc_id", "size", "copies", "order", "full", "goal"))
@@ -200,13 +207,59 @@ def taken_words(docs: DataFrame, seed: int = 17) -> DataFrame:
                     F.transform(F.filter("units", lambda u: u["pass"] <= times), lambda u: u["shard"]).alias("shards")))
 
 
+def _decisions(drawn: DataFrame, units: DataFrame) -> DataFrame:
+    """One row a block: (source, block, full, all, units, edge).
+
+    All rows of a block come ``full`` times and, with ``all``, once more; a block at the edge names its items
+    in ``edge``, every other has null there.  ``units`` are the shards of its passes.
+    """
+    item = F.struct("doc_id", "size", "copies", "extra")
+    blocks = drawn.groupBy("source", "block").agg(
+        F.max("full").alias("full"), F.sum("extra").alias("_extra"), F.sum("copies").alias("_copies"))
+    at_edge = (F.col("_extra") > 0) & (F.col("_extra") < F.col("_copies"))
+    places = blocks.where(at_edge).select(F.col("source").alias("s"), F.col("block").alias("b"))
+    edge = drawn.join(places, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left_semi").groupBy(
+        F.col("source").alias("s"), F.col("block").alias("b")).agg(F.collect_list(item).alias("edge"))
+    got = units.groupBy(F.col("source").alias("u"), F.col("block").alias("ub")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pass", "shard"))), lambda x: x["shard"]).alias("units"))
+    return (blocks.join(edge, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left")
+            .join(got, F.col("source").eqNullSafe(F.col("u")) & (F.col("block") == F.col("ub")), "left")
+            .select("source", "block", "full", (F.col("_extra") > 0).alias("all"), "units", "edge"))
+
+
+def _decided(own: DataFrame, drawn: DataFrame, per_source: DataFrame, units: DataFrame, seed: int) -> DataFrame:
+    """Texts with their decision: ``full``, ``extra`` of ``copies`` like rows, and the shards of the passes.
+
+    A text's block follows from its own columns, and a block's rows share a decision but at an edge: one row in
+    about ``BLOCK`` is broadcast, and no text is moved.  Beyond ``DECISIONS`` of them texts meet their item's
+    decision by a shuffle.
+    """
+    plan = stage(_decisions(drawn, units), "decisions")
+    rows = (plan.agg(F.sum(F.lit(1) + F.coalesce(F.array_size("edge"), F.lit(0)))).first()[0] or 0) + per_source.count()
+    if rows > DECISIONS:
+        got = plan.select(F.col("source").alias("u"), F.col("block").alias("ub"), "units")
+        items = drawn.join(got, F.col("source").eqNullSafe(F.col("u")) & (F.col("block") == F.col("ub"))).select(
+            F.col("source").alias("__s"), F.col("doc_id").alias("__i"), F.col("size").alias("__z"), "copies", "full", "extra", "units")
+        return own.join(items, F.col("__id").eqNullSafe(F.col("__i")) & F.col("__src").eqNullSafe(F.col("__s"))
+                        & (F.col("__size") == F.col("__z"))).drop("__s", "__i", "__z")
+    goal = F.broadcast(per_source.select(F.col("source").alias("__s"), "n"))
+    blocks = F.broadcast(plan.select(F.col("source").alias("__u"), F.col("block").alias("__b"), "full", "all", "units", "edge"))
+    order = F.xxhash64("__id", "__size", F.lit(seed))
+    placed = own.join(goal, F.col("__src").eqNullSafe(F.col("__s"))).withColumn("__block", _block(order, F.col("n"))).drop("__s", "n")
+    found = F.get(F.filter("edge", lambda x: x["doc_id"].eqNullSafe(F.col("__id")) & (x["size"] == F.col("__size"))), F.lit(0))
+    at = placed.join(blocks, F.col("__src").eqNullSafe(F.col("__u")) & (F.col("__block") == F.col("__b"))).withColumn("__item", found)
+    return at.select("__doc", "__id", "__src", "__size", "full", "units",
+                     F.coalesce(F.col("__item.copies"), F.lit(1)).alias("copies"),
+                     F.coalesce(F.col("__item.extra"), F.col("all").cast("long")).alias("extra"))
+
+
 def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     """The mix itself: every document as often as it is taken, its columns as they were.
 
     Rows come by output shard, shuffled inside each.  Documents of size 0 are kept once, as
     nothing is gained or lost by them.
     """
-    drawn, _, units = mix(docs, seed)
+    drawn, per_source, units = mix(docs, seed)
     units = stage(units, "shards")
     shard_count = 1 + (units.agg(F.max("shard")).first()[0] or 0)
     names = docs.columns
@@ -214,23 +267,19 @@ def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__doc"),
                       F.col("doc_id").cast("long").alias("__id"), F.col("source").cast("string").alias("__src"),
                       size.alias("__size"))
-    got = units.groupBy("source", "block").agg(F.array_sort(F.collect_list(F.struct("pass", "shard"))).alias("units"))
-    got = got.withColumnRenamed("source", "__u").withColumnRenamed("block", "__b")
-    plan = drawn.join(got, F.col("source").eqNullSafe(F.col("__u")) & (F.col("block") == F.col("__b")), "left").select(
-        F.col("source").alias("__s"), F.col("doc_id").alias("__i"), F.col("size").alias("__z"), "copies", "full", "extra", "units")
-    joined = own.join(plan, F.col("__id").eqNullSafe(F.col("__i")) & F.col("__src").eqNullSafe(F.col("__s"))
-                      & (F.col("__size") == F.col("__z")))
-    # rows that agree in id, source and size are dealt the extra copies in the order of a row number
-    single = joined.where("extra in (0, copies)").withColumn("__times", F.col("full") + (F.col("extra") > 0).cast("long"))
-    several = joined.where("extra not in (0, copies)")
-    number = F.row_number().over(Window.partitionBy("__i", "__s", "__z").orderBy(F.xxhash64("__doc")))
-    several = several.withColumn("__n", number).withColumn(
-        "__times", F.col("full") + (F.col("__n") <= F.col("extra")).cast("long")).drop("__n")
-    # the text travels twice: to its decision, and as often as it is taken to its shard
-    shards = F.transform(F.filter("units", lambda u: u["pass"] <= F.col("__times")), lambda u: u["shard"])
+    joined = _decided(own, drawn, per_source, units, seed)
+    every = joined.where("extra in (0, copies)").withColumn("__times", F.col("full") + (F.col("extra") > 0).cast("long"))
+    if not drawn.where("extra not in (0, copies)").isEmpty():
+        # rows that agree in id, source and size are dealt the extra copies in the order of a row number
+        number = F.row_number().over(Window.partitionBy("__id", "__src", "__size").orderBy(F.xxhash64("__doc")))
+        several = joined.where("extra not in (0, copies)").withColumn("__n", number).withColumn(
+            "__times", F.col("full") + (F.col("__n") <= F.col("extra")).cast("long")).drop("__n")
+        every = every.unionByName(several)
+    # the text travels as often as it is taken, to its shard
+    shards = F.slice("units", F.lit(1), F.col("__times").cast("int"))
     shards = F.when(F.col("__size") == 0, F.array(F.lit(None).cast("int"))).otherwise(shards)
-    every = single.unionByName(several).select("__doc", "__i", F.posexplode(shards).alias("__pass", "shard"))
-    mixed = F.xxhash64("__i", "__pass", F.lit(seed))
+    every = every.select("__doc", "__id", F.posexplode(shards).alias("__pass", "shard"))
+    mixed = F.xxhash64("__id", "__pass", F.lit(seed))
     # equal shares of the line of (shard, place): equal partitions whatever the number and size of the
     # shards, without the second run over the texts that sampled ranges would take
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

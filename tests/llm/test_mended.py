@@ -1,6 +1,7 @@
 """Cases that lost results or grew without bound before."""
 
 import itertools
+import re
 
 import numpy as np
 import pytest
@@ -169,3 +170,21 @@ def test_mixed_documents_fill_all_partitions_in_order_of_their_shards(spark, mon
     taken = {r.doc_id: (r.taken // r["size"] if r["size"] else 1) for r in mixing.taken_words(docs).collect()}
     count = {r.doc_id: r["count"] for r in got.groupBy("doc_id").count().collect()}
     assert count == {d: n for d, n in taken.items() if n}
+
+
+def test_mixed_documents_move_a_text_only_to_its_shard(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 16)
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 4)
+    docs = spark.range(2000).select(
+        F.expr("if(id % 90 = 0, null, id)").alias("doc_id"), F.expr("element_at(array('a', 'b', null), int(id % 7 % 3) + 1)").alias("source"),
+        F.expr("if(id % 50 = 0, null, repeat('w ', int(id % 9) + 1))").alias("text"), F.col("id").alias("row"))
+    apart = mixing.mixed_documents(docs.where("doc_id is not null"))
+    apart.collect()
+    moved = apart._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"(?<!Broadcast)Exchange ", moved)) == 1
+    several = docs.unionByName(docs.where("row % 40 = 1")).unionByName(docs.where("row % 40 = 1"))
+    counted = lambda df: sorted((r.row, r["count"]) for r in df.groupBy("row").count().collect())
+    got = counted(mixing.mixed_documents(several))
+    assert len(got) > 1000
+    monkeypatch.setattr(mixing, "DECISIONS", 0)     # texts meet their items by a shuffle
+    assert counted(mixing.mixed_documents(several)) == got
