@@ -103,7 +103,8 @@ def _in_buckets(records: DataFrame, rule, width_ms: int) -> DataFrame:
     them are run where they lie, and each car chains its buckets.
 
     State and work of a hot car lie in its buckets; the chain keeps one record a car.  Records never go
-    to Python's state one by one: they rest in the aggregation until the watermark closes their bucket.
+    to Python's state one by one: they rest in the aggregation until the watermark closes their bucket, and
+    only a record whose bucket is closed is too late.
     """
     from functools import partial
 
